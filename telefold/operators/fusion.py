@@ -21,7 +21,7 @@ from telefold.session import keep_last_key
 RULES = ("first", "valid", "last")
 
 
-def _signal_struct(targets: list[Target], codes: Column, values: Column, first: bool) -> Column:
+def signal_struct(targets: list[Target], codes: Column, values: Column, first: bool) -> Column:
     wanted = sorted({s.code for t in targets for s in t.signals})
     if len({c.lower() for c in wanted}) < len(wanted):
         raise ValueError("signal codes differ only in case: use grouped.fuse_grouped")
@@ -103,7 +103,7 @@ def fuse_frames(
     keep_last_key(frames.sparkSession)
     targets = mapping if isinstance(mapping, list) else read_targets(mapping)
     kept = [c for c in frames.columns if c not in (codes, values)]
-    struct = _signal_struct(targets, F.col(codes), F.col(values), duplicates == "first")
+    struct = signal_struct(targets, F.col(codes), F.col(values), duplicates == "first")
     keyed = frames.select(*kept, struct.alias("_signals"))
 
     def field(s: Signal) -> Column:

@@ -14,15 +14,17 @@ def strip_one_zero(ein: Column) -> Column:
     return F.when(ein.startswith("0"), F.substr(ein, F.lit(2))).otherwise(ein)
 
 
-def number(text: Column) -> Column:
-    """Text to double, NULL when it is not a number.
+def java_suffix(text: Column) -> Column:
+    """True for a text ending in a Java type suffix (``1F``, ``20d``).
 
-    The JVM reads a Java type suffix (``1F``, ``20d``) as part of a number; in telemetry such a text
-    is a hex byte, so it counts as unreadable here.
+    The JVM reads it as part of a number; in telemetry such a text is a hex byte and no number.
     """
-    suffixed = text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
-    infinite = F.lower(F.trim(text)).isin("inf", "+inf", "-inf")
-    return F.when(~suffixed | infinite, text.try_cast("double"))
+    return text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
+
+
+def number(text: Column) -> Column:
+    """Text to double, NULL when it is not a number."""
+    return F.when(~java_suffix(text), text.try_cast("double"))
 
 
 def number_or(text: Column, default: float = BAD_NUMBER) -> Column:

@@ -6,9 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from telefold.functions.clean import java_suffix
+
 #: Stands for a NULL value while a frame is re-keyed, so "sent as NULL" differs from "not sent".
 SENT_NULL = "\u0000"
 
+#: Put before a text that must not be read as a number although the JVM would (see ``clean.number``).
+TEXT_MARK = "#"
+
 
 def common_length(codes: Column, values: Column) -> Column:
     return F.coalesce(F.least(F.size(codes), F.size(values)), F.lit(0))
@@ -27,21 +32,32 @@ def paired(codes: Column, values: Column) -> tuple[Column, Column]:
 def signal_map(codes: Column, values: Column, first: bool = False) -> Column:
     """Code to value; a repeated code keeps its last value (its first, with ``first``).
 
-    Codes that are NULL become the empty text, NULL values become ``SENT_NULL``. The session must keep
-    the last of repeated keys (``session.keep_last_key``).
+    Codes that are NULL become the empty text. Values are kept in a form where a plain ``try_cast`` is
+    the right reading of a number; ``sent_text`` gives the text back. The session must keep the last of
+    repeated keys (``session.keep_last_key``).
     """
     c, v = paired(codes, values)
     if first:
         c, v = F.reverse(c), F.reverse(v)
     return F.map_from_arrays(
-        F.transform(c, lambda x: F.coalesce(x, F.lit(""))),
-        F.transform(v, lambda x: F.coalesce(x, F.lit(SENT_NULL))),
+        F.transform(c, lambda x: F.coalesce(x, F.lit(""))), F.transform(v, _kept)
     )
 
 
-def sent_value(text: Column) -> Column:
-    """The value behind a ``signal_map`` entry."""
-    return F.nullif(text, F.lit(SENT_NULL))
+def _kept(x: Column) -> Column:
+    marked = java_suffix(x) | x.startswith(TEXT_MARK)
+    return F.when(x.isNull(), SENT_NULL).when(marked, F.concat(F.lit(TEXT_MARK), x)).otherwise(x)
+
+
+def sent_text(kept: Column) -> Column:
+    """The text behind a ``signal_map`` entry."""
+    plain = F.when(kept.startswith(TEXT_MARK), F.substr(kept, F.lit(2))).otherwise(kept)
+    return F.when(kept != SENT_NULL, plain)
+
+
+def sent_number(kept: Column) -> Column:
+    """The number behind a ``signal_map`` entry, NULL when there is none."""
+    return kept.try_cast("double")
 
 
 def item_map(items: Column, key: str, value: str) -> Column:

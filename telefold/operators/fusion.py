@@ -10,70 +10,87 @@ by a hash of its name, once per entry; looking each signal up in the map would s
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from telefold.functions.clean import BAD_NUMBER, number, within
+from telefold.functions.clean import BAD_NUMBER, series_base
 from telefold.functions.formula import formula_value, operands
-from telefold.functions.signals import sent_value, signal_map
+from telefold.functions.signals import SENT_NULL, sent_number, sent_text, signal_map
 from telefold.operators.mapping import Signal, Target, read_targets
 from telefold.session import keep_last_key
 
 RULES = ("first", "valid", "last")
 
 
-def signal_struct(targets: list[Target], codes: Column, values: Column, first: bool) -> Column:
+def with_signals(frames: DataFrame, kept: list, targets: list[Target], codes: str, values: str, first: bool = False) -> DataFrame:
+    """The ``kept`` columns and ``_signals``, a struct with one field per code the targets read.
+
+    The struct goes through a one-element generator. A filter or a second use of a target above it then
+    reads the finished struct; through a plain projection the optimizer would copy the whole re-keying
+    into the filter, once per field.
+    """
     wanted = sorted({s.code for t in targets for s in t.signals})
     if len({c.lower() for c in wanted}) < len(wanted):
         raise ValueError("signal codes differ only in case: use grouped.fuse_grouped")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
-    return F.from_json(F.to_json(signal_map(codes, values, first)), schema)
+    struct = F.from_json(F.to_json(signal_map(F.col(codes), F.col(values), first)), schema)
+    return frames.select(*kept, F.explode_outer(F.array(struct)).alias("_signals"))
 
 
 def _converted(value: Column, signal: Signal) -> Column:
     return value if signal.factor in (None, 1.0) else value * F.lit(signal.factor)
 
 
-def _first_present(target: Target, field, bad: Column) -> Column:
-    chosen = None
+def _case(branches: list[tuple[Column, Column]]) -> Column:
+    (test, value), *more = branches
+    chosen = F.when(test, value)
+    for test, value in more:
+        chosen = chosen.when(test, value)
+    return chosen
+
+
+def _first_present(target: Target, field, bad: float | None) -> Column:
+    branches = []
     for s in target.signals:
-        text = sent_value(field(s))
+        kept = field(s)
         if target.is_text:
-            value = text
+            value = sent_text(kept)
         else:
-            read = _converted(number(text), s)
-            value = F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(read, bad))
-        sent = field(s).isNotNull()
-        chosen = F.when(sent, value) if chosen is None else chosen.when(sent, value)
-    return chosen
+            value = _converted(sent_number(kept), s)
+            if bad is not None:
+                value = F.when(kept != SENT_NULL, F.coalesce(value, F.lit(bad)))
+        branches.append((kept.isNotNull(), value))
+    return _case(branches)
 
 
 def _first_valid(target: Target, field) -> Column:
-    chosen = None
+    branches = []
     for s in target.signals:
-        text = sent_value(field(s))
         if target.is_text:
-            fits, value = field(s).isNotNull(), text
-        else:
-            read = number(text)
-            fits = within(read, F.lit(s.low).cast("double"), F.lit(s.high).cast("double"))
-            value = _converted(read, s)
-        chosen = F.when(fits, value) if chosen is None else chosen.when(fits, value)
+            branches.append((field(s).isNotNull(), sent_text(field(s))))
+            continue
+        read = sent_number(field(s))
+        bounds = ([] if s.low is None else [read >= s.low]) + ([] if s.high is None else [read <= s.high])
+        fits = reduce(and_, bounds) if bounds else read.isNotNull()
+        branches.append((fits, _converted(read, s)))
     if not target.is_text:
-        for s in reversed(target.signals):
-            chosen = chosen.when(field(s).isNotNull(), F.lit(s.default).cast("double"))
-    return chosen
+        branches += [
+            (field(s).isNotNull(), F.lit(s.default).cast("double")) for s in reversed(target.signals)
+        ]
+    return _case(branches)
 
 
 def _last_present(target: Target, field) -> Column:
-    chosen = None
+    branches = []
     for s in reversed(target.signals):
-        text = sent_value(field(s))
+        kept = field(s)
         if target.is_text:
-            sent, value = field(s).isNotNull(), text
+            branches.append((kept.isNotNull(), sent_text(kept)))
         else:
-            sent, value = text.isNotNull() & (text != ""), _converted(number(text), s)
-        chosen = F.when(sent, value) if chosen is None else chosen.when(sent, value)
-    return chosen
+            branches.append((~kept.isin("", SENT_NULL), _converted(sent_number(kept), s)))
+    return _case(branches)
 
 
 def fuse_frames(
@@ -100,28 +117,92 @@ def fuse_frames(
         raise ValueError(f"rule must be one of {RULES}")
     if on_bad_number not in ("null", "default", "reject"):
         raise ValueError("on_bad_number must be null, default or reject")
-    keep_last_key(frames.sparkSession)
     targets = mapping if isinstance(mapping, list) else read_targets(mapping)
+    return _fuse(
+        frames, [(None, targets)], rule, codes, values, on_bad_number, duplicates, round_to, number_type, formulas
+    )
+
+
+def fuse_by_series(
+    frames: DataFrame,
+    mappings: dict[str, DataFrame | list[Target]],
+    series: str = "hos_series",
+    rule: str = "first",
+    codes: str = "codes",
+    values: str = "vals",
+    on_bad_number: str = "null",
+    duplicates: str = "last",
+    round_to: int | None = None,
+    number_type: str = "double",
+    formulas: bool = False,
+) -> DataFrame:
+    """Frames of several vehicle series in one pass, each fused by its own series' mapping.
+
+    Frames of a series without a mapping get no values; a target only other series have is NULL.
+    """
+    variants = [
+        (
+            series_base(F.col(series)) == name.removesuffix("系列"),
+            m if isinstance(m, list) else read_targets(m),
+        )
+        for name, m in mappings.items()
+    ]
+    return _fuse(
+        frames, variants, rule, codes, values, on_bad_number, duplicates, round_to, number_type, formulas
+    )
+
+
+def _fuse(
+    frames: DataFrame,
+    variants: list[tuple[Column | None, list[Target]]],
+    rule: str,
+    codes: str,
+    values: str,
+    on_bad_number: str,
+    duplicates: str,
+    round_to: int | None,
+    number_type: str,
+    formulas: bool,
+) -> DataFrame:
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
+    if on_bad_number not in ("null", "default", "reject"):
+        raise ValueError("on_bad_number must be null, default or reject")
+    keep_last_key(frames.sparkSession)
+    everything = [t for _, targets in variants for t in targets]
+    texts = {t.name: t.is_text for t in everything}
+    if any(texts[t.name] != t.is_text for t in everything):
+        raise ValueError("a target must have a unit in all series or in none")
     kept = [c for c in frames.columns if c not in (codes, values)]
-    struct = signal_struct(targets, F.col(codes), F.col(values), duplicates == "first")
-    keyed = frames.select(*kept, struct.alias("_signals"))
+    # A series test may read any input column, so it is settled before the lists are re-keyed.
+    tests = {f"_is{i}": test for i, (test, _) in enumerate(variants) if test is not None}
+    first = duplicates == "first"
+    columns = [*kept, *[t.alias(n) for n, t in tests.items()]]
+    keyed = with_signals(frames, columns, everything, codes, values, first)
+    bad = {"default": BAD_NUMBER, "reject": float("nan")}.get(on_bad_number)
 
     def field(s: Signal) -> Column:
         return F.col("_signals").getField(s.code)
 
-    bad = F.lit({"default": BAD_NUMBER, "reject": float("nan")}.get(on_bad_number)).cast("double")
-
     def fused(t: Target) -> Column:
         if rule == "first":
-            value = _first_present(t, field, bad)
-        elif rule == "valid":
-            value = _first_valid(t, field)
-        else:
-            value = _last_present(t, field)
-        return value
-
-    wide = keyed.select(*kept, *[fused(t).alias(t.name) for t in targets])
-    numeric = [t.name for t in targets if not t.is_text]
+            return _first_present(t, field, bad)
+        return _first_valid(t, field) if rule == "valid" else _last_present(t, field)
+
+    def value(name: str) -> Column:
+        chosen = None
+        for i, (test, targets) in enumerate(variants):
+            for t in targets:
+                if t.name != name:
+                    continue
+                if test is None:
+                    return fused(t)
+                mine = F.col(f"_is{i}")
+                chosen = F.when(mine, fused(t)) if chosen is None else chosen.when(mine, fused(t))
+        return chosen
+
+    wide = keyed.select(*kept, *tests, *[value(n).alias(n) for n in texts])
+    numeric = [n for n, is_text in texts.items() if not is_text]
     if on_bad_number == "reject" and rule == "first":
         flags = F.filter(
             F.array(*[F.when(F.isnan(F.col(f"`{n}`")), F.lit(n)) for n in numeric]),
@@ -133,13 +214,14 @@ def fuse_frames(
     if round_to is not None:
         wide = wide.withColumns({n: F.round(F.col(f"`{n}`"), round_to) for n in numeric})
     if formulas:
-        wide = add_formulas(wide, targets)
+        for i, (test, targets) in enumerate(variants):
+            wide = add_formulas(wide, targets, None if test is None else F.col(f"_is{i}"))
     if number_type != "double":
         wide = wide.withColumns({n: F.col(f"`{n}`").try_cast(number_type) for n in numeric})
-    return wide
+    return wide.drop(*tests)
 
 
-def add_formulas(fused: DataFrame, targets: list[Target]) -> DataFrame:
+def add_formulas(fused: DataFrame, targets: list[Target], only: Column | None = None) -> DataFrame:
     """Sets formula targets from the fused ones. A formula reads fused values, never other formulas."""
     made = {}
     for t in targets:
@@ -148,9 +230,10 @@ def add_formulas(fused: DataFrame, targets: list[Target]) -> DataFrame:
         missing = [n for n in operands(t.formula) if n not in fused.columns]
         if missing:
             raise ValueError(f"formula of {t.name} reads unknown targets {missing}")
-        made[t.name] = formula_value(
+        value = formula_value(
             t.formula, lambda n: F.col(f"`{n}`").cast("double"), t.low, t.high, t.default
         )
+        made[t.name] = value if only is None else F.when(only, value).otherwise(F.col(f"`{t.name}`"))
     return fused.withColumns(made) if made else fused
 
 
@@ -161,5 +244,5 @@ def explode_signals(frames: DataFrame, keys: list[str], codes: str = "codes", va
     return (
         frames.select(*keys, F.explode(signals).alias("pid", "value"))
         .where(F.col("pid") != "")
-        .withColumn("value", sent_value(F.col("value")))
+        .withColumn("value", sent_text(F.col("value")))
     )

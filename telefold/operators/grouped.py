@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
-from telefold.functions.signals import SENT_NULL, sent_value
+from telefold.functions.signals import SENT_NULL
 from telefold.operators.mapping import Target, read_targets
 from telefold.session import keep_last_key
 
@@ -47,7 +47,10 @@ def fuse_grouped(
     keep_last_key(tall.sparkSession)
     targets = read_targets(mapping) if targets is None else targets
     rows = attach_mapping(tall, mapping, scaling)
-    stamp = F.struct(_order(order).alias("at"), F.coalesce("priority", F.lit(0)).alias("priority"))
+    # The signal itself settles equal stamps, so a recomputed task picks the same row.
+    stamp = F.struct(
+        _order(order).alias("at"), F.coalesce("priority", F.lit(0)).alias("priority"), F.struct("pid", "value").alias("tie")
+    )
     value = scaled(number(F.col("value")), F.col("multiplier"), F.col("offset"))
     value = value * F.coalesce("factor", F.lit(1.0))
     text = F.when(F.col("is_text"), F.col("value")).otherwise(value.cast("string"))
@@ -69,12 +72,16 @@ def fuse_grouped(
     return _widen(gathered, [*keys, *ids], targets)
 
 
+def _unless_null(value: Column) -> Column:
+    return F.when(value != SENT_NULL, value)
+
+
 def _widen(gathered: DataFrame, kept: list[str], targets: list[Target]) -> DataFrame:
     schema = T.StructType([T.StructField(t.name, T.StringType()) for t in targets])
     wide = gathered.select(*kept, F.from_json(F.to_json("_m"), schema).alias("_s"))
     columns = []
     for t in targets:
-        text = sent_value(F.col("_s").getField(t.name))
+        text = _unless_null(F.col("_s").getField(t.name))
         columns.append((text if t.is_text else text.try_cast("double")).alias(t.name))
     return wide.select(*kept, *columns)
 
@@ -99,5 +106,5 @@ def gather_frames(
     return best.groupBy(*keys).agg(F.array_sort(F.collect_list(pair)).alias("_pairs")).select(
         *keys,
         F.transform("_pairs", lambda p: p.getField("pid")).alias("codes"),
-        F.transform("_pairs", lambda p: sent_value(p.getField("value"))).alias("vals"),
+        F.transform("_pairs", lambda p: _unless_null(p.getField("value"))).alias("vals"),
     )

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telefold.functions.clean import number
-from telefold.functions.signals import sent_value
-from telefold.operators.fusion import signal_struct
+from telefold.functions.signals import sent_number
+from telefold.operators.fusion import with_signals
 from telefold.operators.mapping import Target, read_targets
 from telefold.session import keep_last_key
 
@@ -67,14 +66,15 @@ def value_checks(
     sides = raw.select(*keys, "codes", "vals").join(
         fused.select(*keys, *[F.col(f"`{t.name}`") for t in targets]), list(keys)
     )
-    keyed = sides.withColumn("_s", signal_struct(targets, F.col("codes"), F.col("vals"), False))
+    kept = [c for c in sides.columns if c not in ("codes", "vals")]
+    keyed = with_signals(sides, kept, targets, "codes", "vals")
     checks = []
     for t in targets:
         check = None
         for s in t.signals:
-            field = F.col("_s").getField(s.code)
+            field = F.col("_signals").getField(s.code)
             factor = 1.0 if s.factor is None else s.factor
-            read, made = number(sent_value(field)), F.col(f"`{t.name}`")
+            read, made = sent_number(field), F.col(f"`{t.name}`")
             row = F.struct(
                 F.lit(t.name).alias("target_name"),
                 F.lit(s.code).alias("signal_name"),

@@ -98,18 +98,3 @@ def good_rows(fused: DataFrame) -> DataFrame:
 
 def rejected_rows(fused: DataFrame) -> DataFrame:
     return fused.where(F.col("reject_reason").isNotNull())
-
-
-def fuse_by_series(
-    frames: DataFrame, mappings: dict[str, DataFrame | list[Target]], series: str = "hos_series", **options
-) -> DataFrame:
-    """Frames of several vehicle series, each fused by its own mapping; a target another series has is NULL.
-
-    One job: the scan is shared through a union of filtered reads, and each filter reaches the storage.
-    """
-    result = None
-    for name, mapping in mappings.items():
-        mine = frames.where(clean.series_base(F.col(series)) == name.removesuffix("系列"))
-        fused = fuse_frames(mine, mapping, **options)
-        result = fused if result is None else result.unionByName(fused, allowMissingColumns=True)
-    return result

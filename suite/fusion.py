@@ -9,6 +9,7 @@ from suite.registry import query
 from telefold.functions import listtext
 from telefold.functions.clean import strip_one_zero
 from telefold.operators import fusion, grouped, mapping as maps
+from telefold.sources.frames import spread
 from telefold.plans.pipeline import fuse_table, good_rows, rejected_rows
 
 IDS = ["l_orderkey", "l_linenumber", "ein"]
@@ -290,7 +291,8 @@ def wide_frames(spark, sf_dir):
         F.sequence(F.lit(1), F.lit(WIDE_CODES)),
         lambda i: ((F.col("l_orderkey") * 7 + F.col("l_partkey") + i) % 1000 / F.lit(10.0)).cast("string"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spread(keys).select(
         "l_orderkey", "l_linenumber", "l_suppkey", codes.alias("codes"), values.alias("vals")
     )
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telefold.functions.clock import text_epoch
+from telefold.sources.frames import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +57,7 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.when(F.col("l_linenumber") == 6, F.array(text("l_tax"))).otherwise(F.array().cast("array<string>")),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         F.when(flag_a, F.concat(F.lit("0"), text("l_suppkey"))).otherwise(text("l_suppkey")).alias("ein"),

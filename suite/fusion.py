@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from suite.inputs import DEVICES_SQL, FORMULA_ROWS, MAPPING_ROWS, RAW_SQL, devices, frames, mapping, signal_events, table
 from suite.registry import query
 from telefold.functions import listtext
-from telefold.functions.clean import strip_one_zero
 from telefold.operators import fusion, grouped, mapping as maps
 from telefold.sources.frames import spread
 from telefold.plans.pipeline import fuse_table, good_rows, rejected_rows
@@ -33,7 +32,7 @@ def fuse_first_present(spark, sf_dir):
 
 def _ids(df, *more):
     targets = [c for c in ("distance", "pressure", "ratio", "flow", "mix", "state") if c in df.columns]
-    return df.withColumn("ein", strip_one_zero(F.col("ein"))).select(*IDS, *targets, *more)
+    return df.select(*IDS, *targets, *more)
 
 
 PACKED = [

@@ -59,13 +59,14 @@ def fuse_table(
 ) -> DataFrame:
     """Every frame as one fused row with its key columns and a ``reject_reason`` (NULL for a good row).
 
-    Input columns: ``ein, vin, clt_time`` (wall-clock text)``, codes, vals, longitude, latitude``.
+    Input columns, as the scans give them: ``ein`` (already without its extra zero), ``vin``, ``clt_time``
+    (wall-clock text), ``codes``, ``vals``, ``longitude``, ``latitude``.
     """
     seconds = clock.text_epoch(F.col("clt_time"), zone=zone) if zone else F.unix_timestamp(
         F.col("clt_time").try_cast("timestamp")
     )
     keyed = parse_lists(frames, form).select(
-        clean.strip_one_zero(F.col("ein")).alias("ein"),
+        "ein",
         "vin",
         F.lit(data_source).alias("data_source"),
         F.lit(data_type).alias("data_type"),

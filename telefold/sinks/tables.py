@@ -22,9 +22,16 @@ def append_partitions(df: DataFrame, path: str) -> None:
     _sorted(df).write.partitionBy(*LAYOUT).mode("append").parquet(path)
 
 
-def reload_partitions(df: DataFrame, path: str, layout: Sequence[str] = LAYOUT) -> None:
-    """Replaces exactly the partitions that ``df`` has rows for. Running it twice changes nothing."""
-    rows = _sorted(df) if tuple(layout) == LAYOUT else df
+def reload_partitions(
+    df: DataFrame, path: str, layout: Sequence[str] = LAYOUT, cluster: bool = False
+) -> None:
+    """Replaces exactly the partitions that ``df`` has rows for. Running it twice changes nothing.
+
+    Rows are written where they are. ``cluster`` gathers each partition's rows first, for input in no
+    order of date; adaptive execution then splits a large partition and merges small ones.
+    """
+    rows = df.hint("rebalance", *layout) if cluster else df
+    rows = _sorted(rows) if tuple(layout) == LAYOUT else rows
     (
         rows.write.partitionBy(*layout)
         .mode("overwrite")

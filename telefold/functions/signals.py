@@ -15,18 +15,12 @@ SENT_NULL = "\u0000"
 TEXT_MARK = "#"
 
 
-def common_length(codes: Column, values: Column) -> Column:
-    return F.coalesce(F.least(F.size(codes), F.size(values)), F.lit(0))
-
-
 def paired(codes: Column, values: Column) -> tuple[Column, Column]:
     """Both lists cut to the shorter one; a NULL list is an empty one."""
-    n = F.greatest(common_length(codes, values), F.lit(0))
     none = F.array().cast("array<string>")
-    return (
-        F.coalesce(F.slice(codes, F.lit(1), n), none),
-        F.coalesce(F.slice(values.cast("array<string>"), F.lit(1), n), none),
-    )
+    codes, values = F.coalesce(codes, none), F.coalesce(values.cast("array<string>"), none)
+    n = F.least(F.size(codes), F.size(values))
+    return F.slice(codes, F.lit(1), n), F.slice(values, F.lit(1), n)
 
 
 def signal_map(codes: Column, values: Column, first: bool = False) -> Column:

@@ -1,11 +1,8 @@
 """Fusion of frames: from two parallel lists to one column per target.
 
-A frame is one row, so fusion needs no shuffle: the row's lists are re-keyed into a struct with one
-field per configured signal, and every target is a CASE over its signals. The job stays map-only
-whatever the data's size, and a vehicle that sends a third of all frames is just many rows.
-
-The struct comes from reading the row's map as JSON under an explicit schema. That places every code
-by a hash of its name, once per entry; looking each signal up in the map would scan the map each time.
+A frame is one row, so fusion needs no shuffle: the row's lists are re-keyed by code and every target
+is a CASE over its signals. The job stays map-only whatever the data's size, and a vehicle that sends a
+third of all frames is just many rows.
 """
 
 from __future__ import annotations
@@ -23,20 +20,28 @@ from telefold.session import keep_last_key
 
 RULES = ("first", "valid", "last")
 
+#: Up to that many codes, looking each one up in the map is cheaper than placing all of them.
+LOOKED_UP = 64
+
 
 def with_signals(frames: DataFrame, kept: list, targets: list[Target], codes: str, values: str, first: bool = False) -> DataFrame:
-    """The ``kept`` columns and ``_signals``, a struct with one field per code the targets read.
+    """The ``kept`` columns and ``_signals``, where ``getItem(code)`` is a sent value or NULL.
+
+    Few codes are looked up in the frame's map, which scans it; many are placed once into a struct with
+    one field per code, by reading the map as JSON under that schema.
 
-    The struct goes through a one-element generator. A filter or a second use of a target above it then
-    reads the finished struct; through a plain projection the optimizer would copy the whole re-keying
-    into the filter, once per field.
+    The column goes through a one-element generator. A filter or a second use of a target above it then
+    reads the finished column; through a plain projection the optimizer would copy the whole re-keying
+    into the filter, once per code.
     """
     wanted = sorted({s.code for t in targets for s in t.signals})
-    if len({c.lower() for c in wanted}) < len(wanted):
-        raise ValueError("signal codes differ only in case: use grouped.fuse_grouped")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
-    struct = F.from_json(F.to_json(signal_map(F.col(codes), F.col(values), first)), schema)
-    return frames.select(*kept, F.explode_outer(F.array(struct)).alias("_signals"))
+    sent = signal_map(F.col(codes), F.col(values), first)
+    if len(wanted) > LOOKED_UP:
+        if len({c.lower() for c in wanted}) < len(wanted):
+            raise ValueError("signal codes differ only in case: use grouped.fuse_grouped")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
+        sent = F.from_json(F.to_json(sent), schema)
+    return frames.select(*kept, F.explode_outer(F.array(sent)).alias("_signals"))
 
 
 def _converted(value: Column, signal: Signal) -> Column:
@@ -182,7 +187,7 @@ def _fuse(
     bad = {"default": BAD_NUMBER, "reject": float("nan")}.get(on_bad_number)
 
     def field(s: Signal) -> Column:
-        return F.col("_signals").getField(s.code)
+        return F.col("_signals").getItem(s.code)
 
     def fused(t: Target) -> Column:
         if rule == "first":

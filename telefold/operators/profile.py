@@ -15,6 +15,9 @@ SIZE_UNIT = 1024
 #: Value ranges a box summary sorts one by one; bounds what one task sorts to 1/BOX_PARTS of a signal.
 BOX_PARTS = 256
 
+#: A value's range is found among every so-many-th bound first, then among the bounds in between.
+COARSE = 16
+
 
 def signal_census(
     frames: DataFrame, date: str, codes: str = "codes", prefixes: Sequence[str] = (), more_than: int = 100
@@ -123,8 +126,14 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
     bounds = counted.groupBy(*by).agg(
         F.percentile_approx("_v", cuts, 20 * parts).alias("_cuts"), F.sum("_c").alias("n")
     )
-    placed = counted.join(bounds, by).withColumn(
-        "_part", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    coarse = F.array(*[F.get("_cuts", F.lit(i)) for i in range(COARSE - 1, parts - 1, COARSE)])
+    bounds = bounds.withColumn("_coarse", coarse)
+    rough = F.size(F.filter("_coarse", lambda cut: cut < F.col("_v"))) * COARSE
+    fine = F.filter(F.slice("_cuts", F.col("_rough") + 1, F.lit(COARSE)), lambda cut: cut < F.col("_v"))
+    placed = (
+        counted.join(bounds, by)
+        .withColumn("_rough", rough)
+        .select(*by, "n", "_v", "_c", (F.col("_rough") + F.size(fine)).alias("_part"))
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum("_c").alias("_t"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

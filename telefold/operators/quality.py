@@ -72,7 +72,7 @@ def value_checks(
     for t in targets:
         check = None
         for s in t.signals:
-            field = F.col("_signals").getField(s.code)
+            field = F.col("_signals").getItem(s.code)
             factor = 1.0 if s.factor is None else s.factor
             read, made = sent_number(field), F.col(f"`{t.name}`")
             row = F.struct(

@@ -81,8 +81,11 @@ def frames(spark):
     return spark.createDataFrame(FRAMES, "id string, codes array<string>, vals array<string>")
 
 
+@pytest.mark.parametrize("looked_up", [64, 0])
 @pytest.mark.parametrize("rule", list(EXPECTED))
-def test_rules(frames, compiled, rule):
+def test_rules(frames, compiled, rule, looked_up, monkeypatch):
+    """The same by map lookup and by struct."""
+    monkeypatch.setattr(fusion, "LOOKED_UP", looked_up)
     got = {r.id: (r.t, r.u, r.w) for r in fusion.fuse_frames(frames, compiled, rule).collect()}
     assert got == EXPECTED[rule]
 
@@ -113,16 +116,25 @@ def test_one_row_per_frame_and_no_shuffle(frames, compiled):
     assert "Exchange" not in plan
 
 
-def test_filter_on_a_target_does_not_copy_the_rekeying(frames, compiled):
+def test_filter_on_a_target_does_not_copy_the_rekeying(frames, compiled, monkeypatch):
+    plan = _filtered_plan(frames, compiled)
+    assert plan.count("map_from_arrays") == 1
+    monkeypatch.setattr(fusion, "LOOKED_UP", 0)
+    plan = _filtered_plan(frames, compiled)
+    assert plan.count("map_from_arrays") == 1 and plan.count("from_json") == 1
+
+
+def _filtered_plan(frames, compiled):
     fused = fusion.fuse_frames(frames, maps.read_targets(compiled)).where("t > 1 and w is null")
-    plan = fused._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    return fused._jdf.queryExecution().executedPlan().toString()
 
 
-def test_codes_differing_in_case_are_refused(spark):
+def test_codes_differing_in_case(spark, monkeypatch):
     rows = [("t", "m", "s1", "m", None, None, None, 1), ("t", "m", "S1", "m", None, None, None, 2)]
     targets = maps.read_targets(maps.compile_mapping(spark.createDataFrame(rows, MAPPING_DDL), "id"))
     df = spark.createDataFrame([(["S1"], ["1"])], "codes array<string>, vals array<string>")
+    assert fusion.fuse_frames(df, targets).first().t == 1.0
+    monkeypatch.setattr(fusion, "LOOKED_UP", 0)
     with pytest.raises(ValueError, match="case"):
         fusion.fuse_frames(df, targets)
 

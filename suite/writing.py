@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.fusion import GROUP_SQL, group_mapping, group_scaling
-from suite.inputs import RAW_SQL, frames, mapping, signal_events, table, text
+from suite.fusion import group_mapping, group_scaling
+from suite.inputs import RAW_SQL, frames, mapping, table
 from suite.registry import query
-from suite.scans import frame_messages
-from telefold.operators import fusion, mapping as maps
+from suite.scans import frame_messages, signal_messages
+from telefold.operators import fusion, mapping as maps, units
 from telefold.plans import backfill
 from telefold.plans.pipeline import fuse_table
 from telefold.session import work_path
@@ -174,30 +174,32 @@ def stream_frames_file(spark, sf_dir):
 
 @query(
     "stream_grouped_file",
-    GROUP_SQL.replace("min(vin) AS vin,", "min(vin) AS vin, 121.5::DOUBLE AS lng,"),
+    """WITH e AS (SELECT user_id::VARCHAR AS ein, epoch(date_trunc('second', ts))::BIGINT AS clt_timestamp, event_id,
+                         event_type, value FROM events)
+    SELECT ein, clt_timestamp, min('V' || event_id::VARCHAR) AS vin, 121.5::DOUBLE AS lng,
+           arg_min(CASE event_type WHEN 'click' THEN (value * 2.0::DOUBLE + 1.0::DOUBLE) * 0.001::DOUBLE ELSE value END,
+                   (event_type, value)) FILTER (WHERE event_type IN ('click', 'view')) AS speed,
+           min((value + 0.5::DOUBLE) * 10.0::DOUBLE) FILTER (WHERE event_type = 'error') AS pressure,
+           min(value) FILTER (WHERE event_type = 'signup') AS note
+    FROM e GROUP BY ein, clt_timestamp""",
 )
 def stream_grouped_file(spark, sf_dir):
-    """One message per engine and hour; its signals in the order they were sent."""
+    """Lists of messages, position and signals, fused per engine and second in one batch."""
     source, path, checkpoint = (work_path(spark, n) for n in ("lists", "fused", "progress"))
-    ev = signal_events(spark, sf_dir)
-    # A message is one engine's hour; a real one is bounded by its device.
-    signal = F.struct("pos", "pid", "value")
-    grouped = ev.groupBy("ein", "vin", "clt_timestamp").agg(F.array_sort(F.collect_list(signal)).alias("s"))
-    message = F.struct(
-        "ein", "vin", (F.col("clt_timestamp") * 1000).alias("time"), F.lit("T").alias("sn"),
-        F.lit("121.5").alias("lng"), F.lit("31.2").alias("lat"),
-        F.transform("s", lambda x: F.struct(x.pid, x.value)).alias("message"),
+    signal_messages(spark, sf_dir).write.text(source)
+    position = spark.createDataFrame(
+        [("lng", "deg", "lng", "deg", 9)],
+        "target_name string, target_unit string, signal_name string, signal_unit string, id int",
     )
-    grouped.select(F.to_json(F.array(message)).alias("value")).repartition(4).write.text(source)
-    rows = spark.createDataFrame([("lng", "°", "lng", "°", 9)], "target_name string, target_unit string, signal_name string, signal_unit string, id int")
-    place = maps.attach_factor(rows, "signal_unit", "target_unit")
-    compiled = group_mapping(spark).unionByName(
-        place.select("target_name", "signal_name", F.lit(1).alias("priority"), F.lit(False).alias("is_text"), "target_unit", "signal_unit", "factor", F.lit(True).alias("convertible")),
-        allowMissingColumns=True,
+    place = units.attach_factor(position, "signal_unit", "target_unit").select(
+        "target_name", "signal_name", F.lit(1).alias("priority"), F.lit(False).alias("is_text"),
+        "target_unit", "signal_unit", "factor", F.lit(True).alias("convertible"),
     )
+    compiled = group_mapping(spark).unionByName(place, allowMissingColumns=True)
     run = jobs.stream_signals(
-        open_files(spark, source, 2), compiled, path, checkpoint, scaling=group_scaling(spark), every=None
+        open_files(spark, source), compiled, path, checkpoint, scaling=group_scaling(spark), every=None
     )
     run.awaitTermination()
     got = spark.read.parquet(path).withColumn("note", F.col("note").cast("double"))
-    return got.select("ein", F.col("clt_timestamp").cast("bigint").alias("clt_timestamp"), "vin", "lng", "speed", "pressure", "note")
+    seconds = F.col("clt_timestamp").cast("bigint").alias("clt_timestamp")
+    return got.select("ein", seconds, "vin", "lng", "speed", "pressure", "note")

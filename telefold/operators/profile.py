@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from telefold.functions.clean import starts_with_any
+from telefold.session import written
 
 # Measured size of 10,000 raw frames, and the divisor to the next unit.
 SIZE_PER_10K = 21.38
@@ -112,7 +113,8 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
     Built for a group that holds most of the rows. Equal values are counted first, so repeats leave the
     map side once. Approximate quantiles of the distinct values then cut each group into ``parts``
     ranges of similar size; each range is sorted by its own task, and the few range totals give every
-    value its exact ranks.
+    value its exact ranks. The cuts and the totals (one row per group and range) are written aside, so
+    building the result runs two jobs.
     """
     by = list(by)
     if not by:
@@ -127,7 +129,7 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
         F.percentile_approx("_v", cuts, 20 * parts).alias("_cuts"), F.sum("_c").alias("n")
     )
     coarse = F.array(*[F.get("_cuts", F.lit(i)) for i in range(COARSE - 1, parts - 1, COARSE)])
-    bounds = bounds.withColumn("_coarse", coarse)
+    bounds = written(bounds.withColumn("_coarse", coarse), "bounds")
     rough = F.size(F.filter("_coarse", lambda cut: cut < F.col("_v"))) * COARSE
     fine = F.filter(F.slice("_cuts", F.col("_rough") + 1, F.lit(COARSE)), lambda cut: cut < F.col("_v"))
     placed = (
@@ -138,6 +140,7 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
     totals = placed.groupBy(*by, "_part").agg(F.sum("_c").alias("_t"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
+    offsets = written(offsets, "offsets")
     running = Window.partitionBy(*by, "_part").orderBy("_v")
     last = F.col("_before") + F.sum("_c").over(running) - 1
     ranked = placed.join(offsets, [*by, "_part"]).withColumn("_last", last).withColumn(

@@ -49,6 +49,22 @@ def sent_text(kept: Column) -> Column:
     return F.when(kept != SENT_NULL, plain)
 
 
+def quoted(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace(SENT_NULL, "\\u0000") + "'"
+
+
+def sent_text_sql(kept: str) -> str:
+    """``sent_text`` of a SQL expression."""
+    null, mark = quoted(SENT_NULL), quoted(TEXT_MARK)
+    return f"IF({kept} <> {null}, IF(startswith({kept}, {mark}), substr({kept}, 2), {kept}), NULL)"
+
+
+def sent_number_sql(kept: str) -> str:
+    """``sent_number`` of a SQL expression."""
+    return f"try_cast({kept} AS DOUBLE)"
+
+
 def sent_number(kept: Column) -> Column:
     """The number behind a ``signal_map`` entry, NULL when there is none."""
     return kept.try_cast("double")

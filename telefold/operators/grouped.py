@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
-from telefold.functions.signals import SENT_NULL
+from telefold.functions.signals import SENT_NULL, quoted, sent_number_sql
 from telefold.operators.mapping import Target, read_targets
 from telefold.session import keep_last_key
 
@@ -76,14 +76,15 @@ def _unless_null(value: Column) -> Column:
     return F.when(value != SENT_NULL, value)
 
 
-def _widen(gathered: DataFrame, kept: list[str], targets: list[Target]) -> DataFrame:
+def _widen(gathered: DataFrame, kept_columns: list[str], targets: list[Target]) -> DataFrame:
     schema = T.StructType([T.StructField(t.name, T.StringType()) for t in targets])
-    wide = gathered.select(*kept, F.from_json(F.to_json("_m"), schema).alias("_s"))
+    wide = gathered.select(*kept_columns, F.from_json(F.to_json("_m"), schema).alias("_s"))
     columns = []
     for t in targets:
-        text = _unless_null(F.col("_s").getField(t.name))
-        columns.append((text if t.is_text else text.try_cast("double")).alias(t.name))
-    return wide.select(*kept, *columns)
+        kept = f"_s[{quoted(t.name)}]"
+        text = f"IF({kept} <> {quoted(SENT_NULL)}, {kept}, NULL)"
+        columns.append(F.expr(text if t.is_text else sent_number_sql(kept)).alias(t.name))
+    return wide.select(*kept_columns, *columns)
 
 
 def gather_frames(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
 from telefold.functions.signals import SENT_NULL, quoted, sent_number_sql
-from telefold.operators.mapping import Target, read_targets
+from telefold.operators.mapping import Target, broadcast_if_small, list_targets
 from telefold.session import keep_last_key
 
 
@@ -24,7 +24,7 @@ def _order(columns: Sequence[str]) -> Column:
 def attach_mapping(tall: DataFrame, mapping: DataFrame, scaling: DataFrame | None = None) -> DataFrame:
     """Signals left-joined to their targets and scaling by ``pid``; signals without either stay."""
     ids = [c for c in mapping.columns if c not in ("signal_name",)]
-    rows = tall.join(mapping.select(F.col("signal_name").alias("pid"), *ids), "pid", "left")
+    rows = tall.join(mapping.withColumnRenamed("signal_name", "pid").select("pid", *ids), "pid", "left")
     if scaling is None:
         return rows.withColumn("multiplier", F.lit(1.0)).withColumn("offset", F.lit(0.0))
     return rows.join(scaling.select("pid", "multiplier", "offset"), "pid", "left")
@@ -42,10 +42,14 @@ def fuse_grouped(
     """One row per key: for each target the first matching row in arrival order, scaled, converted.
 
     ``ids`` are carried as their first non-NULL value; they may come from the rows or the mapping.
-    A key none of whose signals is mapped still gives a row.
+    A key none of whose signals is mapped still gives a row. Without ``targets`` they are read from the
+    mapping, and small metadata is marked for broadcast; with them nothing is read or marked here.
     """
     keep_last_key(tall.sparkSession)
-    targets = read_targets(mapping) if targets is None else targets
+    if targets is None:
+        targets = list_targets(mapping)
+        mapping = broadcast_if_small(mapping)
+        scaling = None if scaling is None else broadcast_if_small(scaling)
     rows = attach_mapping(tall, mapping, scaling)
     # The signal itself settles equal stamps, so a recomputed task picks the same row.
     stamp = F.struct(
@@ -99,6 +103,7 @@ def gather_frames(
     is no longer than the mapping. A frame none of whose codes is mapped keeps a row with empty lists.
     """
     known = mapping.select(F.col("signal_name").alias("pid")).distinct().withColumn("_known", F.lit(True))
+    known = broadcast_if_small(known)
     rows = tall.join(known, "pid", "left").withColumn("pid", F.when(F.col("_known"), F.col("pid")))
     best = rows.groupBy(*keys, "pid").agg(
         F.max_by(F.coalesce("value", F.lit(SENT_NULL)), _order(order)).alias("value")

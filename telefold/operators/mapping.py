@@ -175,6 +175,22 @@ def read_targets(compiled: DataFrame, max_rows: int = MAX_MAPPING_ROWS) -> list[
     return list(targets.values())
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_MAPPING_ROWS) -> DataFrame:
+    """Marks a metadata table for broadcast after counting that it has at most ``max_rows`` rows.
+
+    A database table has no size estimate, so the planner alone would shuffle the signals by code.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def list_targets(compiled: DataFrame) -> list[Target]:
+    """Names and types of the targets only, for a mapping of any length."""
+    rows = compiled.select("target_name", "is_text").distinct().limit(MAX_MAPPING_ROWS + 1).collect()
+    if len(rows) > MAX_MAPPING_ROWS:
+        raise ValueError(f"more than {MAX_MAPPING_ROWS} targets cannot be columns of one table")
+    return [Target(r.target_name, r.is_text) for r in sorted(rows, key=lambda r: r.target_name)]
+
+
 # ---------------------------------------------------------------- regrouping and checking
 
 def _has_unit(unit: str) -> Column:

@@ -170,6 +170,13 @@ def test_grouped_combines_before_its_shuffles(spark, compiled):
     assert plan.count("partial_min_by") == 1 and "partial_min(" in plan
 
 
+def test_only_counted_metadata_is_broadcast(spark, compiled):
+    for rows, hinted in ((3, True), (4, False)):
+        plan = maps.broadcast_if_small(spark.range(rows), 3)._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan.lower()) is hinted
+    assert [(t.name, t.is_text) for t in maps.list_targets(compiled)] == [("t", False), ("u", True), ("w", False)]
+
+
 def test_series_use_their_own_mapping(spark):
     one = [("t", "m", "S1", "km", None, None, None, 1)]
     two = [("t", "m", "S1", "cm", None, None, None, 1), ("u", None, "S3", None, None, None, None, 2)]

@@ -20,7 +20,7 @@ from telefold.plans.backfill import with_slice
     SELECT o_orderkey, CASE WHEN raw LIKE '0%' THEN substr(raw, 2) ELSE raw END AS ein,
            regexp_replace(series, '系列$', '') AS series,
            replace(replace(lower(o_orderpriority), ' ', '_'), '-', '_') AS name,
-           'sdec' AS data_source FROM t""",
+           'source_a' AS data_source FROM t""",
 )
 def normalize_ids(spark, sf_dir):
     series = F.when(F.col("o_orderstatus") == "F", F.concat("o_orderpriority", F.lit("系列"))).otherwise(
@@ -31,7 +31,7 @@ def normalize_ids(spark, sf_dir):
         clean.strip_one_zero(F.lpad(text("o_custkey"), 6, "0")).alias("ein"),
         clean.series_base(series).alias("series"),
         clean.snake_name(F.col("o_orderpriority")).alias("name"),
-        F.lit("sdec").alias("data_source"),
+        F.lit("source_a").alias("data_source"),
     )
 
 

@@ -151,7 +151,7 @@ def fuse_reject(spark, sf_dir):
 
 
 FULL_SQL = f"""WITH {RAW_SQL}, {DEVICES_SQL}
-    SELECT r.ein, r.vin, 'sdec' AS data_source, 'gc' AS data_type,
+    SELECT r.ein, r.vin, 'source_a' AS data_source, 'gc' AS data_type,
            epoch(sent_at)::BIGINT AS clt_timestamp, strftime(sent_at, '%Y-%m-%d %H:%M:%S') AS clt_time,
            strftime(sent_at, '%Y-%m-%d') AS clt_date,
            l_discount * 100 + 100 AS lng, CASE WHEN l_linestatus = 'O' THEN l_quantity END AS lat,
@@ -170,7 +170,9 @@ def fuse_full(spark, sf_dir):
         {"codes": listtext.join_list(F.col("codes")), "vals": listtext.join_list(F.col("vals"))}
     )
     compiled = maps.compile_mapping(mapping(spark), "id")
-    fused = fuse_table(raw, compiled, devices(spark, sf_dir), form="comma", rule="valid", zone="UTC")
+    fused = fuse_table(
+        raw, compiled, devices(spark, sf_dir), data_source="source_a", form="comma", rule="valid", zone="UTC"
+    )
     return good_rows(fused).drop("pressure", "ratio", "flow")
 
 

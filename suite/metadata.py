@@ -120,7 +120,7 @@ def schema_from_config(spark, sf_dir):
     SELECT target_name, target_desc, CASE WHEN target_unit = '-' THEN NULL ELSE target_unit END AS target_unit,
            'P' || p_partkey::VARCHAR AS signal_name, p_type AS signal_desc,
            CASE WHEN p_size > 10 THEN 'km' END AS signal_unit,
-           CASE WHEN p_size > 10 THEN 'Float64' ELSE 'String' END AS signal_type, 'sdec' AS data_source
+           CASE WHEN p_size > 10 THEN 'Float64' ELSE 'String' END AS signal_type, 'source_a' AS data_source
     FROM t JOIN part USING (p_partkey)""",
 )
 def sheet_mapping(spark, sf_dir):
@@ -132,13 +132,13 @@ def sheet_mapping(spark, sf_dir):
         F.col("p_type").alias("Description"),
         F.when(F.col("p_size") > 10, "km").otherwise("").alias("unit"),
     )
-    return maps.sheet_mapping(sheet, "sdec")
+    return maps.sheet_mapping(sheet, "source_a")
 
 
 @query(
     "config_import",
     """SELECT p_brand AS target_name, p_name AS target_desc, p_type AS target_unit, p_partkey::VARCHAR AS signal_code,
-           'km' AS signal_unit, p_size::DOUBLE AS multiplier, 0.0::DOUBLE AS "offset", '大通' AS platname, 'snat' AS data_source
+           'km' AS signal_unit, p_size::DOUBLE AS multiplier, 0.0::DOUBLE AS "offset", 'platform_a' AS platname, 'source_c' AS data_source
     FROM part""",
 )
 def config_import(spark, sf_dir):
@@ -151,7 +151,7 @@ def config_import(spark, sf_dir):
     )
     sinks.export_csv(rows, sheet, bom=True)
     read = metadata.sheet_scan(spark, sheet, heads)
-    sinks.append_with(maps.import_sheet(read, platname="大通"), target, data_source="snat")
+    sinks.append_with(maps.import_sheet(read, platname="platform_a"), target, data_source="source_c")
     got = spark.read.parquet(target)
     return got.withColumns({c: F.col(c).cast("double") for c in ("multiplier", "offset")})
 
@@ -165,12 +165,12 @@ def config_import(spark, sf_dir):
 def mapping_scan(spark, sf_dir):
     rows = packed(spark, sf_dir).withColumns(
         {
-            "data_source": F.when(F.col("target_name") == "Brand#2", "czdf").otherwise("snat"),
+            "data_source": F.when(F.col("target_name") == "Brand#2", "source_b").otherwise("source_c"),
             "data_type": F.col("hos_series"),
             "hos_series": F.concat("hos_series", F.lit("系列")),
         }
     )
-    found = metadata.mapping_scan(rows, "snat", hos_series="ECONOMY", data_type="ECONOMY")
+    found = metadata.mapping_scan(rows, "source_c", hos_series="ECONOMY", data_type="ECONOMY")
     return metadata.packed_as_normalised(found).select("id", "target_name", "signal_name", "signal_type")
 
 

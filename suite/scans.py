@@ -38,7 +38,7 @@ def _flavour_b(spark, sf_dir):
         F.col("longitude").alias("lng"),
         F.col("latitude").alias("lat"),
         F.col("uploadDate").alias("clt_date"),
-        F.when(F.col("l_linenumber") > 2, "czdf").otherwise("other").alias("data_source"),
+        F.when(F.col("l_linenumber") > 2, "source_b").otherwise("other").alias("data_source"),
     )
 
 
@@ -48,7 +48,7 @@ def _flavour_b(spark, sf_dir):
     WHERE l_shipdate BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND l_linenumber > 2 AND ein <> ''""",
 )
 def frame_scan_b(spark, sf_dir):
-    df = scans.frames_b(_flavour_b(spark, sf_dir), "1996-01-01", "1996-12-31")
+    df = scans.frames_b(_flavour_b(spark, sf_dir), "source_b", "1996-01-01", "1996-12-31")
     return df.select(*SCAN, F.col("longitude").cast("double").alias("lng"))
 
 

@@ -25,7 +25,7 @@ def _rows(spark, sf_dir):
     fused = fusion.fuse_frames(frames(spark, sf_dir), compiled)
     return fused.select(
         "vin", "clt_timestamp", "distance",
-        F.when(F.col("state").isNull(), "czdf").otherwise("sdec").alias("data_source"),
+        F.when(F.col("state").isNull(), "source_b").otherwise("source_a").alias("data_source"),
         F.lit("gc").alias("data_type"),
         F.concat(F.substring("clt_date", 1, 8), F.lit("01")).alias("clt_date"),
     )
@@ -39,7 +39,7 @@ def _read(spark, path):
 
 
 WRITTEN = f"""SELECT vin, epoch(sent_at)::BIGINT AS clt_timestamp, coalesce(qa * 1000, qn) AS distance,
-    CASE WHEN s IS NULL THEN 'czdf' ELSE 'sdec' END AS data_source, 'gc' AS data_type, {MONTH_SQL} AS clt_date"""
+    CASE WHEN s IS NULL THEN 'source_b' ELSE 'source_a' END AS data_source, 'gc' AS data_type, {MONTH_SQL} AS clt_date"""
 
 
 @query("reload_partition_twice", f"WITH {RAW_SQL} {WRITTEN} FROM raw")
@@ -54,20 +54,20 @@ def reload_partition_twice(spark, sf_dir):
 @query(
     "delete_then_append",
     f"""WITH {RAW_SQL}, w AS ({WRITTEN} FROM raw)
-    SELECT * FROM w WHERE NOT coalesce(data_source = 'sdec' AND clt_date = '1997-05-01' AND distance > 20000, false)
-    UNION ALL SELECT vin, clt_timestamp, -1.0::DOUBLE, 'sdec', 'gc', '1997-05-01' FROM w WHERE clt_date = '1996-02-01'""",
+    SELECT * FROM w WHERE NOT coalesce(data_source = 'source_a' AND clt_date = '1997-05-01' AND distance > 20000, false)
+    UNION ALL SELECT vin, clt_timestamp, -1.0::DOUBLE, 'source_a', 'gc', '1997-05-01' FROM w WHERE clt_date = '1996-02-01'""",
 )
 def delete_then_append(spark, sf_dir):
     path = work_path(spark, "table")
     rows = _rows(spark, sf_dir)
     sinks.reload_partitions(rows, path, cluster=True)
     spoilt = (
-        (F.col("data_source") == "sdec")
+        (F.col("data_source") == "source_a")
         & (F.col("clt_date").cast("string") == "1997-05-01")
         & (F.col("distance") > 20000)
     )
     new = rows.where("clt_date = '1996-02-01'").select(
-        "vin", "clt_timestamp", F.lit(-1.0).alias("distance"), F.lit("sdec").alias("data_source"),
+        "vin", "clt_timestamp", F.lit(-1.0).alias("distance"), F.lit("source_a").alias("data_source"),
         F.lit("gc").alias("data_type"), F.lit("1997-05-01").cast("date").alias("clt_date"),
     )
     sinks.delete_then_append(spark, path, spoilt, new)
@@ -78,7 +78,7 @@ def delete_then_append(spark, sf_dir):
     "backfill_range",
     f"""WITH {RAW_SQL}
     SELECT ein, vin, epoch(sent_at)::BIGINT AS clt_timestamp, coalesce(qa * 1000, qn) AS distance,
-           'snat' AS data_source, strftime(sent_at, '%Y-%m-%d') AS clt_date
+           'source_c' AS data_source, strftime(sent_at, '%Y-%m-%d') AS clt_date
     FROM raw WHERE l_shipdate BETWEEN DATE '1997-03-01' AND DATE '1997-04-15'""",
 )
 def backfill_range(spark, sf_dir):
@@ -87,7 +87,7 @@ def backfill_range(spark, sf_dir):
     compiled = maps.compile_mapping(mapping(spark), "id")
 
     def fuse(days):
-        return fuse_table(days, compiled, data_source="snat", zone="UTC").drop("reject_reason")
+        return fuse_table(days, compiled, data_source="source_c", zone="UTC").drop("reject_reason")
 
     raw = frames(spark, sf_dir)
     backfill.backfill(raw, fuse, path, "1997-03-01", "1997-04-15")

@@ -46,7 +46,7 @@ def fuse_table(
     frames: DataFrame,
     mapping: DataFrame | list[Target],
     devices: DataFrame | None = None,
-    data_source: str = "sdec",
+    data_source: str = "telemetry",
     data_type: str = "gc",
     form: str = "arrays",
     rule: str = "first",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -37,9 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="telefold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"telefold-{application}-")
 
 
 def work_path(spark: SparkSession, name: str) -> str:

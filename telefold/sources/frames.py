@@ -58,7 +58,7 @@ def frames_a(
     return frames if limit is None else frames.limit(limit)
 
 
-def frames_b(raw: DataFrame, first: str, last: str | None = None, data_source: str = "czdf") -> DataFrame:
+def frames_b(raw: DataFrame, data_source: str, first: str, last: str | None = None) -> DataFrame:
     """Flavour B: other column names, filtered by data source too."""
     rows = raw.where(
         F.col("clt_date").between(F.lit(first).cast("date"), F.lit(last or first).cast("date"))

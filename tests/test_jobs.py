@@ -58,7 +58,7 @@ def test_list_forms(spark, compiled, form, codes, vals):
 
 
 def day_rows(spark, days, value=1.0):
-    rows = [("sdec", "gc", d, "v", i, value) for d in days for i in range(3)]
+    rows = [("source_a", "gc", d, "v", i, value) for d in days for i in range(3)]
     return spark.createDataFrame(rows, "data_source string, data_type string, clt_date string, vin string, clt_timestamp int, t double")
 
 
@@ -79,7 +79,7 @@ def test_reload_is_idempotent_and_local(spark):
 def test_reloading_a_day_without_rows_empties_it(spark):
     path = work_path(spark, "t")
     sinks.append_partitions(day_rows(spark, ["2024-01-01", "2024-01-02"]), path)
-    sinks.reload_day(day_rows(spark, ["2024-01-05"]), path, "sdec", "gc", "2024-01-01")
+    sinks.reload_day(day_rows(spark, ["2024-01-05"]), path, "source_a", "gc", "2024-01-01")
     assert {d for d, _, _ in table(spark, path)} == {"2024-01-02"}
 
 

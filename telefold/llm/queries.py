@@ -89,11 +89,11 @@ windows AS (
     FROM item_words WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT size FROM windows),
 grams AS (
-    SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS at,
+    SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS start_at,
            unnest(list_transform(range(1, len(w) - size + 2), i -> array_to_string(w[i:i + size - 1], ' '))) AS gram
     FROM doc_words, sizes WHERE len(w) >= size),
-found AS (SELECT doc_id, g.size, at, item_id FROM grams g JOIN windows USING (size, gram)),
-hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(at, at + size)) AS pos FROM found) GROUP BY doc_id),
+found AS (SELECT doc_id, g.size, start_at, item_id FROM grams g JOIN windows USING (size, gram)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(start_at, start_at + size)) AS pos FROM found) GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS names
           FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,

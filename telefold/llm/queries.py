@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, token_count
+from . import bpe, decontaminate, lines, quality, token_count
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
 LINE_DOCS = 10
+KEEP_SCORE = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,20 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with ``held_out``, ``score`` and ``predicted``; trained on the labelled documents not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    labels = _table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    model = quality.train(_table(spark, sf_dir, "documents"), labels)
+    scored = quality.score(docs, model)
+    return scored.withColumns({"held_out": held_out, "predicted": (F.col("score") >= KEEP_SCORE).cast("int")})
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(spark, docs, sf_dir).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.drop_frequent_lines(docs, LINE_DOCS)
@@ -55,7 +70,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op4_frequent_lines, op6_token_counts, op10_benchmark_hits)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op6_token_counts, op10_benchmark_hits)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,
@@ -85,12 +100,12 @@ item_words AS (
                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS size,
-           unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), i -> array_to_string(w[i:i + 9], ' '))) AS gram
+           unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS gram
     FROM item_words WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT size FROM windows),
 grams AS (
     SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS start_at,
-           unnest(list_transform(range(1, len(w) - size + 2), i -> array_to_string(w[i:i + size - 1], ' '))) AS gram
+           unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS gram
     FROM doc_words, sizes WHERE len(w) >= size),
 found AS (SELECT doc_id, g.size, start_at, item_id FROM grams g JOIN windows USING (size, gram)),
 hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(start_at, start_at + size)) AS pos FROM found) GROUP BY doc_id),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, quality, token_count
+from . import bpe, decontaminate, jaccard, lines, quality, token_count
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -57,6 +57,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(docs, percent=75, words=5)
+
+
 def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     hit = decontaminate.benchmark_hits(docs, _table(spark, sf_dir, "benchmark"), window=10)
@@ -70,7 +75,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op6_token_counts, op10_benchmark_hits)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op6_token_counts, op9_jaccard_components, op10_benchmark_hits)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,

@@ -13,7 +13,7 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,14 +21,13 @@ from .vocab import Remembered, Vocabulary, load
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of recent runs between white space."""
+    """Encodes texts; remembers the ids of recent words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         #: pairs that stand side by side in some token; all others are forced boundaries
         self.inside = {pair for s in map(self._split, vocabulary.ids) for pair in zip(s, s[1:])}
-        self.fragment_ids = Remembered(lambda part: [vocabulary.ids[t] for t in self.merge(list(part))])
-        self.run_ids = Remembered(lambda run: np.array([i for w in vocabulary.words(run) for i in self.word_ids(w)], np.int32).tobytes())
+        self.known = Remembered(lambda word: np.array(self.word_ids(word), np.int32).tobytes())
 
     def _split(self, token: str) -> list[str]:
         """A token's symbols; the end-of-word mark belongs to the last."""
@@ -41,13 +40,15 @@ class Encoder:
 
     def fragments(self, symbols: list[str]) -> Iterator[list[str]]:
         """Runs of symbols between forced boundaries."""
+        if all(map(self.inside.__contains__, zip(symbols, symbols[1:]))):
+            yield symbols
+            return
         at = 0
         for i in range(1, len(symbols)):
             if (symbols[i - 1], symbols[i]) not in self.inside:
                 yield symbols[at:i]
                 at = i
-        if symbols:
-            yield symbols[at:]
+        yield symbols[at:]
 
     def merge(self, part: list[str]) -> list[str]:
         """Merges the pair of lowest rank, the leftmost first, until none has a rank."""
@@ -84,16 +85,17 @@ class Encoder:
         return part
 
     def word_ids(self, word: str) -> list[int]:
-        return [i for part in self.fragments(self.v.symbols(word)) for i in self.fragment_ids[tuple(part)]]
+        ids = self.v.ids
+        return [ids[t] for part in self.fragments(self.v.symbols(word)) for t in self.merge(part)]
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The text's ids as int32."""
+    def encode(self, text: str | None) -> bytes:
+        """The text's ids, four bytes each."""
         out = []
-        for runs, special in self.v.chunks(text):
-            out.append(b"".join(map(self.run_ids.__getitem__, runs)))
+        for words, special in self.v.words(text):
+            out += map(self.known.__getitem__, words)
             if special is not None:
                 out.append(np.int32(special).tobytes())
-        return np.frombuffer(b"".join(out), np.int32)
+        return b"".join(out)
 
 
 @functools.cache
@@ -109,11 +111,14 @@ def _names(path: str) -> np.ndarray:
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids array<int>``: the text's token ids by the vocabulary file at ``path``. Map-only."""
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in batches:
-            yield pd.Series([encoder.encode(t) for t in texts], index=texts.index, dtype=object)
+            found = [encoder.encode(t.as_py()) for t in texts]
+            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+            yield pa.ListArray.from_arrays(pa.array(ends), flat)
 
     return docs.withColumn(ids, run(F.col(f"`{text}`")))
 
@@ -122,10 +127,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     """Adds ``decoded string``: the tokens of ``ids`` joined by spaces, as a file without a decoder has it.
     Special tokens are kept; null ids give the empty text. Map-only."""
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = _names(path)
         for many in batches:
-            yield pd.Series([" ".join(names[x].tolist()) if x is not None and len(x) else "" for x in many], index=many.index, dtype=object)
+            texts = (" ".join(names[row.values.to_numpy()].tolist()) if row.is_valid and len(row.values) else "" for row in many)
+            yield pa.array(texts, pa.string(), size=len(many))
 
     return encoded.withColumn(text, run(F.col(f"`{ids}`")))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, lines, quality, token_count
+from . import ann, bpe, decontaminate, html, jaccard, lines, quality, token_count
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -51,12 +51,22 @@ def op4_frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.token_counts(docs, public_tokenizers.path(WORD_BPE), limit=2048)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.jaccard_components(docs, percent=75, words=5)
@@ -75,7 +85,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op6_token_counts, op9_jaccard_components, op10_benchmark_hits)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op5_main_text, op6_token_counts, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,

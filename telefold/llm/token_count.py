@@ -48,15 +48,14 @@ def merged_size(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
 
 
 class Counter:
-    """Counts texts; remembers the counts of recent runs between white space."""
+    """Counts texts; remembers the counts of recent words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.words = Remembered(lambda word: merged_size(vocabulary.symbols(word), vocabulary.ranks))
-        self.runs = Remembered(lambda run: sum(map(self.words.__getitem__, vocabulary.words(run))))
+        self.known = Remembered(lambda word: merged_size(vocabulary.symbols(word), vocabulary.ranks), 400_000)
 
     def count(self, text: str | None) -> int:
-        return sum(sum(map(self.runs.__getitem__, runs)) + (special is not None) for runs, special in self.v.chunks(text))
+        return sum(sum(map(self.known.__getitem__, words)) + (special is not None) for words, special in self.v.words(text))
 
 
 @functools.cache

@@ -17,7 +17,7 @@ import regex
 SPACE = r"\t-\r \x85\xa0  -     　"
 
 SPACES = regex.compile(f"[{SPACE}]+")
-CONTROLS = regex.compile("[\x1c-\x1f]")
+PLAIN = regex.compile("[!-~]*").fullmatch  # characters that stand for their own bytes
 
 
 @functools.cache
@@ -43,33 +43,24 @@ class Vocabulary:
 
     def symbols(self, word: str) -> list[str]:
         """A word's first symbols: a character for each UTF-8 byte, the last with the end-of-word mark."""
-        table = byte_symbols()
-        out = [table[b] for b in word.encode()]
+        out = list(word) if PLAIN(word) else list(map(byte_symbols().__getitem__, word.encode()))
         if out and self.suffix:
             out[-1] += self.suffix
         return out
 
-    def words(self, chunk: str) -> list[str]:
-        """The words of a chunk of ``chunks``."""
-        for step in self.steps:
-            chunk = step(chunk)
-        return self.word.findall(chunk)
-
-    def chunks(self, text: str | None) -> Iterator[tuple[list[str], int | None]]:
-        """Runs without white space up to each special string of the raw text, then that string's id (None at
-        the end). No word goes beyond a run, so what a run becomes can be remembered."""
+    def words(self, text: str | None) -> Iterator[tuple[list[str], int | None]]:
+        """Words up to each special string of the raw text, then that string's id (None at the end)."""
         at = 0
         if text and self.between:
             for m in self.between.finditer(text):
-                yield self._runs(text[at:m.start()]), self.special[m[0]]
+                yield self._words(text[at:m.start()]), self.special[m[0]]
                 at = m.end()
-        yield self._runs(text[at:] if text else ""), None
+        yield self._words(text[at:] if text else ""), None
 
-    @staticmethod
-    def _runs(part: str) -> list[str]:
-        part = unicodedata.normalize("NFC", part)
-        # str.split also cuts at four control characters that aren't white space here
-        return list(filter(None, SPACES.split(part))) if CONTROLS.search(part) else part.split()
+    def _words(self, part: str) -> list[str]:
+        for step in self.steps:
+            part = step(part)
+        return self.word.findall(part)
 
 
 class Remembered(dict):
@@ -102,8 +93,10 @@ def _steps(spec: dict | None) -> Iterator:
             yield from _steps(part)
     elif kind == "Lowercase":
         yield _lower
-    elif kind == "NFC" or kind == "Replace" and spec["pattern"] == {"Regex": "\\s+"} and spec["content"] == " ":
-        return  # chunks() has composed the text and cut it at white space
+    elif kind == "NFC":
+        yield functools.partial(unicodedata.normalize, kind)
+    elif kind == "Replace" and spec["pattern"] == {"Regex": "\\s+"} and spec["content"] == " ":
+        return  # no word holds white space, so it doesn't matter how much there is
     elif kind:
         raise ValueError(f"normalizer {kind} isn't supported")
 

@@ -27,7 +27,7 @@ class Encoder:
         self.v = vocabulary
         #: pairs that stand side by side in some token; all others are forced boundaries
         self.inside = {pair for s in map(self._split, vocabulary.ids) for pair in zip(s, s[1:])}
-        self.known = Remembered(lambda word: np.array(self.word_ids(word), np.int32).tobytes())
+        self.known = Remembered(lambda word: np.array(self.word_ids(word), np.int32).tobytes(), 150_000)
 
     def _split(self, token: str) -> list[str]:
         """A token's symbols; the end-of-word mark belongs to the last."""
@@ -108,13 +108,20 @@ def _names(path: str) -> np.ndarray:
     return np.array(load(path).tokens, dtype=object)
 
 
+def _slices(batches: Iterator[pa.Array], rows: int = 200) -> Iterator[pa.Array]:
+    """Batches in small parts, so that results don't pile up."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids array<int>``: the text's token ids by the vocabulary file at ``path``. Map-only."""
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
-        for texts in batches:
+        for texts in _slices(batches):
             found = [encoder.encode(t.as_py()) for t in texts]
             ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
             flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
@@ -130,7 +137,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = _names(path)
-        for many in batches:
+        for many in _slices(batches):
             texts = (" ".join(names[row.values.to_numpy()].tolist()) if row.is_valid and len(row.values) else "" for row in many)
             yield pa.array(texts, pa.string(), size=len(many))
 

@@ -22,18 +22,18 @@ those are joined, only links between members that are still apart. Equal sets ar
 
 from __future__ import annotations
 
+import contextlib
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .vocab import Remembered
+from .hashing import Bytes, mix
 
 CHARS_AT_ONCE = 1_500_000
 FREQUENT = 48  # a bucket of more sets is skipped in rounds 1 and 2
@@ -42,13 +42,7 @@ SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very f
 FILTER_BITS = 1 << 23
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_SPACE = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
 
 
 @dataclass(frozen=True)
@@ -57,6 +51,7 @@ class Bands:
 
     percent: int
 
+    @functools.lru_cache(200_000)  # noqa: B019
     def differences(self, total: int) -> int:
         """The most elements in which two linked sets of at most ``total`` elements together can differ."""
         p = self.percent
@@ -84,11 +79,6 @@ class Bands:
         return most + 1 + -(-(most + 1) // 10) + 1 if most else 0
 
 
-@functools.cache
-def _word_hashes() -> Remembered:
-    return Remembered(xxhash.xxh3_64_intdigest, 200_000)
-
-
 @dataclass
 class Sets:
     """Distinct shingles of some texts, one text after the other, ascending."""
@@ -115,23 +105,38 @@ class Sets:
 
 def shingle_sets(texts: list[str | None], words: int) -> Sets:
     """Words are runs without ASCII white space, A-Z lower-cased. Fewer than ``words`` of them are one shingle."""
-    known, parts, sizes = _word_hashes(), [], []
-    for text in texts:
-        found = text.encode().lower().split() if text else []
-        hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-        if 0 < len(found) < words:
-            hashes = np.array([xxhash.xxh3_64_intdigest(b" ".join(found), seed=len(found))], np.uint64)
-        elif len(found):
-            n = len(found) - words + 1
-            rolled = hashes[:n].copy()
-            for k in range(1, words):
-                rolled = rolled * _P + hashes[k:k + n]
-            hashes = mix(rolled)
-            hashes.sort()
-            hashes = hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
-        parts.append(hashes)
-        sizes.append(len(hashes))
-    return Sets(np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]))
+    parts = [t.encode().lower() if t else b"" for t in texts]
+    text = Bytes(b" ".join(parts))
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[text.raw], [True]])))
+    first, end = edges[::2], edges[1::2]
+    word = text.hash(first, end)
+    n, k = len(word), words
+    of = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), first, "right")
+    count = np.bincount(of, minlength=len(texts))
+    rolled = word[:max(n - k + 1, 0)].copy()
+    for i in range(1, k):
+        rolled = rolled * _P + word[i:n - k + 1 + i]
+    inside = of[:len(rolled)] == of[k - 1:][:len(rolled)]
+    hashes, owner = mix(rolled[inside]), of[:len(rolled)][inside]
+    few = np.flatnonzero((count > 0) & (count < k))
+    if len(few):
+        begin = np.cumsum(count) - count
+        whole = count[few].astype(np.uint64)
+        for i in range(k - 1):
+            more = count[few] > i
+            whole[more] = mix(whole[more] * _P + word[begin[few[more]] + i])
+        hashes, owner = np.concatenate([hashes, whole]), np.concatenate([owner, few])
+        order = np.argsort(owner, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    a = 0
+    for b in ends.tolist():
+        hashes[a:b].sort()
+        a = b
+    if len(hashes):
+        new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])])
+        hashes, owner = hashes[new], owner[new]
+    return Sets(hashes, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]))
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
@@ -154,12 +159,18 @@ def _sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _differ_at_least(a: bytes, b: bytes) -> int:
-    """A lower bound of the elements in which two sets differ: cells of unlike parity."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) > len(y):
-        x, y = y, x
-    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x))) ^ x).sum())
+def _differ_at_least(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """A lower bound of the elements in which sets differ, pair by pair: cells of unlike parity."""
+    size = np.stack([a.value_lengths().to_numpy(), b.value_lengths().to_numpy()])
+    out = np.zeros(len(a), np.int64)
+    for x, y in np.unique(size, axis=1).T:
+        at = pa.array(np.flatnonzero((size[0] == x) & (size[1] == y)))
+        one, other = (np.frombuffer(b"".join(c.take(at).to_pylist()), np.uint8).reshape(len(at), n) for c, n in ((a, x), (b, y)))
+        if x > y:
+            one, other = other, one
+        folded = np.bitwise_xor.reduce(other.reshape(len(at), -1, one.shape[1]), axis=1)
+        out[at.to_numpy()] = np.bitwise_count(folded ^ one).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def segmented(sets: Sets, bands: Bands, role: int) -> tuple[np.ndarray, ...]:
@@ -173,7 +184,7 @@ def segmented(sets: Sets, bands: Bands, role: int) -> tuple[np.ndarray, ...]:
     owner, h = owner[here], sets.shingles[here]
     salt = mix(scheme[owner].astype(np.uint64) + _P)
     segment = (mix(h + salt) % np.maximum(segments[owner], 1).astype(np.uint64)).astype(np.int64)
-    order = np.argsort(owner * (int(segments.max(initial=0)) + 1) + segment, kind="stable")
+    order = np.argsort(owner * (int(segments.max(initial=0)) + 1) + segment)
     owner, segment, value = owner[order], segment[order], mix(h[order] * _P + np.uint64(1))
     first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])])) if len(owner) else np.zeros(0, np.int64)
     size = np.diff(np.concatenate([first, [len(owner)]]))
@@ -220,13 +231,11 @@ def index_entries(sets: Sets, nodes: np.ndarray, bands: Bands, deletions: bool,
 
 def group_entries(keys: np.ndarray, nodes: np.ndarray, most: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Buckets of 2 to ``most`` nodes, equal ones once; (node, role, weight lost) of larger buckets' nodes."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    bucket = keys >> np.uint64(1)
-    # sets of one bucket may have it in different roles; order them by node within the bucket
+    order = np.argsort(keys)
+    bucket = keys[order] >> np.uint64(1)
     many = np.concatenate([[False], bucket[1:] == bucket[:-1]]) if len(bucket) else np.zeros(0, bool)
     many[:-1] |= many[1:]
-    keys, nodes, bucket = keys[many], nodes[many], bucket[many]
+    keys, nodes, bucket = keys[order[many]], nodes[order[many]], bucket[many]
     order = np.lexsort((nodes, bucket))
     keys, nodes, bucket = keys[order], nodes[order], bucket[order]
     new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (nodes[1:] != nodes[:-1])]) if len(bucket) else np.zeros(0, bool)
@@ -311,8 +320,8 @@ class Join:
                 for _, texts in _portions(batch.select([1])):
                     sets, nodes = _unseen(shingle_sets(texts, words), seen)
                     keys, whose, lost_by, lost, spare = index_entries(sets, nodes, bands, deletions, shared.value)
-                    bucket = ((keys >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
+                    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
                     ends = np.cumsum(np.bincount(bucket, minlength=buckets))
                     keys, whose = keys[order], whose[order]
                     some = [b for b in range(buckets) if ends[b] > (ends[b - 1] if b else 0)]
@@ -398,8 +407,8 @@ class Join:
 
         @F.arrow_udf("boolean")
         def near(n: pa.Array, m: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
-            rows = zip(n.to_pylist(), m.to_pylist(), x.to_pylist(), y.to_pylist())
-            return pa.array([_differ_at_least(s, t) <= bands.differences(i + j) for i, j, s, t in rows], pa.bool_())
+            most = np.array([bands.differences(t) for t in (n.to_numpy() + m.to_numpy()).tolist()], np.int64)
+            return pa.array(_differ_at_least(x, y) <= most)
 
         def of(side: str) -> DataFrame:
             return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
@@ -424,11 +433,28 @@ class Join:
         def similar(x: pa.Array, y: pa.Array) -> pa.Array:
             return pa.array([_similar(s.as_py(), t.as_py(), percent) for s, t in zip(x, y)], pa.bool_())
 
+        with small_batches(self.spark):
+            return self._verified(likely, whole, similar)
+
+    @staticmethod
+    def _verified(likely: DataFrame, whole: DataFrame, similar: Callable[..., Column]) -> DataFrame:
         with_a = likely.join(whole.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         with_both = with_a.join(whole.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         return written(with_both.filter(similar("x", "y")).select("a", "b").distinct(), "links")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it holds, Python gets few rows at once: they carry whole sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _unseen(sets: Sets, seen: set[int]) -> tuple[Sets, np.ndarray]:
     """Sets with elements that this task hasn't met yet, and their nodes."""
     nodes = sets.nodes()

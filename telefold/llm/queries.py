@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, html, jaccard, lines, quality, token_count
+from . import ann, bpe, decontaminate, html, jaccard, lines, quality, repeats, token_count
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -45,6 +45,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, docs, sf_dir).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.remove_repeats(docs, length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.drop_frequent_lines(docs, LINE_DOCS)
@@ -85,7 +91,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op4_frequent_lines, op5_main_text, op6_token_counts, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op3_remove_repeats, op4_frequent_lines, op5_main_text, op6_token_counts, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,

@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,7 +162,7 @@ def _sketch(shingles: np.ndarray) -> bytes:
 
 def _differ_at_least(a: pa.Array, b: pa.Array) -> np.ndarray:
     """A lower bound of the elements in which sets differ, pair by pair: cells of unlike parity."""
-    size = np.stack([a.value_lengths().to_numpy(), b.value_lengths().to_numpy()])
+    size = np.stack([pc.binary_length(c).to_numpy() for c in (a, b)])
     out = np.zeros(len(a), np.int64)
     for x, y in np.unique(size, axis=1).T:
         at = pa.array(np.flatnonzero((size[0] == x) & (size[1] == y)))
@@ -271,11 +272,11 @@ class Join:
 
     def __init__(self, docs: DataFrame, percent: int, words: int, most: int, doc_id: str, text: str):
         self.spark = docs.sparkSession
-        self.docs = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+        self.docs = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("ver"), F.col(f"`{text}`").alias("text"))
         self.bands, self.words, self.most = Bands(percent), words, most
 
     def sets(self) -> DataFrame:
-        """(doc, n, node, sketch) of each document; node is null without words."""
+        """(doc, ver, n, node, sketch) of each document; node is null without words."""
         words = self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,11 +286,11 @@ class Join:
                     has = sets.sizes > 0
                     sketches = [_sketch(sets.shingles[a:b]) for a, b in zip(sets.start, sets.start[1:])]
                     yield pa.RecordBatch.from_pydict({
-                        "doc": rows.column(0), "n": pa.array(sets.sizes), "node": pa.array(sets.nodes(), mask=~has), "sketch": pa.array(sketches, pa.binary()),
+                        "doc": rows.column(0), "ver": rows.column(1), "n": pa.array(sets.sizes), "node": pa.array(sets.nodes(), mask=~has), "sketch": pa.array(sketches, pa.binary()),
                     })
 
         kind = self.docs.schema["doc"].dataType.simpleString()
-        return self.docs.mapInArrow(run, f"doc {kind}, n bigint, node bigint, sketch binary")
+        return self.docs.mapInArrow(run, f"doc {kind}, ver bigint, n bigint, node bigint, sketch binary")
 
     def chosen(self, ids: DataFrame) -> DataFrame:
         """Documents among which are all those of ``ids`` and, by chance, few others."""
@@ -504,7 +505,8 @@ def components(links: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, percent: int = 75, words: int = 5, frequent: int = FREQUENT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles long`` and ``component_id``, the smallest id reachable by links.
+    """One row per document: ``doc_id``, ``text_hash long`` (Spark's of the text), ``n_shingles long`` and
+    ``component_id``, the smallest id reachable by links.
 
     Two documents link when 100 * |both| >= percent * |either| for their sets of distinct shingles of ``words``
     words. A text of fewer words is one shingle; one without words, or null, has none and links with nothing.
@@ -565,6 +567,7 @@ def jaccard_components(
     named = named.select("node", F.coalesce("component_id", "doc").alias("component_id"))
     return sets.join(named, "node", "left").select(
         F.col("doc").alias(doc_id),
+        F.col("ver").alias("text_hash"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc")).when(F.col("doc").isNotNull(), F.col("component_id")).alias("component_id"),
     )
@@ -586,3 +589,13 @@ def _apart(lists: DataFrame, keys: DataFrame | None, labels: DataFrame, tried: D
         other = named.select("key", F.col("node").alias("q"), F.col("label").alias("other"))
         pairs = pairs.union(named.join(other, "key").filter("label < other").select(F.col("node").alias("p"), "q"))
     return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def one_per_component(docs: DataFrame, percent: int = 75, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component's documents that of smallest id. Documents that link with nothing stay, also those without an
+    id or words; equal rows are one. Columns are those of ``docs``."""
+    found = jaccard_components(docs, percent, words, doc_id=doc_id, text=text).filter(f"component_id IS NULL OR component_id = `{doc_id}`")
+    kept = written(found.select(F.col(f"`{doc_id}`").alias("__doc"), F.col("text_hash").alias("__ver")).distinct(), "kept")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__ver"))
+    hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    return hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__hash"]).select(*docs.columns)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, html, jaccard, lines, quality, repeats, token_count
+from . import ann, bpe, decontaminate, html, jaccard, lines, quality, repeats, secrets, token_count
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
 LINE_DOCS = 10
 KEEP_SCORE = 0.7
+SECRET_SCORE = 0.5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,18 +32,20 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` and ``predicted``; trained on the labelled documents not held out."""
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    labels = _table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("quality").alias("label"))
-    model = quality.train(_table(spark, sf_dir, "documents"), labels)
-    scored = quality.score(docs, model)
-    return scored.withColumns({"held_out": held_out, "predicted": (F.col("score") >= KEEP_SCORE).cast("int")})
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def train_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Fitted on ``docs`` that have a label and aren't held out."""
+    labels = _table(spark, sf_dir, "labels").filter(~_held_out()).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(docs, labels)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_scores(spark, docs, sf_dir).select("doc_id", "held_out", "score", "predicted")
+    scored = quality.score(docs, train_quality(spark, docs, sf_dir))
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
 def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,22 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = secrets.findings(docs)
+    labelled = found.withColumn("label", secrets.rule_label(F.col("run"), F.col("before")))
+    forest = secrets.train(labelled, path="source")
+    scored = secrets.score(found, forest, path="source")
+    return scored.select(
+        "doc_id",
+        F.col("nth").cast("long").alias("nth"),
+        F.char_length("run").cast("long").alias("n_chars"),
+        F.sha2("run", 256).alias("run_sha256"),
+        "score",
+        (F.col("score") >= SECRET_SCORE).alias("is_secret"),
+    )
+
+
 def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
@@ -75,7 +94,7 @@ def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard.jaccard_components(docs, percent=75, words=5)
+    return jaccard.jaccard_components(docs, percent=75, words=5).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +110,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op3_remove_repeats, op4_frequent_lines, op5_main_text, op6_token_counts, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op3_remove_repeats, op4_frequent_lines, op5_main_text, op6_token_counts, op7_secrets, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,

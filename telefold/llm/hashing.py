@@ -7,6 +7,7 @@ import functools
 import numpy as np
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
+TABLE = 1 << 20  # powers kept for runs of at most so many bytes; longer runs get their own
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -16,7 +17,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     both = []
@@ -27,6 +27,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(TABLE)
+
+
 @functools.cache
 def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * BASE)
@@ -37,7 +42,7 @@ class Bytes:
 
     def __init__(self, raw: bytes):
         self.raw = np.frombuffer(raw, np.uint8)
-        powers, self.inverse = _powers(max(1 << 16, 1 << len(raw).bit_length()))
+        powers, self.inverse = _kept_powers() if len(raw) <= TABLE else _powers(len(raw))
         self.sums = np.zeros(len(raw) + 1, np.uint64)
         values = _byte_values()[self.raw]
         values *= powers[:len(raw)]

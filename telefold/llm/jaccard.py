@@ -30,15 +30,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
 from .hashing import Bytes, mix
 
-CHARS_AT_ONCE = 1_500_000
+CHARS_AT_ONCE = 800_000
 FREQUENT = 48  # a bucket of more sets is skipped in rounds 1 and 2
-ENTRIES = 2_000_000  # index entries that one task groups
+ENTRIES = 1_000_000  # index entries that one task groups
 SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very frequent
 FILTER_BITS = 1 << 23
 
@@ -153,6 +154,18 @@ def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str
         yield batch.slice(at), texts
 
 
+def _texts(batches: Iterator[pa.RecordBatch], cells: Broadcast | None) -> Iterator[list[str | None]]:
+    """Portions of the texts of rows (cell, text) whose cell is chosen."""
+    for batch in batches:
+        kept = batch if cells is None else batch.filter(pa.array(cells.value[batch.column(0).to_numpy()]))
+        for _, texts in _portions(kept):
+            yield texts
+
+
+def _cell(doc: str) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(FILTER_BITS)).cast("int")
+
+
 def _sketch(shingles: np.ndarray) -> bytes:
     """The parity of the shingles in each of at least as many cells as shingles, a power of two."""
     cells = max(64, 1 << int(len(shingles) - 1).bit_length() if len(shingles) else 64)
@@ -292,51 +305,44 @@ class Join:
         kind = self.docs.schema["doc"].dataType.simpleString()
         return self.docs.mapInArrow(run, f"doc {kind}, ver bigint, n bigint, node bigint, sketch binary")
 
-    def chosen(self, ids: DataFrame) -> DataFrame:
-        """Documents among which are all those of ``ids`` and, by chance, few others."""
-        at = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS)).cast("int")
-        words = ids.select(at.alias("at")).groupBy(F.expr("at div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, at % 64)")).alias("bits"))
+    def chosen(self, ids: DataFrame) -> tuple[DataFrame, Broadcast]:
+        """(cell, text) of each document, and the cells that hold all documents of ``ids`` and, by chance, few others."""
+        words = ids.select(_cell("doc").alias("at")).groupBy(F.expr("at div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, at % 64)")).alias("bits"))
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         for word, value in words.collect():  # at most FILTER_BITS / 64 rows
             bits[word] = value
-        shared = self.spark.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                kept = shared.value[batch.column(0).to_numpy()]
-                if kept.any():
-                    yield batch.filter(pa.array(kept)).select([1, 2])
+        cells = np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool)
+        return self.texts(), self.spark.sparkContext.broadcast(cells)
 
-        kind = self.docs.schema["doc"].dataType.simpleString()
-        return self.docs.select(at.alias("at"), "doc", "text").filter("doc IS NOT NULL").mapInArrow(run, f"doc {kind}, text string")
+    def texts(self) -> DataFrame:
+        return self.docs.filter("doc IS NOT NULL").select(_cell("doc").alias("cell"), "text")
 
-    def entries(self, docs: DataFrame, buckets: int, deletions: bool, frequent: np.ndarray) -> DataFrame:
+    def entries(self, docs: DataFrame, cells: Broadcast | None, buckets: int, deletions: bool, frequent: np.ndarray) -> DataFrame:
         """Index entries packed by bucket; per portion one row more with what sets and roles lose."""
         words, bands = self.words, self.bands
         shared = self.spark.sparkContext.broadcast(frequent)  # bounded by the sample
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in batches:
-                for _, texts in _portions(batch.select([1])):
-                    sets, nodes = _unseen(shingle_sets(texts, words), seen)
-                    keys, whose, lost_by, lost, spare = index_entries(sets, nodes, bands, deletions, shared.value)
-                    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-                    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-                    keys, whose = keys[order], whose[order]
-                    some = [b for b in range(buckets) if ends[b] > (ends[b - 1] if b else 0)]
-                    cut = [slice(ends[b - 1] if b else 0, ends[b]) for b in some]
-                    state = np.concatenate([lost_by, lost[None], spare[None]]).tobytes()
-                    some.append(int(nodes[0] % buckets) if len(nodes) else 0)
-                    yield pa.RecordBatch.from_pydict({
-                        "bucket": pa.array(some, pa.int32()),
-                        "keys": pa.array([*(keys[c].tobytes() for c in cut), None], pa.binary()),
-                        "nodes": pa.array([*(whose[c].tobytes() for c in cut), None], pa.binary()),
-                        "lost": pa.array([*([None] * len(cut)), state], pa.binary()),
-                    })
-
-        return docs.select("doc", "text").mapInArrow(run, ENTRY)
+            for texts in _texts(batches, cells):
+                sets, nodes = _unseen(shingle_sets(texts, words), seen)
+                keys, whose, lost_by, lost, spare = index_entries(sets, nodes, bands, deletions, shared.value)
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+                ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+                keys, whose = keys[order], whose[order]
+                some = [b for b in range(buckets) if ends[b] > (ends[b - 1] if b else 0)]
+                cut = [slice(ends[b - 1] if b else 0, ends[b]) for b in some]
+                state = np.concatenate([lost_by, lost[None], spare[None]]).tobytes()
+                some.append(int(nodes[0] % buckets) if len(nodes) else 0)
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(some, pa.int32()),
+                    "keys": pa.array([*(keys[c].tobytes() for c in cut), None], pa.binary()),
+                    "nodes": pa.array([*(whose[c].tobytes() for c in cut), None], pa.binary()),
+                    "lost": pa.array([*([None] * len(cut)), state], pa.binary()),
+                })
+
+        return docs.mapInArrow(run, ENTRY)
 
     def buckets(self, entries: DataFrame, tasks: int) -> DataFrame:
         """Rows of kind ``list`` (members of a bucket) and ``lost`` (node, role, weight lost, weight to spare)."""
@@ -364,7 +370,7 @@ class Join:
         there are more documents than that. Skipping them changes costs, never results."""
         if docs <= SAMPLE_DOCS:
             return np.zeros(0, np.uint64)
-        sample = self.docs.filter(F.pmod(F.xxhash64("doc", "text"), F.lit(docs // SAMPLE_DOCS + 1)) == 0)
+        sample = self.texts().filter(F.pmod(F.xxhash64("text"), F.lit(docs // SAMPLE_DOCS + 1)) == 0)
         tasks, most = max(1, self.spark.sparkContext.defaultParallelism), self.most
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,29 +384,28 @@ class Join:
             found, times = np.unique(pairs[0], return_counts=True)
             yield pa.RecordBatch.from_pydict({"key": pa.array(found[times > most] << 1, pa.int64())})
 
-        found = self.entries(sample, tasks * 4, False, np.zeros(0, np.uint64)).repartition(tasks, "bucket").mapInArrow(run, "key bigint")
+        found = self.entries(sample, None, tasks * 4, False, np.zeros(0, np.uint64)).repartition(tasks, "bucket").mapInArrow(run, "key bigint")
         return np.sort(np.array([r[0] for r in found.collect()], np.int64).view(np.uint64))
 
-    def last_round(self, docs: DataFrame, only: DataFrame) -> DataFrame:
+    def last_round(self, docs: DataFrame, cells: Broadcast, only: DataFrame) -> DataFrame:
         """(key, node) of all subsets, empty ones too, of the nodes of ``only``."""
         words, bands = self.words, self.bands
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in batches:
-                for _, texts in _portions(batch.select([1])):
-                    sets, nodes = _unseen(shingle_sets(texts, words), seen)
-                    for role in (0, 1):
-                        owner, scheme, segment, sums, _, _, segments, _ = segmented(sets, bands, role)
-                        full = _key(scheme, segment, sums)
-                        yield pa.RecordBatch.from_pydict({"key": full.view(np.int64), "node": nodes[owner]})
-                        schemes = [bands.roles(int(n))[role][0] if n and len(bands.roles(int(n))) > role else 0 for n in sets.sizes]
-                        for i in range(len(nodes)):
-                            empty = np.setdiff1d(np.arange(segments[i]), segment[owner == i])
-                            key = _key(np.full(len(empty), schemes[i]), empty, np.zeros(len(empty), np.uint64))
-                            yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "node": np.full(len(empty), nodes[i])})
-
-        return docs.select("doc", "text").mapInArrow(run, "key bigint, node bigint").join(only.select("node"), "node", "left_semi").distinct()
+            for texts in _texts(batches, cells):
+                sets, nodes = _unseen(shingle_sets(texts, words), seen)
+                for role in (0, 1):
+                    owner, scheme, segment, sums, _, _, segments, _ = segmented(sets, bands, role)
+                    full = _key(scheme, segment, sums)
+                    yield pa.RecordBatch.from_pydict({"key": full.view(np.int64), "node": nodes[owner]})
+                    schemes = [bands.roles(int(n))[role][0] if n and len(bands.roles(int(n))) > role else 0 for n in sets.sizes]
+                    for i in range(len(nodes)):
+                        empty = np.setdiff1d(np.arange(segments[i]), segment[owner == i])
+                        key = _key(np.full(len(empty), schemes[i]), empty, np.zeros(len(empty), np.uint64))
+                        yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "node": np.full(len(empty), nodes[i])})
+
+        return docs.mapInArrow(run, "key bigint, node bigint").join(only.select("node"), "node", "left_semi").distinct()
 
     def linked(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) of nodes that are linked, verified on whole sets."""
@@ -418,17 +423,16 @@ class Join:
         likely = pairs.join(of("a"), "a").join(of("b"), "b").filter(sized).filter(near("n_a", "n_b", "sketch_a", "sketch_b"))
         likely = written(likely.select("a", "b"), "likely")
         ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-        ids = nodes.join(ends, "node").select("doc")
+        docs, cells = self.chosen(nodes.join(ends, "node").select("doc"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for batch in batches:
-                for _, texts in _portions(batch.select([1])):
-                    sets, found = _unseen(shingle_sets(texts, words), seen)
-                    each = [sets.shingles[a:b].tobytes() for a, b in zip(sets.start, sets.start[1:])]
-                    yield pa.RecordBatch.from_pydict({"node": pa.array(found, pa.int64()), "shingles": pa.array(each, pa.binary())})
+            for texts in _texts(batches, cells):
+                sets, found = _unseen(shingle_sets(texts, words), seen)
+                each = [sets.shingles[a:b].tobytes() for a, b in zip(sets.start, sets.start[1:])]
+                yield pa.RecordBatch.from_pydict({"node": pa.array(found, pa.int64()), "shingles": pa.array(each, pa.binary())})
 
-        whole = self.chosen(ids).mapInArrow(run, "node bigint, shingles binary")
+        whole = docs.mapInArrow(run, "node bigint, shingles binary")
 
         @F.arrow_udf("boolean")
         def similar(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -523,9 +527,9 @@ def jaccard_components(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     skipped = join.very_frequent(count)
 
-    def grouped(chosen: DataFrame, entries: int, deletions: bool) -> DataFrame:
+    def grouped(docs: DataFrame, cells: Broadcast | None, entries: int, deletions: bool) -> DataFrame:
         tasks = max(partitions, entries // ENTRIES + 1)
-        return written(join.buckets(join.entries(chosen, 4 * tasks, deletions, skipped), tasks), "buckets")
+        return written(join.buckets(join.entries(docs, cells, 4 * tasks, deletions, skipped), tasks), "buckets")
 
     def losses(found: DataFrame) -> DataFrame:
         # a set says the same in every task that meets a copy of it; buckets each count once
@@ -540,18 +544,18 @@ def jaccard_components(
     def first_of(unsafe: DataFrame) -> DataFrame:
         return nodes.join(unsafe.select("node").distinct(), "node").select("doc", "n")
 
-    first = grouped(join.docs.filter("doc IS NOT NULL"), int(total), False)
+    first = grouped(join.texts(), None, int(total), False)
     unsafe = written(losses(first).filter("told + hot > spare").select("node", "role", "hot"), "unsafe")
     candidates, keys = lists(first), None
     again = first_of(unsafe)
     size = again.agg(F.sum("n")).first()[0]
     if size:
-        second = grouped(join.chosen(again), 3 * int(size), True)
+        second = grouped(*join.chosen(again), 3 * int(size), True)
         candidates = candidates.union(lists(second))
         late = losses(second).join(unsafe.withColumnRenamed("hot", "before"), ["node", "role"]).filter("told + hot + 2 * before > spare")
         late = written(late.select("node").distinct(), "unsafe")
         if not late.isEmpty():
-            keys = written(join.last_round(join.chosen(first_of(late)), late), "keys")
+            keys = written(join.last_round(*join.chosen(first_of(late)), late), "keys")
     candidates = written(candidates.distinct(), "candidates")
 
     pairs = candidates.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("b"))

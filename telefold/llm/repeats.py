@@ -28,7 +28,7 @@ from ..session import written
 from .hashing import Bytes, mix
 
 SEED = 128
-BYTES_AT_ONCE = 1_000_000
+BYTES_AT_ONCE = 800_000
 GROUP = 1_000  # classes of an anchor that one task may gather, or
 SHARE = 10_000  # this fraction of all classes, if that is more
 FILTER_BITS = 1 << 23

@@ -71,12 +71,12 @@ class Remembered(dict):
         self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, key: str):
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.work(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
         self[key] = value
         return value
 

@@ -31,6 +31,8 @@ LEAF_ROWS = 400  # a leaf of about so many vectors in the whole table
 MAX_LEAVES = 4_096
 BLOCK_ROWS = 4_096
 CALIBRATION = 400
+LEAST_ROWS = 1_000  # a query visits the leaves of about so many vectors at least
+QUERIES_KEPT = 100_000  # queries whose best a task keeps before it hands them on
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -145,7 +147,9 @@ def fit_index(vectors: DataFrame, k: int, recall: float, rows: int, sample_rows:
             order = np.argsort(np.concatenate([p[0] for p in parts]), kind="stable")
             sample = unit(np.concatenate([p[1] for p in parts])[order])
             tree = Tree(sample, LEAF_ROWS / max(rows, 1))
-            yield pa.RecordBatch.from_pydict({"state": [pickle.dumps((tree, calibrate(tree, sample, k, recall)))]})
+            leaves = sum(not below for below in tree.children)
+            least = -(-LEAST_ROWS * leaves // max(rows, 1))
+            yield pa.RecordBatch.from_pydict({"state": [pickle.dumps((tree, max(least, calibrate(tree, sample, k, recall))))]})
 
     some = vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     found = some.coalesce(1).mapInArrow(run, "state binary").collect()
@@ -153,7 +157,7 @@ def fit_index(vectors: DataFrame, k: int, recall: float, rows: int, sample_rows:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.985, vec_id: str = "vec_id", vector: str = "embedding"
+    vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.97, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` vectors found nearest to each query other than its own row, by cosine
     in double precision, ties to the smaller id; fewer if there are fewer.
@@ -218,34 +222,55 @@ def nearest(
         m = F.create_map(*(F.lit(x) for leaf in known for x in (leaf, other[leaf])))[F.col("leaf")]
         return df.filter(n.isNotNull()).withColumns({mine: F.pmod(F.xxhash64("id"), n).cast("int"), theirs: F.explode(F.sequence(F.lit(0), m - 1))})
 
-    left = dealt(stored, of_stored, of_asked, "v", "q").groupBy("leaf", "v", "q")
-    right = dealt(asked, of_asked, of_stored, "q", "v").groupBy("leaf", "v", "q")
-
-    def search(some: pa.Table, asking: pa.Table) -> pa.Table:
-        return _nearest_in(some, asking, k)
-
-    found = left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score double")
+    left = dealt(stored, of_stored, of_asked, "v", "q").withColumn("is_vector", F.lit(True))
+    right = dealt(asked, of_asked, of_stored, "q", "v").withColumns({"is_vector": F.lit(False), "ids": F.lit(None).cast("array<long>")})
+    columns = ["leaf", "v", "q", "is_vector", "id", "ids", "x"]
+    both = left.select(*columns).union(right.select(*columns)).repartition("leaf", "v", "q").sortWithinPartitions("leaf", "v", "q", "is_vector")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries come before their block's vectors. A task keeps the best of each query over all its blocks."""
+        best: dict[int, list[tuple[float, int]]] = {}
+        now, asking = None, []
+        for batch in batches:
+            group = np.stack([batch.column(i).to_numpy() for i in range(3)] + [batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)])
+            cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                block, part = tuple(group[:3, a].tolist()), batch.slice(a, b - a)
+                if block != now:
+                    now, asking = block, []
+                if not group[3, a]:
+                    asking.append(part.select(["id", "x"]))
+                else:
+                    for queries in asking:
+                        _keep_nearest(part, queries, k, best)
+            if len(best) > QUERIES_KEPT:
+                yield _found(best)
+                best = {}
+        yield _found(best)
+
+    found = both.mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _nearest_in(some: pa.Table, asking: pa.Table, k: int) -> pa.Table:
-    """The ``k`` nearest of a block for each query, by cosine."""
-    queries, ids, scores = [], [], []
-    if some.num_rows and asking.num_rows:
-        x, y = _matrix(some.column("x")), _matrix(asking.column("x"))
-        first, copies = some.column("id").to_numpy(), some.column("ids").to_pylist()
-        norms = np.linalg.norm(x, axis=1)
-        most = min(k + 1, len(x))
-        for start in range(0, len(y), 256):
-            part = y[start:start + 256]
-            near = (part @ x.T) / (np.linalg.norm(part, axis=1)[:, None] * norms)
-            bound = np.partition(near, len(x) - most, axis=1)[:, len(x) - most]
-            for q, row, least in zip(asking.column("id")[start:start + 256].to_pylist(), near, bound):
-                at = np.flatnonzero(row >= least)
+def _keep_nearest(some: pa.RecordBatch, asking: pa.RecordBatch, k: int, best: dict[int, list[tuple[float, int]]]) -> None:
+    """Merges the ``k`` nearest of some vectors, by cosine, into the best (-score, id) of each query."""
+    x, y = _matrix(some.column("x")), _matrix(asking.column("x"))
+    first, copies = some.column("id").to_numpy(), some.column("ids").to_pylist()
+    norms, most = np.linalg.norm(x, axis=1), min(k + 1, len(x))
+    for start in range(0, len(y), 256):
+        part = y[start:start + 256]
+        near = (part @ x.T) / (np.linalg.norm(part, axis=1)[:, None] * norms)
+        bound = np.partition(near, len(x) - most, axis=1)[:, len(x) - most]
+        for q, row, least in zip(asking.column("id")[start:start + 256].to_pylist(), near, bound):
+            before = best.get(q, [])
+            at = np.flatnonzero(row >= (max(least, -before[-1][0]) if len(before) == k else least))
+            if len(at):
                 at = at[np.lexsort((first[at], -row[at]))][:most]
-                best = sorted((-row[i], c) for i in at.tolist() for c in copies[i] if c != q)[:k]
-                queries += [q] * len(best)
-                ids += [c for _, c in best]
-                scores += [-s for s, _ in best]
-    return pa.table({"query_id": pa.array(queries, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
+                best[q] = sorted(before + [(-float(row[i]), c) for i in at.tolist() for c in copies[i] if c != q])[:k]
+
+
+def _found(best: dict[int, list[tuple[float, int]]]) -> pa.RecordBatch:
+    rows = [(q, i, -s) for q, near in best.items() for s, i in near]
+    columns = list(zip(*rows)) or [(), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])

@@ -29,8 +29,8 @@ from .hashing import Bytes, mix
 
 SEED = 128
 BYTES_AT_ONCE = 800_000
-GROUP = 1_000  # classes of an anchor that one task may gather, or
-SHARE = 10_000  # this fraction of all classes, if that is more
+GROUP = 20_000  # classes of an anchor that one task may gather, about 40 MB, or
+SHARE = 1_000_000  # this fraction of all classes, if that is more
 FILTER_BITS = 1 << 23
 PIECE = 1 << 18  # bytes searched for anchors at once
 
@@ -194,7 +194,7 @@ def _filter_bits(hashes: DataFrame) -> np.ndarray:
 def repeated_spans(docs: DataFrame, length: int, seed: int, doc_id: str, text: str, group: int = GROUP) -> DataFrame:
     """(doc, ver, spans): for texts with repeats, unmerged runs of bytes that a repeated string of ``length`` covers."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("ver"), F.col(f"`{text}`").alias("text"))
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.hash(F.col(f"`{text}`")).alias("ver"), F.col(f"`{text}`").alias("text"))
     kind = docs.schema["doc"].dataType.simpleString()
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +203,16 @@ def repeated_spans(docs: DataFrame, length: int, seed: int, doc_id: str, text: s
                 p = Places(texts, length, seed)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(p.anchor), pa.array(p.context), rows.column(0).take(pa.array(p.row)), rows.column(1).take(pa.array(p.row)),
-                     pa.array(p.within, pa.int64()), pa.array(p.left, pa.int32()), pa.array(p.right, pa.int32())],
-                    ["anchor", "context", "doc", "ver", "at", "left", "right"],
+                     pa.array(p.within, pa.int64()), pa.array(p.left << 16 | p.right, pa.int32())],
+                    ["anchor", "context", "doc", "ver", "at", "reach"],
                 )
 
-    found = written(docs.mapInArrow(places, f"anchor long, context long, doc {kind}, ver long, at long, left int, right int"), "places")
+    found = written(docs.mapInArrow(places, f"anchor long, context long, doc {kind}, ver int, at long, reach int"), "places")
     classes = found.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("times"), F.first("left").alias("left"), F.first("right").alias("right"), F.min(F.struct("doc", "ver")).alias("held")
+        F.count(F.lit(1)).alias("times"), F.first("reach").alias("reach"), F.min(F.xxhash64("doc", "ver")).alias("held")
     )
     classes = written(classes, "classes")
-    whole = classes.filter("times > 1").select("context", F.greatest(F.lit(0), length - F.col("right")).alias("low"), F.col("left").alias("high"))
+    whole = classes.filter("times > 1").selectExpr("context", f"cast(greatest(0, {length} - reach % 65536) as int) AS low", "cast(reach div 65536 as int) AS high")
     counts = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("least")).filter("n > 1 AND least = 1")
     counts = written(counts, "anchors")
     total = counts.agg(F.sum("n")).first()[0] or 0
@@ -221,7 +221,7 @@ def repeated_spans(docs: DataFrame, length: int, seed: int, doc_id: str, text: s
         open_ = classes.join(counts, "anchor")
         bounds = max(group, total // SHARE)
         large = np.sort(np.array([r[0] for r in counts.filter(F.col("n") > bounds).select("anchor").collect()], np.int64))  # SHARE at most, or few
-        shared = spark.sparkContext.broadcast((_filter_bits(open_.select(F.xxhash64("held.doc", "held.ver").alias("h"))), _filter_bits(open_.select(F.col("context").alias("h"))), large))
+        shared = spark.sparkContext.broadcast((_filter_bits(open_.select(F.col("held").alias("h"))), _filter_bits(open_.select(F.col("context").alias("h"))), large))
         chosen = docs.withColumn("cell", F.pmod(F.xxhash64("doc", "ver"), F.lit(FILTER_BITS)).cast("int")).select("cell", "text")
 
         def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Places, np.ndarray]]:
@@ -365,8 +365,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = SEED, doc_id:
     Null and empty texts have no bytes. Every row is a text of its own, so equal rows repeat each other. A string
     shorter than ``length`` is never a repeat. Other columns are kept; one named like an output is replaced.
     """
-    if not 0 < seed <= length:
-        raise ValueError("seed must be between 1 and length")
+    if not 0 < seed <= length < 1 << 15:
+        raise ValueError("seed must be between 1 and length, length below 32768")
     spans = repeated_spans(docs, length, seed, doc_id, text, group).toDF("__doc", "__ver", "__spans")
     body = F.col(f"`{text}`")
 
@@ -387,7 +387,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = SEED, doc_id:
             out.append({"spans": [{"first": a, "end": b} for a, b in merged], "kept": b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))})
         return pa.array(out, pa.struct([("spans", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]))
 
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(body) == F.col("__ver"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.hash(body) == F.col("__ver"))
     joined = docs.join(spans, same, "left").withColumn("__cut", cut(F.when(F.col("__spans").isNotNull(), body), F.col("__spans")))
     raw = F.coalesce(body, F.lit("")).cast("binary")
     joined = joined.withColumns({"n_bytes": F.octet_length(raw).cast("long"), "spans": F.col("__cut.spans"), "kept": F.coalesce("__cut.kept", raw)})

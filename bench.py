@@ -9,6 +9,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,7 +40,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench", master=f"local[{cpus}]", spark__ui__enabled="false",
-        spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g",
+        spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE

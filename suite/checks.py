@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from suite.inputs import RAW_SQL, frames, mapping, raw_frames, table
 from suite.registry import query
 from telefold.operators import enrich, fusion, mapping as maps, profile, quality
+from telefold.session import written
 
 BOX_SQL = """
   q AS (SELECT {by}, count(*) AS n, min({v}) AS "min", quantile_cont({v}, 0.25) AS p25, quantile_cont({v}, 0.5) AS median,
@@ -80,16 +81,13 @@ def volume_estimate(spark, sf_dir):
 
 @query(
     "sample_n",
-    "SELECT least(50, count(*))::BIGINT AS n, least(50, count(*))::BIGINT AS known FROM lineitem",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+    ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), l_quantity LIMIT 50""",
 )
 def sample_n(spark, sf_dir):
-    """Fifty rows by a hash of their ids; the same rows when drawn again."""
+    """Fifty rows by a hash of their ids."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    one, two = (profile.sample_rows(lines, 50, ids, seed=7).withColumn("_", F.lit(1)) for _ in range(2))
-    again = two.select(F.struct(*ids).alias("row")).distinct()
-    both = one.select(F.struct(*ids).alias("row")).join(again, "row", "left_semi")
-    return both.agg(F.count(F.lit(1)).alias("n"), F.count("row").alias("known"))
+    return profile.sample_rows(lines, 50, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], ties=["l_quantity"])
 
 
 def _fused(spark, sf_dir):
@@ -124,16 +122,16 @@ KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
     j AS (SELECT r.*, g.qa AS gqa, g.qn AS gqn, g.pf AS gpf, g.po AS gpo, g.d AS gd, g.t AS gt, g.off,
                  CASE WHEN g.qa IS NOT NULL THEN g.qa * 1000 * g.off ELSE g.qn * g.off END AS fd
           FROM f r JOIN f g USING (l_orderkey, l_linenumber, l_partkey)),
-    c AS (
-      SELECT 'distance' AS target_name, 'SAE_QA' AS signal_name, fd IS NOT NULL AND (qa = fd OR abs(fd / qa - 1000) <= 1e-6) AS ok FROM j WHERE qa IS NOT NULL
-      UNION ALL SELECT 'distance', 'SAE_QN', fd IS NOT NULL AND (qn = fd OR abs(fd / qn - 1) <= 1e-6) FROM j WHERE qn IS NOT NULL
-      UNION ALL SELECT 'pressure', 'WW_PF', coalesce(abs(gpf * 10 / pf - 10) <= 1e-6, abs(gpo * 10000 / pf - 10) <= 1e-6) FROM j WHERE pf IS NOT NULL
-      UNION ALL SELECT 'pressure', 'WW_PO', coalesce(abs(gpo * 10000 / po - 10000) <= 1e-6, abs(gpf * 10 / po - 10000) <= 1e-6) FROM j WHERE po IS NOT NULL
-      UNION ALL SELECT 'ratio', 'DCW_D', d = gd FROM j
-      UNION ALL SELECT 'mix', 'DCW_D', d = gd FROM j
-      UNION ALL SELECT 'flow', 'MD1_T', CASE WHEN t IS NULL OR gt IS NULL THEN t IS NULL AND gt IS NULL
-          ELSE round(t, 7) = round(gt * {1000 / 60!r}::DOUBLE, 7)
-            OR abs(round(gt * {1000 / 60!r}::DOUBLE, 7) / nullif(round(t, 7), 0) - {1000 / 60!r}::DOUBLE) <= 2e-5 END FROM j)
+    v AS (
+      SELECT 'distance' AS target_name, 'SAE_QA' AS signal_name, qa * 1000 AS want, fd AS got FROM j WHERE qa IS NOT NULL
+      UNION ALL SELECT 'distance', 'SAE_QN', qn, fd FROM j WHERE qn IS NOT NULL
+      UNION ALL SELECT 'pressure', 'WW_PF', pf * 10, coalesce(gpf * 10, gpo * 10000) FROM j WHERE pf IS NOT NULL
+      UNION ALL SELECT 'pressure', 'WW_PO', po * 10000, coalesce(gpf * 10, gpo * 10000) FROM j WHERE po IS NOT NULL
+      UNION ALL SELECT 'ratio', 'DCW_D', d, gd FROM j
+      UNION ALL SELECT 'mix', 'DCW_D', d, gd FROM j
+      UNION ALL SELECT 'flow', 'MD1_T', t * {1000 / 60!r}::DOUBLE, gt * {1000 / 60!r}::DOUBLE FROM j),
+    c AS (SELECT target_name, signal_name, CASE WHEN want IS NULL OR got IS NULL THEN want IS NULL AND got IS NULL
+                 ELSE abs(got - want) <= abs(want) * 1e-6 END AS ok FROM v)
     SELECT target_name, signal_name, count(*) AS checked, count(*) FILTER (WHERE ok IS NOT TRUE) AS failed FROM c GROUP BY ALL""",
 )
 def value_reconcile(spark, sf_dir):
@@ -141,20 +139,42 @@ def value_reconcile(spark, sf_dir):
     raw, targets, fused = _fused(spark, sf_dir)
     engine = F.col("ein") == "7"
     spoilt = fused.withColumn("distance", F.when(engine, F.col("distance") * 1.5).otherwise(F.col("distance")))
-    return quality.value_summary(quality.value_checks(raw, spoilt, targets, KEYS, tolerance=2e-5))
+    return quality.value_summary(quality.value_checks(raw, spoilt, targets, KEYS))
+
+
+_WORKING_SQL = f"""WITH {RAW_SQL}, picked AS (
+      SELECT *, CASE WHEN qa IS NOT NULL THEN qa * 1000 ELSE qn END AS distance FROM raw
+      WHERE coalesce(qa * 1000, qn) > 1000 AND hour(sent_at) * 3600 + minute(sent_at) * 60 + second(sent_at) BETWEEN 28800 AND 61200
+      ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), l_orderkey, l_linenumber, l_partkey, vin, distance, pf, po, d LIMIT 50)"""
+
+
+def _picked(spark, sf_dir):
+    """The rows a spot check reads: running engines in working hours."""
+    raw, targets, fused = _fused(spark, sf_dir)
+    working = quality.working_rows(fused, "distance")
+    return raw, targets, profile.sample_rows(working, quality.SAMPLE_ROWS, KEYS, ties=["vin", "distance", "pressure", "ratio"])
+
+
+@query("value_sample", f"{_WORKING_SQL} SELECT l_orderkey, l_linenumber, l_partkey, vin, distance FROM picked")
+def value_sample(spark, sf_dir):
+    return _picked(spark, sf_dir)[2].select(*KEYS, "vin", "distance")
 
 
 @query(
-    "value_sample",
-    f"""WITH {RAW_SQL} SELECT least(50, count(*))::BIGINT AS rows FROM raw
-    WHERE coalesce(qa * 1000, qn) > 1000 AND hour(sent_at) BETWEEN 8 AND 16""",
+    "value_check_sample",
+    f"""{_WORKING_SQL},
+    sent AS (SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n FROM raw GROUP BY ALL),
+    v AS (SELECT l_orderkey, l_linenumber, l_partkey, n FROM picked JOIN sent USING (l_orderkey, l_linenumber, l_partkey))
+    SELECT target_name, sum(n)::BIGINT AS checked, 0::BIGINT AS failed
+    FROM v, (SELECT unnest(['distance', 'pressure', 'ratio', 'flow', 'mix']) AS target_name) GROUP BY target_name""",
 )
-def value_sample(spark, sf_dir):
-    """The rows a spot check would read: running engines in working hours."""
-    _, _, fused = _fused(spark, sf_dir)
-    working = quality.working_rows(fused, "distance")
-    picked = profile.sample_rows(working, quality.SAMPLE_ROWS, KEYS)
-    return picked.agg(F.count(F.lit(1)).alias("rows"))
+def value_check_sample(spark, sf_dir):
+    """Working rows, a sample of them, their raw frames, every value checked: only the sample's frames are joined."""
+    raw, targets, picked = _picked(spark, sf_dir)
+    names = [t.name for t in targets if not t.is_text]
+    sample = written(picked.select(*KEYS, *names), "sample")
+    checks = quality.value_summary(quality.value_checks(raw, sample, targets, KEYS))
+    return checks.groupBy("target_name").agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed"))
 
 
 @query(

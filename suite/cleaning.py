@@ -37,7 +37,7 @@ def normalize_ids(spark, sf_dir):
 
 @query(
     "epoch_convert",
-    """WITH t AS (SELECT event_id, ts, epoch_ms(ts) AS ms, epoch(date_trunc('second', ts))::BIGINT AS s FROM events)
+    """WITH t AS (SELECT event_id, ts, epoch_us(ts) // 1000 AS ms, epoch(date_trunc('second', ts))::BIGINT AS s FROM events)
     SELECT event_id, ms::BIGINT AS ms, s AS seconds,
            strftime(to_timestamp(s) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS utc_text,
            strftime(to_timestamp(s + 28800) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS shanghai_text,
@@ -47,7 +47,7 @@ def normalize_ids(spark, sf_dir):
 )
 def epoch_convert(spark, sf_dir):
     wall = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    ms = clock.text_epoch(wall, zone="UTC") * 1000 + F.floor(F.date_format("ts", "SSSSSS").cast("int") / 1000)
+    ms = clock.text_epoch(wall, zone="UTC") * 1000 + F.floor(F.expr("extract(SECOND FROM ts)") * 1000) % 1000
     s = clock.millis_to_seconds(F.col("ms"))
     return table(spark, sf_dir, "events").select("event_id", wall.alias("wall"), ms.cast("bigint").alias("ms")).select(
         "event_id",

@@ -8,7 +8,6 @@ from suite.inputs import DEVICES_SQL, FORMULA_ROWS, MAPPING_ROWS, RAW_SQL, devic
 from suite.registry import query
 from telefold.functions import listtext
 from telefold.operators import fusion, grouped, mapping as maps
-from telefold.sources.frames import spread
 from telefold.plans.pipeline import fuse_table, good_rows, rejected_rows
 
 IDS = ["l_orderkey", "l_linenumber", "ein"]
@@ -157,6 +156,9 @@ FULL_SQL = f"""WITH {RAW_SQL}, {DEVICES_SQL}
            l_discount * 100 + 100 AS lng, CASE WHEN l_linestatus = 'O' THEN l_quantity END AS lat,
            CASE WHEN qa BETWEEN 5 AND 40 THEN qa * 1000.0::DOUBLE WHEN qn BETWEEN 0 AND 30 THEN qn
                 WHEN qn IS NOT NULL THEN -2.0::DOUBLE WHEN qa IS NOT NULL THEN -1.0::DOUBLE END AS distance,
+           CASE WHEN pf BETWEEN 1000 AND 90000 THEN pf * 10.0::DOUBLE WHEN po <= 90000 THEN po * 10000.0::DOUBLE
+                WHEN po IS NOT NULL THEN -2.0::DOUBLE ELSE -1.0::DOUBLE END AS pressure,
+           d AS ratio, CASE WHEN t BETWEEN 0 AND 0.05::DOUBLE THEN t * {G_MIN}::DOUBLE ELSE -999.0::DOUBLE END AS flow,
            CASE WHEN d BETWEEN 0.02::DOUBLE AND 0.06::DOUBLE THEN d
                 WHEN t BETWEEN 0 AND 0.05::DOUBLE THEN t ELSE -2.0::DOUBLE END AS mix,
            s AS state, n.hos_series, n.hos_mat_id
@@ -173,7 +175,7 @@ def fuse_full(spark, sf_dir):
     fused = fuse_table(
         raw, compiled, devices(spark, sf_dir), data_source="source_a", form="comma", rule="valid", zone="UTC"
     )
-    return good_rows(fused).drop("pressure", "ratio", "flow")
+    return good_rows(fused)
 
 
 @query(
@@ -181,15 +183,18 @@ def fuse_full(spark, sf_dir):
     f"""WITH {RAW_SQL}
     SELECT l_orderkey, l_linenumber, ein,
            CASE WHEN qa IS NOT NULL THEN qa * 1000.0::DOUBLE ELSE qn END::DECIMAL(20,7)::VARCHAR AS distance,
-           d::DECIMAL(20,7)::VARCHAR AS ratio
+           CASE WHEN pf IS NOT NULL THEN pf * 10.0::DOUBLE ELSE po * 10000.0::DOUBLE END::DECIMAL(20,3)::VARCHAR AS pressure,
+           d::DECIMAL(20,7)::VARCHAR AS ratio, (t * {G_MIN}::DOUBLE)::DECIMAL(20,7)::VARCHAR AS flow,
+           d::DECIMAL(20,7)::VARCHAR AS mix, s AS state
     FROM raw""",
 )
 def fuse_decimal(spark, sf_dir):
     compiled = maps.compile_mapping(mapping(spark), "id")
     fused = fusion.fuse_frames(frames(spark, sf_dir), compiled, number_type="decimal(20,7)")
-    return _ids(fused).select(
-        *IDS, F.col("distance").cast("string").alias("distance"), F.col("ratio").cast("string").alias("ratio")
-    )
+    texts = (F.col(c).cast("string").alias(c) for c in ("distance", "ratio", "flow", "mix"))
+    # a large double has no seven digits after the point
+    pressure = F.col("pressure").cast("decimal(20,3)").cast("string").alias("pressure")
+    return _ids(fused).select(*IDS, *texts, pressure, "state")
 
 
 @query(
@@ -271,7 +276,8 @@ def fuse_scaled_group(spark, sf_dir):
     SELECT ein, clt_timestamp,
            coalesce(max(v * 0.001::DOUBLE) FILTER (WHERE event_type = 'click'),
                     max(v) FILTER (WHERE event_type = 'view')) AS speed,
-           max(v * 10.0::DOUBLE) FILTER (WHERE event_type = 'error') AS pressure
+           max(v * 10.0::DOUBLE) FILTER (WHERE event_type = 'error') AS pressure,
+           max(v) FILTER (WHERE event_type = 'signup') AS note
     FROM l GROUP BY ein, clt_timestamp""",
 )
 def fuse_gathered_frames(spark, sf_dir):
@@ -279,7 +285,8 @@ def fuse_gathered_frames(spark, sf_dir):
     gathered = grouped.gather_frames(
         signal_events(spark, sf_dir), compiled, ["ein", "clt_timestamp"], ["pos"]
     )
-    return fusion.fuse_frames(gathered, compiled).select("ein", "clt_timestamp", "speed", "pressure")
+    fused = fusion.fuse_frames(gathered, compiled).select("ein", "clt_timestamp", "speed", "pressure", "note")
+    return fused.withColumn("note", F.col("note").try_cast("double"))
 
 
 WIDE_CODES = 114
@@ -293,7 +300,7 @@ def wide_frames(spark, sf_dir):
         lambda i: ((F.col("l_orderkey") * 7 + F.col("l_partkey") + i) % 1000 / F.lit(10.0)).cast("string"),
     )
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(keys).select(
+    return keys.select(
         "l_orderkey", "l_linenumber", "l_suppkey", codes.alias("codes"), values.alias("vals")
     )
 

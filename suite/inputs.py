@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telefold.functions.clean import strip_one_zero
 from telefold.functions.clock import text_epoch
-from telefold.sources.frames import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +57,7 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.when(F.col("l_linenumber") == 6, F.array(text("l_tax"))).otherwise(F.array().cast("array<string>")),
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.when(flag_a, F.concat(F.lit("0"), text("l_suppkey"))).otherwise(text("l_suppkey")).alias("ein"),
@@ -178,3 +177,12 @@ newest AS (
     SELECT *, row_number() OVER (PARTITION BY hos_id ORDER BY create_time DESC, hos_mat_id DESC) AS rn
     FROM devices) WHERE rn = 1)
 """
+
+# Both lists of a frame as comma-separated text, numbers as Spark prints them.
+_NUMBER_SQL = "CASE WHEN {0} = floor({0}) AND abs({0}) < 1e7 THEN CAST({0}::BIGINT AS VARCHAR) || '.0' ELSE CAST({0} AS VARCHAR) END"
+LISTS_SQL = f"""'SAE_Q' || l_returnflag || ',WW_P' || l_linestatus || ',DCW_D,MD1_T,ZZ_X'
+        || CASE WHEN s IS NULL THEN '' ELSE ',F17_S' END || CASE WHEN l_linenumber > 5 THEN ',DCW_D' ELSE '' END AS codes,
+      {_NUMBER_SQL.format("l_quantity")} || ',' || {_NUMBER_SQL.format("l_extendedprice")} || ',' || {_NUMBER_SQL.format("l_discount")}
+        || ',' || CASE WHEN l_tax >= 0.08::DOUBLE THEN 'n/a' ELSE {_NUMBER_SQL.format("l_tax")} END || ',' || CAST(l_partkey AS VARCHAR)
+        || CASE WHEN s IS NULL THEN '' ELSE ',' || s END
+        || CASE WHEN l_linenumber = 6 THEN ',' || {_NUMBER_SQL.format("l_tax")} ELSE '' END AS vals"""

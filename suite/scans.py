@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.inputs import DEVICES_SQL, RAW_SQL, devices, raw_frames, table, text
+from suite.inputs import DEVICES_SQL, LISTS_SQL, RAW_SQL, devices, raw_frames, table, text
 from suite.registry import query
-from telefold.functions import clock, messages
+from telefold.functions import clock, listtext, messages
 from telefold.operators import enrich, mapping as maps, profile
 from telefold.sources import frames as scans, metadata
 
@@ -15,16 +15,21 @@ SCAN_SQL = """ein, vin, strftime(sent_at, '%Y-%m-%d %H:%M:%S') AS clt_time, epoc
     strftime(l_shipdate, '%Y-%m-%d') AS clt_date"""
 
 
+def _scan(df, *more):
+    """Keys and both lists, as text."""
+    return df.select(*SCAN, *(listtext.join_list(F.col(c)).alias(c) for c in ("codes", "vals")), *more)
+
+
 @query(
     "frame_scan_day",
-    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, CAST(5 + (s IS NOT NULL)::INTEGER + (l_linenumber > 5)::INTEGER AS INTEGER) AS n_codes
+    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, {LISTS_SQL}, CAST(5 + (s IS NOT NULL)::INTEGER + (l_linenumber > 5)::INTEGER AS INTEGER) AS n_codes
     FROM raw WHERE l_shipdate BETWEEN DATE '1997-03-01' AND DATE '1998-02-28'
       AND NOT (l_suppkey = 0 AND l_returnflag = '')""",
 )
 def frame_scan_day(spark, sf_dir):
     """Flavour A over a range of days."""
     df = scans.frames_a(raw_frames(spark, sf_dir), "1997-03-01", "1998-02-28")
-    return df.select(*SCAN, F.size("codes").alias("n_codes"))
+    return _scan(df, F.size("codes").alias("n_codes"))
 
 
 def _flavour_b(spark, sf_dir):
@@ -44,34 +49,34 @@ def _flavour_b(spark, sf_dir):
 
 @query(
     "frame_scan_b",
-    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, l_discount * 100 + 100 AS lng FROM raw
+    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, {LISTS_SQL}, l_discount * 100 + 100 AS lng FROM raw
     WHERE l_shipdate BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND l_linenumber > 2 AND ein <> ''""",
 )
 def frame_scan_b(spark, sf_dir):
     df = scans.frames_b(_flavour_b(spark, sf_dir), "source_b", "1996-01-01", "1996-12-31")
-    return df.select(*SCAN, F.col("longitude").cast("double").alias("lng"))
+    return _scan(df, F.col("longitude").cast("double").alias("lng"))
 
 
 @query(
     "frame_scan_slice",
-    f"""WITH {RAW_SQL} SELECT {SCAN_SQL} FROM raw
+    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, {LISTS_SQL} FROM raw
     WHERE sent_at >= TIMESTAMP '1997-05-05 10:00:00' AND sent_at < TIMESTAMP '1997-08-05 12:00:00'""",
 )
 def frame_scan_slice(spark, sf_dir):
     df = scans.frames_slice(raw_frames(spark, sf_dir), "1997-05-05 10:00:00", "1997-08-05 12:00:00")
-    return scans.in_time_order(df).select(*SCAN)
+    return _scan(scans.in_time_order(df))
 
 
 @query(
     "frame_scan_stream_table",
-    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, NULL::VARCHAR AS longitude FROM raw
+    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, {LISTS_SQL}, NULL::VARCHAR AS longitude FROM raw
     WHERE sent_at >= TIMESTAMP '1999-05-05 10:00:00' AND sent_at < TIMESTAMP '1999-08-05 12:00:00' AND ein <> ''""",
 )
 def frame_scan_stream_table(spark, sf_dir):
     """A slice of the table without a position."""
     raw = _flavour_b(spark, sf_dir).withColumnsRenamed({"clt_time": "create_time", "clt_date": "create_date"})
     df = scans.frames_slice(raw.drop("lng", "lat"), "1999-05-05 10:00:00", "1999-08-05 12:00:00", "stream")
-    return df.where(F.col("ein") != "").select(*SCAN, "longitude")
+    return _scan(df.where(F.col("ein") != ""), "longitude")
 
 
 ACTIVE_SQL = "SELECT s_suppkey::VARCHAR FROM supplier WHERE s_acctbal > 5000"
@@ -79,13 +84,13 @@ ACTIVE_SQL = "SELECT s_suppkey::VARCHAR FROM supplier WHERE s_acctbal > 5000"
 
 @query(
     "frame_scan_semi",
-    f"""WITH {RAW_SQL} SELECT {SCAN_SQL} FROM raw
+    f"""WITH {RAW_SQL} SELECT {SCAN_SQL}, {LISTS_SQL} FROM raw
     WHERE l_shipdate BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND ein IN ({ACTIVE_SQL})""",
 )
 def frame_scan_semi(spark, sf_dir):
     """Only chosen vehicles: a semi join, not a list of literals."""
     chosen = table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(text("s_suppkey").alias("ein"))
-    return scans.frames_a(raw_frames(spark, sf_dir), "1997-01-01", "1997-12-31", chosen).select(*SCAN)
+    return _scan(scans.frames_a(raw_frames(spark, sf_dir), "1997-01-01", "1997-12-31", chosen))
 
 
 @query(
@@ -196,14 +201,14 @@ def config_semi(spark, sf_dir):
 
 @query(
     "catalog_chain",
-    """WITH seen AS (SELECT DISTINCT l_partkey AS pid FROM lineitem WHERE l_quantity > 20)
+    """WITH seen AS (SELECT DISTINCT l_partkey AS pid FROM lineitem)
     SELECT pid, p_name AS description, p_type AS unitname, n_name AS target_name
     FROM seen LEFT JOIN part ON pid = p_partkey LEFT JOIN supplier ON pid = s_suppkey
     LEFT JOIN nation ON s_nationkey = n_nationkey""",
 )
 def catalog_chain(spark, sf_dir):
     seen = profile.distinct_signals(
-        table(spark, sf_dir, "lineitem").where("l_quantity > 20").select(F.col("l_partkey").alias("pid"))
+        table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("pid"))
     )
     joined = enrich.lookup_chain(
         seen,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.fusion import group_mapping, group_scaling
-from suite.inputs import RAW_SQL, frames, mapping, table
+from suite.fusion import G_MIN, group_mapping, group_scaling
+from suite.inputs import LISTS_SQL, RAW_SQL, frames, mapping, table
 from suite.registry import query
 from suite.scans import frame_messages, signal_messages
+from telefold.functions import listtext
 from telefold.operators import fusion, mapping as maps, units
 from telefold.plans import backfill
 from telefold.plans.pipeline import fuse_table
@@ -16,6 +17,10 @@ from telefold.sinks import tables as sinks
 from telefold.sources.streams import open_files
 from telefold.streaming import jobs
 
+FUSED = ("vin", "clt_timestamp", "distance", "pressure", "ratio", "flow", "mix", "state")
+FUSED_SQL = f"""CASE WHEN qa IS NOT NULL THEN qa * 1000.0::DOUBLE ELSE qn END AS distance,
+    CASE WHEN pf IS NOT NULL THEN pf * 10.0::DOUBLE ELSE po * 10000.0::DOUBLE END AS pressure,
+    d AS ratio, t * {G_MIN}::DOUBLE AS flow, d AS mix, s AS state"""
 MONTH_SQL = "strftime(l_shipdate, '%Y-%m-01')"
 
 
@@ -24,7 +29,7 @@ def _rows(spark, sf_dir):
     compiled = maps.compile_mapping(mapping(spark), "id")
     fused = fusion.fuse_frames(frames(spark, sf_dir), compiled)
     return fused.select(
-        "vin", "clt_timestamp", "distance",
+        *FUSED,
         F.when(F.col("state").isNull(), "source_b").otherwise("source_a").alias("data_source"),
         F.lit("gc").alias("data_type"),
         F.concat(F.substring("clt_date", 1, 8), F.lit("01")).alias("clt_date"),
@@ -32,13 +37,10 @@ def _rows(spark, sf_dir):
 
 
 def _read(spark, path):
-    df = spark.read.parquet(path)
-    return df.withColumns({c: F.col(c).cast("string") for c in sinks.LAYOUT}).select(
-        "vin", "clt_timestamp", "distance", *sinks.LAYOUT
-    )
+    return sinks.read_partitions(spark, path).select(*FUSED, *sinks.LAYOUT)
 
 
-WRITTEN = f"""SELECT vin, epoch(sent_at)::BIGINT AS clt_timestamp, coalesce(qa * 1000, qn) AS distance,
+WRITTEN = f"""SELECT vin, epoch(sent_at)::BIGINT AS clt_timestamp, {FUSED_SQL},
     CASE WHEN s IS NULL THEN 'source_b' ELSE 'source_a' END AS data_source, 'gc' AS data_type, {MONTH_SQL} AS clt_date"""
 
 
@@ -55,7 +57,7 @@ def reload_partition_twice(spark, sf_dir):
     "delete_then_append",
     f"""WITH {RAW_SQL}, w AS ({WRITTEN} FROM raw)
     SELECT * FROM w WHERE NOT coalesce(data_source = 'source_a' AND clt_date = '1997-05-01' AND distance > 20000, false)
-    UNION ALL SELECT vin, clt_timestamp, -1.0::DOUBLE, 'source_a', 'gc', '1997-05-01' FROM w WHERE clt_date = '1996-02-01'""",
+    UNION ALL SELECT vin, clt_timestamp, -1.0::DOUBLE, pressure, ratio, flow, mix, state, 'source_a', 'gc', '1997-05-01' FROM w WHERE clt_date = '1996-02-01'""",
 )
 def delete_then_append(spark, sf_dir):
     path = work_path(spark, "table")
@@ -67,7 +69,7 @@ def delete_then_append(spark, sf_dir):
         & (F.col("distance") > 20000)
     )
     new = rows.where("clt_date = '1996-02-01'").select(
-        "vin", "clt_timestamp", F.lit(-1.0).alias("distance"), F.lit("source_a").alias("data_source"),
+        "vin", "clt_timestamp", F.lit(-1.0).alias("distance"), *FUSED[3:], F.lit("source_a").alias("data_source"),
         F.lit("gc").alias("data_type"), F.lit("1997-05-01").cast("date").alias("clt_date"),
     )
     sinks.delete_then_append(spark, path, spoilt, new)
@@ -77,7 +79,7 @@ def delete_then_append(spark, sf_dir):
 @query(
     "backfill_range",
     f"""WITH {RAW_SQL}
-    SELECT ein, vin, epoch(sent_at)::BIGINT AS clt_timestamp, coalesce(qa * 1000, qn) AS distance,
+    SELECT ein, vin, epoch(sent_at)::BIGINT AS clt_timestamp, {FUSED_SQL},
            'source_c' AS data_source, strftime(sent_at, '%Y-%m-%d') AS clt_date
     FROM raw WHERE l_shipdate BETWEEN DATE '1997-03-01' AND DATE '1997-04-15'""",
 )
@@ -92,11 +94,75 @@ def backfill_range(spark, sf_dir):
     raw = frames(spark, sf_dir)
     backfill.backfill(raw, fuse, path, "1997-03-01", "1997-04-15")
     backfill.backfill(raw, fuse, path, "1997-04-14", "1997-04-15")
-    got = spark.read.parquet(path)
-    return got.select(
-        "ein", "vin", "clt_timestamp", "distance", F.col("data_source").cast("string").alias("data_source"),
-        F.col("clt_date").cast("string").alias("clt_date"),
+    return sinks.read_partitions(spark, path).select("ein", *FUSED, "data_source", "clt_date")
+
+
+@query(
+    "backfill_empty_day",
+    f"""WITH {RAW_SQL}
+    SELECT ein, vin, epoch(sent_at)::BIGINT AS clt_timestamp, {FUSED_SQL},
+           'source_c' AS data_source, strftime(sent_at, '%Y-%m-%d') AS clt_date
+    FROM raw WHERE l_shipdate BETWEEN DATE '1997-03-01' AND DATE '1997-04-15' AND l_shipdate <> DATE '1997-03-20'""",
+)
+def backfill_empty_day(spark, sf_dir):
+    """A range of days once more, after one of its days has lost all frames."""
+    path = work_path(spark, "backfill")
+    compiled = maps.compile_mapping(mapping(spark), "id")
+
+    def fuse(days):
+        return fuse_table(days, compiled, data_source="source_c", zone="UTC").drop("reject_reason")
+
+    raw = frames(spark, sf_dir)
+    backfill.backfill(raw, fuse, path, "1997-03-01", "1997-04-15", data_source="source_c")
+    backfill.backfill(raw.where("clt_date <> '1997-03-20'"), fuse, path, "1997-03-10", "1997-03-31", data_source="source_c")
+    return sinks.read_partitions(spark, path).select("ein", *FUSED, "data_source", "clt_date")
+
+
+def _odd_names(rows):
+    """Sources whose names paths escape, or readers take for numbers."""
+    odd = F.when(F.col("data_source") == "source_a", "a:b").when(F.col("mix") > 0.05, "001")
+    return rows.withColumn("data_source", odd)
+
+
+ODD_SQL = "CASE WHEN data_source = 'source_a' THEN 'a:b' WHEN mix > 0.05 THEN '001' END AS data_source"
+
+
+@query(
+    "reload_day_odd_names",
+    f"""WITH {RAW_SQL}, w AS ({WRITTEN} FROM raw), o AS (SELECT * REPLACE ({ODD_SQL}) FROM w)
+    SELECT * FROM o WHERE NOT coalesce(data_source = '001' AND clt_date = '1997-02-01', false)""",
+)
+def reload_day_odd_names(spark, sf_dir):
+    """One day again with its rows, another without any."""
+    path = work_path(spark, "reload")
+    rows = _odd_names(_rows(spark, sf_dir))
+    sinks.reload_partitions(rows, path, cluster=True)
+    sinks.reload_day(rows, path, "a:b", "gc", "1997-01-01")
+    sinks.reload_day(rows.limit(0), path, "001", "gc", "1997-02-01")
+    return _read(spark, path)
+
+
+@query(
+    "delete_then_append_odd_names",
+    f"""WITH {RAW_SQL}, w AS ({WRITTEN} FROM raw), o AS (SELECT * REPLACE ({ODD_SQL}) FROM w)
+    SELECT * FROM o WHERE NOT coalesce(clt_date = '1997-02-01' AND data_source = '001' OR clt_date = '1997-03-01' AND data_source = 'a:b'
+                                       OR clt_date = '1997-04-01' AND data_source IS NULL OR clt_date = '1997-05-01' AND ratio < 0.05::DOUBLE, false)
+    UNION ALL SELECT vin, clt_timestamp, -1.0::DOUBLE, pressure, ratio, flow, mix, state, data_source, data_type, '1997-05-01'
+    FROM o WHERE clt_date = '1996-02-01'""",
+)
+def delete_then_append_odd_names(spark, sf_dir):
+    """Three partitions emptied, one thinned out and added to, under such names."""
+    path = work_path(spark, "table")
+    rows = _odd_names(_rows(spark, sf_dir))
+    sinks.reload_partitions(rows, path, cluster=True)
+    source, day = F.col("data_source"), F.col("clt_date")
+    spoilt = (
+        ((day == "1997-02-01") & (source == "001")) | ((day == "1997-03-01") & (source == "a:b"))
+        | ((day == "1997-04-01") & source.isNull()) | ((day == "1997-05-01") & (F.col("ratio") < 0.05))
     )
+    new = rows.where("clt_date = '1996-02-01'").withColumns({"distance": F.lit(-1.0), "clt_date": F.lit("1997-05-01")})
+    sinks.delete_then_append(spark, path, spoilt, new)
+    return _read(spark, path)
 
 
 @query(
@@ -112,14 +178,15 @@ def yesterday_default(spark, sf_dir):
 @query(
     "csv_at_export",
     f"""WITH {RAW_SQL} SELECT ein, vin, epoch(sent_at)::BIGINT AS clt_timestamp,
-      'SAE_Q' || l_returnflag || ',WW_P' || l_linestatus AS codes FROM raw WHERE ein <> ''""",
+      {LISTS_SQL} FROM raw WHERE ein <> ''""",
 )
 def csv_at_export(spark, sf_dir):
+    """Both lists whole, as the archive has them."""
     path = work_path(spark, "archive")
     rows = frames(spark, sf_dir).where("ein <> ''")
-    out = rows.select("ein", "vin", "clt_timestamp", F.array_join(F.slice("codes", 1, 2), ",").alias("codes"))
-    sinks.export_archive(out, path)
-    return spark.read.csv(path, sep="@", header=True, schema="ein string, vin string, clt_timestamp bigint, codes string")
+    lists = (listtext.join_list(F.col(c)).alias(c) for c in ("codes", "vals"))
+    sinks.export_archive(rows.select("ein", "vin", "clt_timestamp", *lists), path)
+    return spark.read.csv(path, sep="@", header=True, schema="ein string, vin string, clt_timestamp bigint, codes string, vals string")
 
 
 @query(

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telefold.functions.clean import series_base, strip_one_zero
+from telefold.session import written
 
 
 def latest_per_key(df: DataFrame, key: str, stamp: str) -> DataFrame:
@@ -50,8 +51,12 @@ def lookup_join(
 
 
 def enrich_devices(frames: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
-    """Adds ``hos_series`` and ``hos_mat_id`` by ``ein``; NULL for an unknown engine."""
-    found = device_lookup(devices).select("ein", "hos_series", "hos_mat_id")
+    """Adds ``hos_series`` and ``hos_mat_id`` by ``ein``; NULL for an unknown engine.
+
+    The lookup, one row per engine, is written first: its size is known before the frames are read, so they
+    are shuffled only if it is beyond the broadcast limit.
+    """
+    found = written(device_lookup(devices).select("ein", "hos_series", "hos_mat_id"), "devices")
     by = [c for c in ("clt_timestamp", "vin") if c in frames.columns]
     return lookup_join(frames, found, "ein", salts, by)
 

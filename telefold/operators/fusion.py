@@ -29,22 +29,25 @@ INF = float("inf")
 LOOKED_UP = 64
 
 
+def sent_key(code: str) -> str:
+    return code.encode().hex().upper()
+
+
 def with_signals(frames: DataFrame, kept: list, targets: list[Target], codes: str, values: str, first: bool = False) -> DataFrame:
-    """The ``kept`` columns and ``_signals``, where ``getItem(code)`` is a sent value or NULL.
+    """The ``kept`` columns and ``_signals``, where ``getItem(sent_key(code))`` is a sent value or NULL.
 
     Few codes are looked up in the frame's map, which scans it; many are placed once into a struct with
-    one field per code, by reading the map as JSON under that schema.
+    one field per code, by reading the map as JSON under that schema. Keys and fields are the codes'
+    bytes in hexadecimal, so both tell codes apart that differ only in case.
 
     The column goes through a one-element generator. A filter or a second use of a target above it then
     reads the finished column; through a plain projection the optimizer would copy the whole re-keying
     into the filter, once per code.
     """
     wanted = sorted({s.code for t in targets for s in t.signals})
-    sent = signal_map(F.col(codes), F.col(values), first)
+    sent = F.transform_keys(signal_map(F.col(codes), F.col(values), first), lambda code, _: F.hex(code))
     if len(wanted) > LOOKED_UP:
-        if len({c.lower() for c in wanted}) < len(wanted):
-            raise ValueError("signal codes differ only in case: use grouped.fuse_grouped")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
+        schema = T.StructType([T.StructField(sent_key(c), T.StringType()) for c in wanted])
         sent = F.from_json(F.to_json(sent), schema)
     return frames.select(*kept, F.explode_outer(F.array(sent)).alias("_signals"))
 
@@ -59,7 +62,7 @@ def _double(value: float | None) -> str:
 
 
 def _sent(signal: Signal) -> str:
-    return f"_signals[{quoted(signal.code)}]"
+    return f"_signals[{quoted(sent_key(signal.code))}]"
 
 
 def _read(signal: Signal) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
 from telefold.functions.signals import SENT_NULL, quoted, sent_number_sql
-from telefold.operators.mapping import Target, broadcast_if_small, list_targets
+from telefold.operators.mapping import Target, list_targets, sized
 from telefold.session import keep_last_key
 
 
@@ -43,13 +43,13 @@ def fuse_grouped(
 
     ``ids`` are carried as their first non-NULL value; they may come from the rows or the mapping.
     A key none of whose signals is mapped still gives a row. Without ``targets`` they are read from the
-    mapping, and small metadata is marked for broadcast; with them nothing is read or marked here.
+    mapping, and metadata is written so its size is known; with them nothing is read or written here.
     """
     keep_last_key(tall.sparkSession)
     if targets is None:
         targets = list_targets(mapping)
-        mapping = broadcast_if_small(mapping)
-        scaling = None if scaling is None else broadcast_if_small(scaling)
+        mapping = sized(mapping)
+        scaling = None if scaling is None else sized(scaling)
     rows = attach_mapping(tall, mapping, scaling)
     # The signal itself settles equal stamps, so a recomputed task picks the same row.
     stamp = F.struct(
@@ -103,7 +103,7 @@ def gather_frames(
     is no longer than the mapping. A frame none of whose codes is mapped keeps a row with empty lists.
     """
     known = mapping.select(F.col("signal_name").alias("pid")).distinct().withColumn("_known", F.lit(True))
-    known = broadcast_if_small(known)
+    known = sized(known)
     rows = tall.join(known, "pid", "left").withColumn("pid", F.when(F.col("_known"), F.col("pid")))
     best = rows.groupBy(*keys, "pid").agg(
         F.max_by(F.coalesce("value", F.lit(SENT_NULL)), _order(order)).alias("value")

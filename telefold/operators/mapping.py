@@ -9,13 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from telefold.functions.clean import clean_unit
 from telefold.functions.messages import feature_formula
 from telefold.operators.units import attach_factor
+from telefold.session import written
 
 #: Targets copied from the frame itself, never from a signal.
 FRAME_TARGETS = ("lng", "lat")
 
-#: Above this a mapping is no longer compiled into a projection; see ``operators.grouped``.
-MAX_MAPPING_ROWS = 20_000
-
 # Headings of the mapping sheet and the columns they become.
 SHEET_COLUMNS: dict[str, str] = {
     "目标英文字段": "target_name",
@@ -159,13 +157,9 @@ class Target:
     default: float | None = None
 
 
-def read_targets(compiled: DataFrame, max_rows: int = MAX_MAPPING_ROWS) -> list[Target]:
-    """The compiled mapping on the driver, by target name; refuses one beyond ``max_rows``."""
-    rows = compiled.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(
-            f"more than {max_rows} mapping rows: keep the signals tall and use grouped.fuse_grouped"
-        )
+def read_targets(compiled: DataFrame) -> list[Target]:
+    """The compiled mapping on the driver, by target name: it becomes the columns of a projection."""
+    rows = compiled.collect()
     targets: dict[str, Target] = {}
     for r in sorted(rows, key=lambda r: (r.target_name, r.priority)):
         t = targets.setdefault(r.target_name, Target(r.target_name, r.is_text))
@@ -175,19 +169,17 @@ def read_targets(compiled: DataFrame, max_rows: int = MAX_MAPPING_ROWS) -> list[
     return list(targets.values())
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_MAPPING_ROWS) -> DataFrame:
-    """Marks a metadata table for broadcast after counting that it has at most ``max_rows`` rows.
+def sized(df: DataFrame) -> DataFrame:
+    """A metadata table written once: the planner then knows its size and broadcasts it under its limit.
 
     A database table has no size estimate, so the planner alone would shuffle the signals by code.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return written(df, "metadata")
 
 
 def list_targets(compiled: DataFrame) -> list[Target]:
     """Names and types of the targets only, for a mapping of any length."""
-    rows = compiled.select("target_name", "is_text").distinct().limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError(f"more than {MAX_MAPPING_ROWS} targets cannot be columns of one table")
+    rows = compiled.select("target_name", "is_text").distinct().collect()
     return [Target(r.target_name, r.is_text) for r in sorted(rows, key=lambda r: r.target_name)]
 
 
@@ -249,11 +241,12 @@ def import_sheet(df: DataFrame, **constants: str) -> DataFrame:
 
 # ---------------------------------------------------------------- schema from metadata
 
-def target_types(df: DataFrame) -> DataFrame:
-    """``target_name, target_desc, target_unit, is_text``: numeric if it has a unit, else text."""
+def target_types(df: DataFrame, order: str | None = None) -> DataFrame:
+    """``target_name, target_desc, target_unit, is_text``: numeric if it has a unit, else text. The description is that
+    of the first row by ``order``; without one, the first by name."""
     desc = "target_desc" if "target_desc" in df.columns else "target_name"
     return df.groupBy("target_name").agg(
-        F.min(desc).alias("target_desc"),
+        F.min_by(desc, order or desc).alias("target_desc"),
         F.array_join(F.array_sort(F.collect_set(clean_unit(F.col("target_unit")))), ";").alias("_unit"),
     ).select(
         "target_name",
@@ -264,10 +257,8 @@ def target_types(df: DataFrame) -> DataFrame:
 
 
 def _types_on_driver(df: DataFrame) -> list:
-    rows = target_types(df).limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError(f"more than {MAX_MAPPING_ROWS} targets cannot be columns of one table")
-    return sorted(rows, key=lambda r: r.target_name)
+    """One row per target: the columns of the table."""
+    return sorted(target_types(df).collect(), key=lambda r: r.target_name)
 
 
 def fused_schema(df: DataFrame, number: str = "double") -> T.StructType:

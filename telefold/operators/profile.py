@@ -13,8 +13,8 @@ from telefold.session import written
 SIZE_PER_10K = 21.38
 SIZE_UNIT = 1024
 
-#: Value ranges a box summary sorts one by one; bounds what one task sorts to 1/BOX_PARTS of a signal.
-BOX_PARTS = 256
+#: Distinct values that one task of a box summary sorts, about; the number of ranges follows from the count.
+RANGE_VALUES = 100_000
 
 #: A value's range is found among every so-many-th bound first, then among the bounds in between.
 COARSE = 16
@@ -97,9 +97,11 @@ def top_by(df: DataFrame, column: str, n: int | None = None, *ties: str) -> Data
     return ordered if n is None else ordered.limit(n)
 
 
-def sample_rows(df: DataFrame, n: int, by: Sequence[str], seed: int = 0) -> DataFrame:
-    """A repeatable random choice of ``n`` rows, ordered by a hash of their ids."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *by), *by).limit(n)
+def sample_rows(df: DataFrame, n: int, by: Sequence[str], seed: str = "", ties: Sequence[str] = ()) -> DataFrame:
+    """A repeatable random choice of ``n`` rows, ordered by the MD5 of their ids joined by ``|``, a seed before them;
+    ``ties`` order rows with equal ids."""
+    ids = F.concat_ws("|", *([F.lit(seed)] if seed else []), *(F.col(c).cast("string") for c in by))
+    return df.orderBy(F.md5(ids.cast("binary")), *by, *ties).limit(n)
 
 
 def any_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
@@ -107,15 +109,8 @@ def any_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)
 
 
-def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float], parts: int = BOX_PARTS) -> DataFrame:
-    """Exact interpolated quantiles per group, as columns ``q0, q1, …``, with ``n``.
-
-    Built for a group that holds most of the rows. Equal values are counted first, so repeats leave the
-    map side once. Approximate quantiles of the distinct values then cut each group into ``parts``
-    ranges of similar size; each range is sorted by its own task, and the few range totals give every
-    value its exact ranks. The cuts and the totals (one row per group and range) are written aside, so
-    building the result runs two jobs.
-    """
+def counted_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """``by, _v, _c``: how often each value occurs per group; written, for it is read several times."""
     by = list(by)
     if not by:
         raise ValueError("name at least one grouping column; a constant will do")
@@ -124,6 +119,24 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    return written(counted, "counted")
+
+
+def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles per group, as columns ``q0, q1, …``, with ``n``."""
+    return counted_quantiles(counted_values(df, by, value), by, at)
+
+
+def counted_quantiles(counted: DataFrame, by: Sequence[str], at: Sequence[float]) -> DataFrame:
+    """Quantiles of counted values. Built for a group that holds most of the rows.
+
+    Approximate quantiles of the distinct values cut each group into ranges of similar size; the few range
+    totals say which ranges hold a wanted rank, two per quantile at most, and only those are sorted, each by
+    its own task. The cuts and the totals (one row per group and range) are written aside, so building the
+    result runs jobs.
+    """
+    by = list(by)
+    parts = COARSE * (counted.count() // (RANGE_VALUES * COARSE) + 1)
     cuts = [i / parts for i in range(1, parts)]
     bounds = counted.groupBy(*by).agg(
         F.percentile_approx("_v", cuts, 20 * parts).alias("_cuts"), F.sum("_c").alias("n")
@@ -139,8 +152,10 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum("_c").alias("_t"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
-    offsets = written(offsets, "offsets")
+    offsets = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).join(bounds.select(*by, "n"), by)
+    ranks = [edge((F.col("n") - 1) * F.lit(float(p))) for p in at for edge in (F.floor, F.ceil)]
+    holds = F.exists(F.array(*ranks), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_t")))
+    offsets = written(offsets.where(holds).select(*by, "_part", "_before"), "offsets")
     running = Window.partitionBy(*by, "_part").orderBy("_v")
     last = F.col("_before") + F.sum("_c").over(running) - 1
     ranked = placed.join(offsets, [*by, "_part"]).withColumn("_last", last).withColumn(
@@ -166,16 +181,16 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, at: Sequence[float],
 def box_summary(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Numbers of a box plot per group: count, minimum, quartiles, maximum, whiskers, outliers."""
     by = list(by)
-    q = quantiles(df, by, value, (0.0, 0.25, 0.5, 0.75, 1.0)).withColumnsRenamed(
+    counted = counted_values(df, by, value)
+    q = counted_quantiles(counted, by, (0.0, 0.25, 0.5, 0.75, 1.0)).withColumnsRenamed(
         {"q0": "min", "q1": "p25", "q2": "median", "q3": "p75", "q4": "max"}
     )
     reach = 1.5 * (F.col("p75") - F.col("p25"))
-    fenced = q.withColumn("_low", F.col("p25") - reach).withColumn("_high", F.col("p75") + reach)
-    v = F.col(value).cast("double")
+    fenced = written(q.withColumn("_low", F.col("p25") - reach).withColumn("_high", F.col("p75") + reach), "boxes")
+    v = F.col("_v")
     inside = (v >= F.col("_low")) & (v <= F.col("_high"))
-    rows = df.where(F.col(value).isNotNull()).select(*by, value).join(fenced, by)
-    return rows.groupBy(*by, "n", "min", "p25", "median", "p75", "max").agg(
+    return counted.join(fenced, by).groupBy(*by, "n", "min", "p25", "median", "p75", "max").agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(1)).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telefold.functions.signals import sent_number
-from telefold.operators.fusion import with_signals
+from telefold.operators.fusion import sent_key, with_signals
 from telefold.operators.mapping import Target, read_targets
 from telefold.session import keep_last_key
 
@@ -40,12 +40,17 @@ def working_rows(
     )
 
 
-def _agrees(raw: Column, fused: Column, factor: float, tolerance: float) -> Column:
-    a, b = F.round(raw, 7), F.round(fused, 7)
-    ratio = F.when(a == 0, F.try_divide(b, a + 1)).otherwise(F.try_divide(b, a))
-    return F.when(raw.isNull() | fused.isNull(), raw.isNull() & fused.isNull()).otherwise(
-        (a == b) | (F.abs(ratio - F.lit(factor)) <= tolerance)
-    )
+def _agrees(raw: Column, fused: Column, factor: float, tolerance: float, rounded: bool) -> Column:
+    """Fused is raw times the factor within a relative tolerance; ``rounded`` compares the ratio of values rounded to
+    seven places instead, as older checks did."""
+    if rounded:
+        a, b = F.round(raw, 7), F.round(fused, 7)
+        ratio = F.when(a == 0, F.try_divide(b, a + 1)).otherwise(F.try_divide(b, a))
+        same = (a == b) | (F.abs(ratio - F.lit(factor)) <= tolerance)
+    else:
+        want = raw * F.lit(factor)
+        same = F.abs(fused - want) <= F.abs(want) * tolerance
+    return F.when(raw.isNull() | fused.isNull(), raw.isNull() & fused.isNull()).otherwise(same)
 
 
 def value_checks(
@@ -54,11 +59,12 @@ def value_checks(
     mapping: DataFrame | list[Target],
     keys: Sequence[str] = ("ein", "clt_timestamp"),
     tolerance: float = RATIO_TOLERANCE,
+    rounded: bool = False,
 ) -> DataFrame:
     """One row per frame and numeric target whose signal was sent: raw and fused value, factor, ``ok``.
 
     Raw and fused rows meet by ``keys``; after that join everything is computed inside the row. To check
-    a sample, pass a sampled ``fused``: the join then only keeps its frames.
+    a sample, pass a sampled and written ``fused``: it is then broadcast, and the join only keeps its frames.
     """
     keep_last_key(raw.sparkSession)
     targets = mapping if isinstance(mapping, list) else read_targets(mapping)
@@ -72,7 +78,7 @@ def value_checks(
     for t in targets:
         check = None
         for s in t.signals:
-            field = F.col("_signals").getItem(s.code)
+            field = F.col("_signals").getItem(sent_key(s.code))
             factor = 1.0 if s.factor is None else s.factor
             read, made = sent_number(field), F.col(f"`{t.name}`")
             row = F.struct(
@@ -81,7 +87,7 @@ def value_checks(
                 read.alias("raw_value"),
                 made.cast("double").alias("fused_value"),
                 F.lit(factor).alias("factor"),
-                _agrees(read, made.cast("double"), factor, tolerance).alias("ok"),
+                _agrees(read, made.cast("double"), factor, tolerance, rounded).alias("ok"),
             )
             check = F.when(field.isNotNull(), row) if check is None else check.when(field.isNotNull(), row)
         checks.append(check)

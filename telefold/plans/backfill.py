@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from telefold.functions import clock
-from telefold.sinks.tables import reload_partitions
+from telefold.sinks.tables import reload_days
 
 Fuse = Callable[[DataFrame], DataFrame]
 
@@ -22,9 +22,16 @@ def day_range(frames: DataFrame, date: str, first: str | None = None, last: str
     return frames.where(day.between(low, high))
 
 
-def backfill(frames: DataFrame, fuse: Fuse, path: str, first: str | None = None, last: str | None = None, date: str = "clt_date") -> None:
-    """Fuses a range of days and replaces the partitions it gives rows for."""
-    reload_partitions(fuse(day_range(frames, date, first, last)), path)
+def backfill(
+    frames: DataFrame, fuse: Fuse, path: str, first: str | None = None, last: str | None = None, date: str = "clt_date",
+    data_source: str | None = None, data_type: str | None = None,
+) -> None:
+    """Fuses a range of days and replaces them, days without rows too; without bounds, yesterday. Name the source and
+    type where the table holds others. Rows are gathered by partition, so a long range gives few files."""
+    spark = frames.sparkSession
+    low = first or str(spark.range(1).select(F.date_sub(F.current_date(), 1)).first()[0])
+    high = last or low
+    reload_days(spark, fuse(day_range(frames, date, low, high)), path, low, high, data_source, data_type, cluster=True)
 
 
 def day_list(first: str, last: str) -> list[str]:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from telefold.session import work_path
 
 LAYOUT = ("data_source", "data_type", "clt_date")
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 SORTED_BY = ("vin", "clt_timestamp")
 
 
@@ -40,33 +39,84 @@ def reload_partitions(
     )
 
 
+def read_partitions(spark: SparkSession, path: str, layout: Sequence[str] = LAYOUT) -> DataFrame:
+    """The table with its partition columns as they were written: text stays text, so ``001`` isn't 1."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name in layout else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(place) and any("=" in s.getPath().getName() for s in files.listStatus(place))
+
+
+def _empty_partitions(spark: SparkSession, path: str, gone: DataFrame, layout: Sequence[str]) -> None:
+    """Deletes the folders of the partitions in ``gone``. They are found by the files read, never by a name made up
+    from values; one job finds them all, and deleting one is a call of the file system."""
+    old = read_partitions(spark, path, layout)
+    files = old.select(*layout, F.col("_metadata.file_path").alias("_file"))
+    folders = files.join(gone, _same_partition(files, gone, layout), "left_semi")
+    folders = folders.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row.folder))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def reload_days(
+    spark: SparkSession, df: DataFrame, path: str, first: str, last: str,
+    data_source: str | None = None, data_type: str | None = None, cluster: bool = False,
+) -> None:
+    """Replaces the closed range of days; a day without rows becomes empty. A source or type narrows what is
+    replaced; rows of ``df`` outside of it aren't written.
+
+    Days that become empty are deleted first. A failure after that leaves days of the range missing, which a rerun
+    writes; no other day is touched.
+    """
+    asked = F.col("clt_date").cast("string").between(first, last)
+    for name, wanted in (("data_source", data_source), ("data_type", data_type)):
+        if wanted is not None:
+            asked = asked & (F.col(name) == wanted)
+    rows = df.withColumns({c: F.col(c).cast("string") for c in LAYOUT}).where(asked)
+    staged = work_path(spark, "staged")
+    rows.write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    if _exists(spark, path):
+        old = read_partitions(spark, path).where(asked).select(*LAYOUT).distinct()
+        new = rows.select(*LAYOUT).distinct()
+        _empty_partitions(spark, path, old.join(new, _same_partition(old, new, LAYOUT), "left_anti"), LAYOUT)
+    reload_partitions(rows, path, cluster=cluster)
+    drop_staged(spark, staged)
+
+
 def reload_day(df: DataFrame, path: str, data_source: str, data_type: str, day: str) -> None:
-    """Replaces one day; a day without rows becomes empty."""
-    rows = df.where(
-        (F.col("data_source") == data_source) & (F.col("data_type") == data_type) & (F.col("clt_date") == day)
-    ).drop(*LAYOUT)
-    by = [c for c in SORTED_BY if c in rows.columns]
-    target = f"{path}/data_source={data_source}/data_type={data_type}/clt_date={day}"
-    (rows.sortWithinPartitions(*by) if by else rows).write.mode("overwrite").parquet(target)
+    """Replaces one day of one source and type; a day without rows becomes empty."""
+    reload_days(df.sparkSession, df, path, day, day, data_source, data_type)
 
 
 def delete_then_append(
     spark: SparkSession, path: str, matches: Column, new: DataFrame, layout: Sequence[str] = LAYOUT
 ) -> None:
-    """Deletes the rows that match, then adds new ones; a row the test is NULL for stays.
+    """Deletes the rows that match, then adds new ones; a row the test is NULL for stays. ``matches`` sees partition
+    columns as text.
 
-    What remains is written aside first and swapped in partition by partition. Only partitions that
-    hold a matching or a new row are rewritten; one left without rows is emptied.
+    What remains is written aside first. Partitions left without rows are deleted, then those that hold a matching
+    or a new row are replaced. A failure between the two has only deleted rows that were to go.
     """
-    old = spark.read.parquet(path)
+    old = read_partitions(spark, path, layout)
+    new = new.withColumns({c: F.col(c).cast("string") for c in layout})
     hit = F.coalesce(matches, F.lit(False))
     touched = old.where(hit).select(*layout).union(new.select(*layout)).distinct()
     rest = old.where(~hit).join(touched, _same_partition(old, touched, layout), "left_semi")
-    staged = work_path(spark, "staged")
-    rest.unionByName(new.select(*old.columns)).write.partitionBy(*layout).parquet(staged)
-    touched_rows = work_path(spark, "touched")
-    touched.write.parquet(touched_rows)
-    _swap(spark, staged, touched_rows, path, layout)
+    staged, parts = work_path(spark, "staged"), work_path(spark, "touched")
+    touched.write.parquet(parts)
+    rest.unionByName(new.select(*old.columns)).write.parquet(staged)
+    rows, parts_rows = spark.read.parquet(staged), spark.read.parquet(parts)
+    filled = rows.select(*layout).distinct()
+    _empty_partitions(spark, path, parts_rows.join(filled, _same_partition(parts_rows, filled, layout), "left_anti"), layout)
+    reload_partitions(rows, path, layout)
+    drop_staged(spark, staged, parts)
 
 
 def _same_partition(a: DataFrame, b: DataFrame, layout: Sequence[str]) -> Column:
@@ -76,15 +126,11 @@ def _same_partition(a: DataFrame, b: DataFrame, layout: Sequence[str]) -> Column
     return test
 
 
-def _swap(spark: SparkSession, staged: str, touched: str, path: str, layout: Sequence[str]) -> None:
-    schema = spark.read.parquet(path).schema
-    rows = spark.read.schema(schema).parquet(staged)
-    rows.write.partitionBy(*layout).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    parts, filled = spark.read.parquet(touched), rows.select(*layout).distinct()
-    emptied = parts.join(filled, _same_partition(parts, filled, layout), "left_anti")
-    for part in emptied.toLocalIterator():
-        place = "/".join(f"{c}={NULL_PARTITION if part[c] is None else part[c]}" for c in layout)
-        spark.createDataFrame([], rows.drop(*layout).schema).write.mode("overwrite").parquet(f"{path}/{place}")
+def drop_staged(spark: SparkSession, *paths: str) -> None:
+    """Deletes work folders that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def export_csv(df: DataFrame, path: str, separator: str = ",", bom: bool = False) -> None:

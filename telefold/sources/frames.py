@@ -14,13 +14,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer files than cores. A large table has many files and
-    is left as it is: no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _frame(df: DataFrame, time: str, date: str, codes: Column, values: Column, vin: str, lng: str | None, lat: str | None) -> DataFrame:
     none = F.lit(None).cast("string")
     return df.select(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telefold.functions.messages import decode_frames, signal_rows
 from telefold.operators.grouped import fuse_grouped
-from telefold.operators.mapping import broadcast_if_small, list_targets, read_targets
+from telefold.operators.mapping import list_targets, read_targets, sized
 from telefold.plans.pipeline import fuse_table
 from telefold.session import keep_last_key
 
@@ -76,8 +76,8 @@ def stream_signals(
     """Messages as lists of frames, fused per engine and second inside each batch."""
     keep_last_key(messages.sparkSession)
     targets = list_targets(mapping)
-    mapping = broadcast_if_small(mapping)
-    scaling = None if scaling is None else broadcast_if_small(scaling)
+    mapping = sized(mapping)
+    scaling = None if scaling is None else sized(scaling)
     order = [c for c in ("partition", "offset") if c in messages.columns] + ["pos"]
     tall = signal_rows(messages)
 

@@ -129,19 +129,16 @@ def _filtered_plan(frames, compiled):
     return fused._jdf.queryExecution().executedPlan().toString()
 
 
-def test_codes_differing_in_case(spark, monkeypatch):
+@pytest.mark.parametrize("others", [0, 100])
+def test_codes_differing_in_case(spark, others):
     rows = [("t", "m", "s1", "m", None, None, None, 1), ("t", "m", "S1", "m", None, None, None, 2)]
+    rows += [(f"o{i}", "m", f"o{i}", "m", None, None, None, 3) for i in range(others)]
     targets = maps.read_targets(maps.compile_mapping(spark.createDataFrame(rows, MAPPING_DDL), "id"))
-    df = spark.createDataFrame([(["S1"], ["1"])], "codes array<string>, vals array<string>")
-    assert fusion.fuse_frames(df, targets).first().t == 1.0
-    monkeypatch.setattr(fusion, "LOOKED_UP", 0)
-    with pytest.raises(ValueError, match="case"):
-        fusion.fuse_frames(df, targets)
-
-
-def test_mapping_too_large_is_refused(compiled):
-    with pytest.raises(ValueError, match="tall"):
-        maps.read_targets(compiled, max_rows=2)
+    df = spark.createDataFrame([(["S1", "o5"], ["1", "7"]), (["S1", "s1"], ["1", "2"])], "codes array<string>, vals array<string>")
+    fused = fusion.fuse_frames(df, targets)
+    assert sorted(r.t for r in fused.collect()) == [1.0, 2.0]
+    if others:
+        assert {r.o5 for r in fused.collect()} == {7.0, None}
 
 
 def test_tall_forms_agree_with_the_frame_form(frames, compiled):
@@ -170,10 +167,9 @@ def test_grouped_combines_before_its_shuffles(spark, compiled):
     assert plan.count("partial_min_by") == 1 and "partial_min(" in plan
 
 
-def test_only_counted_metadata_is_broadcast(spark, compiled):
-    for rows, hinted in ((3, True), (4, False)):
-        plan = maps.broadcast_if_small(spark.range(rows), 3)._jdf.queryExecution().logical().toString()
-        assert ("broadcast" in plan.lower()) is hinted
+def test_metadata_of_known_size(spark, compiled):
+    found = maps.sized(spark.range(3))
+    assert found.count() == 3 and found.inputFiles()
     assert [(t.name, t.is_text) for t in maps.list_targets(compiled)] == [("t", False), ("u", True), ("w", False)]
 
 

@@ -96,6 +96,40 @@ def test_delete_then_append(spark):
     assert sorted(t for d, t in got if d == "2024-01-02") == [1.0] * 3 + [9.0] * 3
 
 
+@pytest.mark.parametrize("source", ["a:b", "001", "x=y/z%", None])
+def test_odd_partition_names(spark, source):
+    def rows(days, value=1.0):
+        return day_rows(spark, days, value).withColumn("data_source", F.lit(source).cast("string"))
+
+    def days(path):
+        got = sinks.read_partitions(spark, path).collect()
+        assert {r.data_source for r in got} <= {source, "source_a"}
+        return sorted((r.data_source == source, r.clt_date, r.t) for r in got)
+
+    path = work_path(spark, "odd")
+    sinks.append_partitions(rows(["2024-01-01", "2024-01-02"]).unionByName(day_rows(spark, ["2024-01-01"])), path)
+    other = [(False, "2024-01-01", 1.0)] * 3
+    if source is not None:
+        sinks.reload_day(rows(["2024-01-01"], 2.0), path, source, "gc", "2024-01-01")
+        assert days(path) == sorted(other + [(True, "2024-01-01", 2.0)] * 3 + [(True, "2024-01-02", 1.0)] * 3)
+        sinks.reload_day(rows([]), path, source, "gc", "2024-01-02")
+    else:
+        sinks.delete_then_append(spark, path, F.col("data_source").isNull() & (F.col("clt_date") == "2024-01-02"), rows([]))
+    assert {d for mine, d, _ in days(path) if mine} == {"2024-01-01"}
+    sinks.delete_then_append(spark, path, F.col("data_source").eqNullSafe(F.lit(source)), rows(["2024-01-03"], 5.0))
+    assert days(path) == sorted(other + [(True, "2024-01-03", 5.0)] * 3)
+
+
+def test_backfill_empties_days_without_rows(spark):
+    path = work_path(spark, "t")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    backfill.backfill(day_rows(spark, days), lambda d: d, path, *days[::2])
+    sinks.append_partitions(day_rows(spark, days).withColumn("data_source", F.lit("other")), path)
+    backfill.backfill(day_rows(spark, days[1:]), lambda d: d, path, *days[:2], data_source="source_a")
+    got = sinks.read_partitions(spark, path).groupBy("data_source", "clt_date").count().collect()
+    assert {(r.data_source, r.clt_date) for r in got} == {("source_a", d) for d in days[1:]} | {("other", d) for d in days}
+
+
 def test_backfill_equals_day_by_day(spark):
     rows = day_rows(spark, ["2024-01-01", "2024-01-02", "2024-01-03"])
     one, many = work_path(spark, "one"), work_path(spark, "many")

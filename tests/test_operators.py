@@ -41,7 +41,8 @@ def test_first_match_does_not_multiply(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_quantiles_are_exact(spark, seed):
+def test_quantiles_are_exact(spark, seed, monkeypatch):
+    monkeypatch.setattr(profile, "RANGE_VALUES", 20)
     rng = random.Random(seed)
     data = {
         "hot": [float(rng.choice([1, 2, 2, 3])) for _ in range(400)] + [rng.random() * 1e6 for _ in range(300)],
@@ -51,7 +52,7 @@ def test_quantiles_are_exact(spark, seed):
     }
     rows = [(g, v) for g, vs in data.items() for v in vs] + [("one", None), ("none", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r for r in profile.quantiles(df, ["g"], "v", [0, 0.25, 0.5, 0.9, 1], parts=16).collect()}
+    got = {r.g: r for r in profile.quantiles(df, ["g"], "v", [0, 0.25, 0.5, 0.9, 1]).collect()}
     assert set(got) == set(data)
     for g, vs in data.items():
         vs = sorted(vs)
@@ -119,8 +120,8 @@ def test_counts_show_days_of_either_side(spark):
 
 def test_samples(spark):
     df = spark.range(500)
-    one = [r.id for r in profile.sample_rows(df, 20, ["id"], 3).collect()]
-    two = [r.id for r in profile.sample_rows(df.repartition(7), 20, ["id"], 3).collect()]
+    one = [r.id for r in profile.sample_rows(df, 20, ["id"], "3").collect()]
+    two = [r.id for r in profile.sample_rows(df.repartition(7), 20, ["id"], "3").collect()]
     assert one == two and len(set(one)) == 20
     assert profile.any_rows(df, 20, seed=1).count() == 20
 

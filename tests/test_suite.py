@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from check import _alike, _rows
+from check import _alike, _cell, _rows
+from suite import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     df = entry_points.queries()[name](spark, sf_dir)
     mine = [tuple(r) for r in df.collect()]
@@ -31,5 +32,11 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     assert _rows(df.columns, mine) == _rows(columns, cur.fetchall())
 
 
+def test_the_comparison_tells_seconds_apart():
+    assert _cell(1704067200) != _cell(1704067201)
+    assert _cell(0.1 + 0.2) == _cell(0.3)
+    assert _cell("1") != _cell("1.0")
+
+
 def test_entry(spark, sf_dir):
     assert entry_points.entry(spark).count() > 0

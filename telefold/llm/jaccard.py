@@ -42,6 +42,8 @@ FREQUENT = 48  # a bucket of more sets is skipped in rounds 1 and 2
 ENTRIES = 1_000_000  # index entries that one task groups
 SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very frequent
 FILTER_BITS = 1 << 23
+BLOCK = 2_000  # members of a bucket that one task compares with each other
+PAIRS_AT_ONCE = 1_000_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
@@ -563,7 +565,7 @@ def jaccard_components(
         pairs = pairs.union(keys.join(keys.groupBy("key").agg(F.min("node").alias("a")), "key").filter("a <> node").select("a", F.col("node").alias("b")))
     pairs = written(pairs.distinct(), "pairs")
     links = join.linked(pairs, nodes)
-    apart = _apart(candidates, keys, components(links), pairs)
+    apart = _apart(join, candidates, keys, components(links), nodes, pairs)
     links = links.union(join.linked(written(apart, "pairs"), nodes))
     labels = components(links)
     smallest = labels.join(nodes, "node").groupBy("label").agg(F.min("doc").alias("component_id"))
@@ -577,22 +579,68 @@ def jaccard_components(
     )
 
 
-def _apart(lists: DataFrame, keys: DataFrame | None, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members that are still in different components, without those tried before."""
-    label = F.coalesce("label", "node")
-    long = lists.filter(F.size("members") > 2).withColumn("list", F.monotonically_increasing_id())
-    long = written(long, "lists")  # fixes the numbers
-    members = long.select("list", F.explode("members").alias("node")).join(labels, "node", "left").withColumn("label", label)
-    mixed = members.groupBy("list").agg(F.collect_list(F.struct("node", "label")).alias("m"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    both = F.expr("filter(transform(m, n -> struct(e.node AS p, n.node AS q, n.label AS label)), z -> z.label > e.label)")
-    pairs = mixed.select("m", F.explode("m").alias("e")).select(F.explode(both).alias("z")).select("z.p", "z.q")
+def _apart(join: Join, lists: DataFrame, keys: DataFrame | None, labels: DataFrame, nodes: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of a bucket's members that are still in different components and may be linked by their sketches, without
+    those tried before. Pairs are formed and compared inside a task; only those left become rows. A large bucket is
+    cut into blocks, and each two of them meet in a task."""
+    bands = join.bands
+    long = lists.filter(F.size("members") > 2).select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("node"))
     if keys is not None:
-        named = keys.join(labels, "node", "left").withColumn("label", label)
-        more = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-        named = named.join(more, "key")
-        other = named.select("key", F.col("node").alias("q"), F.col("label").alias("other"))
-        pairs = pairs.union(named.join(other, "key").filter("label < other").select(F.col("node").alias("p"), "q"))
-    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        long = long.union(keys.select(F.col("key").alias("bucket"), "node"))
+    named = long.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    blocks = mixed.select("bucket", F.expr(f"cast(size div {BLOCK} as int) + 1").alias("blocks"))
+    dealt = named.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.join(nodes.select("node", "n", "sketch"), "node").select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "n", "sketch"
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        pairs = 0
+        for batch in batches:
+            group = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            cuts = [0, *(np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                same = held and all(held[-1].column(i)[-1].as_py() == part.column(i)[0].as_py() for i in range(3))
+                if pairs >= PAIRS_AT_ONCE and not same:
+                    yield _close(held, bands)
+                    held, pairs = [], 0
+                held.append(part)
+                pairs += (b - a) ** 2 // 2
+        if held:
+            yield _close(held, bands)
+
+    order = ["bucket", "low", "high"]
+    close = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a bigint, b bigint")
+    return close.distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _close(parts: list[pa.RecordBatch], bands: Bands) -> pa.RecordBatch:
+    """Pairs of nodes of unlike label in a bucket whose sizes and sketches allow a link."""
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    bucket, low, high, block, node, label, n = (rows.column(i).to_numpy() for i in range(7))
+    sketch = rows.column(7).combine_chunks()
+    first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+    found = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
+        i, j = (x + a for x in np.triu_indices(b - a, 1))
+        allowed = (label[i] != label[j]) & ((block[i] != block[j]) | (low[a] == high[a])) & (node[i] != node[j])
+        allowed &= np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * bands.percent
+        found.append(np.stack([i[allowed], j[allowed]]))
+    i, j = np.concatenate(found, axis=1)
+    ends = np.sort(np.stack([node[i], node[j]]), axis=0)
+    _, once = np.unique(ends, axis=1, return_index=True)
+    i, j, ends = i[once], j[once], ends[:, once]
+    near = np.zeros(len(i), bool)
+    for at in np.array_split(np.arange(len(i)), len(i) // 100_000 + 1):
+        total = n[i[at]] + n[j[at]]
+        sums, back = np.unique(total, return_inverse=True)
+        most = np.array([bands.differences(int(t)) for t in sums], np.int64)[back]
+        near[at] = _differ_at_least(sketch.take(pa.array(i[at])), sketch.take(pa.array(j[at]))) <= most
+    return pa.RecordBatch.from_arrays([pa.array(ends[0][near]), pa.array(ends[1][near])], ["a", "b"])
 
 
 def one_per_component(docs: DataFrame, percent: int = 75, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

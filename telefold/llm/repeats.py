@@ -276,8 +276,15 @@ def repeated_spans(docs: DataFrame, length: int, seed: int, doc_id: str, text: s
         results = results.union(around.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, RESULT))
         if len(large):
             results = results.union(_by_windows(chosen, picked, shared, tasks, length, seed))
-    reach = results.groupBy("context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    runs = found.join(reach, "context").select("doc", "ver", (F.col("at") - F.col("high")).alias("first"), (F.col("at") - F.col("low") + length).alias("end"))
+    reach = written(results.groupBy("context").agg(F.min("low").alias("low"), F.max("high").alias("high")), "reach")
+    cells = spark.sparkContext.broadcast(_filter_bits(reach.select(F.col("context").alias("h"))))
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places of contexts with repeats and, by chance, few others: most places need not be shuffled."""
+        for batch in batches:
+            yield batch.filter(pa.array(cells.value[batch.column(0).to_numpy() % FILTER_BITS]))
+
+    runs = found.drop("anchor", "reach").mapInArrow(reached, f"context long, doc {kind}, ver int, at long").join(reach, "context").select("doc", "ver", (F.col("at") - F.col("high")).alias("first"), (F.col("at") - F.col("low") + length).alias("end"))
     return runs.groupBy("doc", "ver").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
 

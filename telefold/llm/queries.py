@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, decontaminate, html, jaccard, lines, quality, repeats, secrets, token_count
+from ..session import written
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -73,7 +74,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    found = secrets.findings(docs)
+    found = written(secrets.findings(docs), "findings")
     labelled = found.withColumn("label", secrets.rule_label(F.col("run"), F.col("before")))
     forest = secrets.train(labelled, path="source")
     scored = secrets.score(found, forest, path="source")

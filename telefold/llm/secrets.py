@@ -31,15 +31,23 @@ SECRET_NAME = "(?i)(pass(word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?ke
 
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per run, with the columns of ``docs`` but the text, and ``nth int`` (from 0), ``run``, ``before`` and
-    ``after`` (up to 40 characters of the same line). Null and empty texts have none; equal rows each have theirs."""
+    ``after``: up to 40 characters of the same line, as far as the findings beside it. Null and empty texts have none;
+    equal rows each have theirs."""
     body = F.col(f"`{text}`")
-    found = [F.regexp_extract_all(body, F.lit(p), F.lit(1)) for p in (f"({RUN})", rf"(?m)(?<=(^[^\n]{{0,39}}|[^\n]{{40}})){RUN}", rf"{RUN}(?=([^\n]{{0,40}}))")]
+    # what stands between the runs; one piece more than there are runs
+    runs, between = F.regexp_extract_all(body, F.lit(RUN), F.lit(0)), F.split(body, RUN, -1)
     names = ["nth", "run", "before", "after"]
-    rest = [c for c in docs.columns if c != text and c not in names]
-    some = docs.filter(body.rlike(RUN)).select(*(F.col(f"`{c}`") for c in rest), F.arrays_zip(*(x.alias(n) for x, n in zip(found, names[1:]))).alias("__found"))
-    return some.select(*(F.col(f"`{c}`") for c in rest), F.posexplode("__found").alias("nth", "__one")).select(
-        *(F.col(f"`{c}`") for c in rest), "nth", *(F.col("__one")[n].alias(n) for n in names[1:])
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text and c not in names]
+    cut = docs.filter(body.rlike(RUN)).select(*rest, runs.alias("__runs"), between.alias("__between"))
+    found = F.transform(
+        "__runs",
+        lambda run, i: F.struct(
+            run.alias("run"),
+            F.right(F.substring_index(F.get("__between", i), "\n", -1), F.lit(40)).alias("before"),
+            F.left(F.substring_index(F.get("__between", i + 1), "\n", 1), F.lit(40)).alias("after"),
+        ),
     )
+    return cut.select(*rest, F.posexplode(found).alias("nth", "__one")).select(*rest, "nth", "__one.*")
 
 
 def _share(run: Column, kind: str) -> Column:

@@ -42,7 +42,7 @@ def normalize_ids(spark, sf_dir):
            strftime(to_timestamp(s) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS utc_text,
            strftime(to_timestamp(s + 28800) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS shanghai_text,
            strftime(to_timestamp(s + 28800) AT TIME ZONE 'UTC', '%Y-%m-%d') AS shanghai_day,
-           s - 28800 AS read_as_shanghai
+           s - 28800 AS read_as_shanghai, s * 1000 AS stamp_ms
     FROM t""",
 )
 def epoch_convert(spark, sf_dir):
@@ -57,6 +57,7 @@ def epoch_convert(spark, sf_dir):
         clock.epoch_text(s, zone="Asia/Shanghai").alias("shanghai_text"),
         clock.epoch_day(s, "Asia/Shanghai").cast("string").alias("shanghai_day"),
         clock.text_epoch(F.col("wall"), zone="Asia/Shanghai").alias("read_as_shanghai"),
+        F.unix_millis(clock.epoch_stamp(s)).alias("stamp_ms"),
     )
 
 

@@ -342,3 +342,23 @@ def fuse_wide_table(spark, sf_dir):
 
 def read_wide(spark):
     return maps.read_targets(wide_mapping(spark))
+
+
+@query(
+    "fuse_wide_tall",
+    "SELECT l_orderkey, l_linenumber, "
+    + ", ".join(f"CASE WHEN l_linenumber % 2 = {i % 2} THEN l_quantity + {i} END AS t{i}" for i in range(70))
+    + " FROM lineitem",
+)
+def fuse_wide_tall(spark, sf_dir):
+    """Seventy codes, each two of which differ only in case; an even line sends the lower ones."""
+    rows = [(f"t{i}", "m", f"{'c' if i % 2 == 0 else 'C'}{i // 2}", "m", i) for i in range(70)]
+    compiled = maps.compile_mapping(
+        spark.createDataFrame(rows, "target_name string, target_unit string, signal_name string, signal_unit string, id int"), "id"
+    )
+    even = F.col("l_linenumber") % 2 == 0
+    codes = F.when(even, F.array(*[F.lit(f"c{i}") for i in range(35)])).otherwise(F.array(*[F.lit(f"C{i}") for i in range(35)]))
+    first = F.when(even, 0).otherwise(1)
+    values = F.transform(F.sequence(F.lit(0), F.lit(34)), lambda i: (F.col("l_quantity") + i * 2 + first).cast("string"))
+    sent = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", codes.alias("codes"), values.alias("vals"))
+    return fusion.fuse_frames(sent, compiled)

@@ -117,8 +117,8 @@ def schema_from_config(spark, sf_dir):
     "sheet_mapping",
     """WITH t AS (SELECT p_partkey, p_brand AS target_name, p_name AS target_desc,
                        CASE WHEN p_brand LIKE '%1' THEN '-' ELSE 'm' END AS target_unit FROM part)
-    SELECT target_name, target_desc, CASE WHEN target_unit = '-' THEN NULL ELSE target_unit END AS target_unit,
-           'P' || p_partkey::VARCHAR AS signal_name, p_type AS signal_desc,
+    SELECT target_name, first_value(target_desc) OVER (PARTITION BY target_name ORDER BY p_partkey) AS target_desc,
+           CASE WHEN target_unit = '-' THEN NULL ELSE target_unit END AS target_unit, 'P' || p_partkey::VARCHAR AS signal_name, p_type AS signal_desc,
            CASE WHEN p_size > 10 THEN 'km' END AS signal_unit,
            CASE WHEN p_size > 10 THEN 'Float64' ELSE 'String' END AS signal_type, 'source_a' AS data_source
     FROM t JOIN part USING (p_partkey)""",
@@ -131,8 +131,9 @@ def sheet_mapping(spark, sf_dir):
         F.concat(F.lit("P"), text("p_partkey")).alias("pid"),
         F.col("p_type").alias("Description"),
         F.when(F.col("p_size") > 10, "km").otherwise("").alias("unit"),
+        "p_partkey",
     )
-    return maps.sheet_mapping(sheet, "source_a")
+    return maps.sheet_mapping(sheet, "source_a", "p_partkey")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from suite.inputs import DEVICES_SQL, LISTS_SQL, RAW_SQL, devices, raw_frames, table, text
 from suite.registry import query
-from telefold.functions import clock, listtext, messages
+from telefold.functions import clock, listtext, messages, signals
 from telefold.operators import enrich, mapping as maps, profile
 from telefold.sources import frames as scans, metadata
 
@@ -361,3 +361,38 @@ def stream_static_join(spark, sf_dir):
 
     rows = attach_mapping(signal_events(spark, sf_dir), group_mapping(spark), group_scaling(spark))
     return rows.select("pos", "pid", "target_name", "multiplier", "offset")
+
+
+@query(
+    "catalogue_scan",
+    """SELECT p_partkey AS PID, p_name AS Description, p_brand AS ECUName, p_type AS name, p_size::VARCHAR AS unitname FROM part""",
+)
+def catalogue_scan(spark, sf_dir):
+    renamed = {"p_partkey": "PID", "p_name": "Description", "p_brand": "ECUName", "p_type": "name"}
+    part = table(spark, sf_dir, "part").withColumnsRenamed(renamed)
+    return metadata.catalogue_scan(part.withColumn("unitname", text("p_size")))
+
+
+@query(
+    "message_map",
+    """SELECT event_id, 2 AS n, event_id::VARCHAR AS id, CASE WHEN event_type = 'click' THEN value END AS click FROM events""",
+)
+def message_map(spark, sf_dir):
+    """A message's signals as a map; an entry without a name is left out."""
+    pairs = ((F.col("event_type"), text("value")), (F.lit("ID"), text("event_id")), (F.lit(None).cast("string"), F.lit("x")))
+    items = F.array(*(F.struct(pid.alias("pid"), value.alias("value")) for pid, value in pairs))
+    named = signals.item_map(items, "pid", "value")
+    made = table(spark, sf_dir, "events").select("event_id", named.alias("m"))
+    return made.select("event_id", F.size("m").alias("n"), F.col("m")["ID"].alias("id"), F.col("m")["click"].cast("double").alias("click"))
+
+
+@query(
+    "null_key_groups",
+    """SELECT CASE WHEN l_linenumber % 3 > 0 THEN l_returnflag END AS flag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity
+    FROM lineitem GROUP BY ALL""",
+)
+def null_key_groups(spark, sf_dir):
+    """A NULL key is a group of its own."""
+    lines = table(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_returnflag")).alias("flag")
+    return lines.groupBy(flag, "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))

@@ -226,7 +226,9 @@ def replace_table(spark, sf_dir):
     "stream_frames_file",
     """SELECT user_id::VARCHAR AS ein, 'V' || user_id::VARCHAR AS vin, epoch(date_trunc('second', ts))::BIGINT AS clt_timestamp,
            CASE event_type WHEN 'click' THEN value * 0.001::DOUBLE WHEN 'view' THEN value END AS speed,
-           CASE event_type WHEN 'error' THEN value * 10.0::DOUBLE END AS pressure FROM events""",
+           CASE event_type WHEN 'error' THEN value * 10.0::DOUBLE END AS pressure,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS clt_time, 'telemetry' AS data_source, 'gc' AS data_type,
+           strftime(ts, '%Y-%m-%d') AS clt_date FROM events""",
 )
 def stream_frames_file(spark, sf_dir):
     """Messages as text files, taken in batches of three files."""
@@ -236,7 +238,39 @@ def stream_frames_file(spark, sf_dir):
         open_files(spark, source, 3), group_mapping(spark), path, checkpoint, every=None, zone="UTC"
     )
     run.awaitTermination()
-    return spark.read.parquet(path).select("ein", "vin", "clt_timestamp", "speed", "pressure")
+    fused = sinks.read_partitions(spark, path)
+    return fused.select("ein", "vin", "clt_timestamp", "speed", "pressure", "clt_time", *sinks.LAYOUT)
+
+
+@query(
+    "stream_rejects",
+    """SELECT 'frame' AS kind, 'unreadable message' AS reject_reason, '{"ein": ' || event_id::VARCHAR AS text FROM events WHERE event_id % 3 = 0
+    UNION ALL SELECT 'list', 'unreadable message', 'junk ' || event_id::VARCHAR FROM events WHERE event_id % 5 = 0
+    UNION ALL SELECT 'good frames', NULL, count(*)::VARCHAR FROM events
+    UNION ALL SELECT 'good lists', NULL, count(DISTINCT (user_id, date_trunc('second', ts)))::VARCHAR FROM events""",
+)
+def stream_rejects(spark, sf_dir):
+    """Messages of both flavours with junk among them: what can't be read is kept with its text."""
+    paths = {n: work_path(spark, n) for n in ("m1", "m2", "good1", "good2", "bad1", "bad2", "c1", "c2")}
+    ev = table(spark, sf_dir, "events")
+    half = ev.where("event_id % 3 = 0").select(F.format_string('{"ein": %d', "event_id").alias("value"))
+    junk = ev.where("event_id % 5 = 0").select(F.format_string("junk %d", "event_id").alias("value"))
+    frame_messages(spark, sf_dir).select("value").union(half).write.text(paths["m1"])
+    signal_messages(spark, sf_dir).union(junk).write.text(paths["m2"])
+    compiled = group_mapping(spark)
+    for run in (
+        jobs.stream_frames(open_files(spark, paths["m1"]), compiled, paths["good1"], paths["c1"], every=None, zone="UTC", rejects=paths["bad1"]),
+        jobs.stream_signals(open_files(spark, paths["m2"]), compiled, paths["good2"], paths["c2"], every=None, zone="UTC", rejects=paths["bad2"]),
+    ):
+        run.awaitTermination()
+    bad = [
+        spark.read.parquet(paths["bad1"]).select(F.lit("frame").alias("kind"), "reject_reason", F.col("corrupt").alias("text")),
+        spark.read.parquet(paths["bad2"]).select(F.lit("list").alias("kind"), "reject_reason", F.col("value").alias("text")),
+    ]
+    for kind, n in (("good frames", "good1"), ("good lists", "good2")):
+        counted = spark.read.parquet(paths[n]).agg(F.count(F.lit(1)).cast("string").alias("text"))
+        bad.append(counted.select(F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("reject_reason"), "text"))
+    return bad[0].union(bad[1]).union(bad[2]).union(bad[3])
 
 
 @query(
@@ -247,7 +281,10 @@ def stream_frames_file(spark, sf_dir):
            arg_min(CASE event_type WHEN 'click' THEN (value * 2.0::DOUBLE + 1.0::DOUBLE) * 0.001::DOUBLE ELSE value END,
                    (event_type, value)) FILTER (WHERE event_type IN ('click', 'view')) AS speed,
            min((value + 0.5::DOUBLE) * 10.0::DOUBLE) FILTER (WHERE event_type = 'error') AS pressure,
-           min(value) FILTER (WHERE event_type = 'signup') AS note
+           min(value) FILTER (WHERE event_type = 'signup') AS note,
+           NULL::VARCHAR AS platname, 'source_d' AS data_source, 'gc' AS data_type, NULL::VARCHAR AS hos_mat_id,
+           strftime(to_timestamp(clt_timestamp) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS clt_time,
+           strftime(to_timestamp(clt_timestamp) AT TIME ZONE 'UTC', '%Y-%m-%d') AS clt_date
     FROM e GROUP BY ein, clt_timestamp""",
 )
 def stream_grouped_file(spark, sf_dir):
@@ -264,9 +301,27 @@ def stream_grouped_file(spark, sf_dir):
     )
     compiled = group_mapping(spark).unionByName(place, allowMissingColumns=True)
     run = jobs.stream_signals(
-        open_files(spark, source), compiled, path, checkpoint, scaling=group_scaling(spark), every=None
+        open_files(spark, source), compiled, path, checkpoint, scaling=group_scaling(spark), every=None, zone="UTC",
+        data_source="source_d", data_type="gc",
     )
     run.awaitTermination()
-    got = spark.read.parquet(path).withColumn("note", F.col("note").cast("double"))
+    got = sinks.read_partitions(spark, path).withColumn("note", F.col("note").cast("double"))
     seconds = F.col("clt_timestamp").cast("bigint").alias("clt_timestamp")
-    return got.select("ein", seconds, "vin", "lng", "speed", "pressure", "note")
+    return got.select("ein", seconds, "vin", "lng", "speed", "pressure", "note", "platname", "hos_mat_id", "clt_time", *sinks.LAYOUT)
+
+
+@query(
+    "fused_table_by_schema",
+    f"""WITH {RAW_SQL} SELECT ein, vin, 'telemetry' AS data_source, 'gc' AS data_type, epoch(sent_at)::BIGINT AS clt_timestamp,
+      strftime(sent_at, '%Y-%m-%d') AS clt_date, {FUSED_SQL}, '0' AS is_delete, true AS stamped, NULL::VARCHAR AS extend_feature FROM raw""",
+)
+def fused_table_by_schema(spark, sf_dir):
+    """Columns made from the mapping, rows of the full job written under them and read by that schema."""
+    path = work_path(spark, "fused")
+    rows = mapping(spark).withColumn("target_desc", F.col("target_name"))
+    schema = maps.fused_schema(rows)
+    fused = fuse_table(frames(spark, sf_dir), maps.compile_mapping(mapping(spark), "id"), zone="UTC")
+    sinks.reload_partitions(maps.to_fused_table(fused, schema), path, cluster=True)
+    got = spark.read.schema(schema).parquet(path)
+    stamped = F.col("create_time").isNotNull().alias("stamped")
+    return got.select("ein", *FUSED, *sinks.LAYOUT, "is_delete", stamped, "extend_feature")

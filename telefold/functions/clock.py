@@ -44,10 +44,6 @@ def millis_to_seconds(millis: Column) -> Column:
     return ((millis - millis % 1000) / 1000).cast("bigint")
 
 
-def millis_text(millis: Column, zone: str | None = None) -> Column:
-    return epoch_text(F.floor(millis / 1000), WALL_FORMAT, zone)
-
-
 def epoch_stamp(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 

@@ -86,3 +86,9 @@ def signal_rows(df: DataFrame, text: str = "value") -> DataFrame:
         F.col("_s").pid.alias("pid"),
         F.col("_s").value.alias("value"),
     )
+
+
+def unreadable_lists(df: DataFrame, text: str = "value") -> DataFrame:
+    """Rows whose text is no list of messages, with a ``reject_reason``; ``signal_rows`` has nothing of them."""
+    kept = F.from_json(F.col(text), SIGNAL_SCHEMA)
+    return df.where(kept.isNull()).withColumn("reject_reason", F.lit("unreadable message"))

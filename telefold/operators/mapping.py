@@ -36,6 +36,10 @@ KEY_COLUMNS: list[tuple[str, str]] = [
     ("clt_date", "STRING"),
     ("hos_series", "STRING"),
     ("hos_mat_id", "STRING"),
+    ("extend_feature", "STRING"),
+    ("is_delete", "STRING"),
+    ("create_time", "TIMESTAMP"),
+    ("update_time", "TIMESTAMP"),
     ("lng", "DOUBLE"),
     ("lat", "DOUBLE"),
     ("high", "DOUBLE"),
@@ -256,9 +260,20 @@ def target_types(df: DataFrame, order: str | None = None) -> DataFrame:
     )
 
 
-def _types_on_driver(df: DataFrame) -> list:
+def _types_on_driver(df: DataFrame, order: str | None = None) -> list:
     """One row per target: the columns of the table."""
-    return sorted(target_types(df).collect(), key=lambda r: r.target_name)
+    return sorted(target_types(df, order).collect(), key=lambda r: r.target_name)
+
+
+def to_fused_table(fused: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fused rows under the table's schema: ``is_delete`` 0 and ``create_time`` now unless they are there, other missing
+    columns NULL, the rest cast."""
+    made = {"is_delete": F.lit("0"), "create_time": F.current_timestamp()}
+
+    def column(name: str) -> Column:
+        return F.col(f"`{name}`") if name in fused.columns else made.get(name, F.lit(None))
+
+    return fused.select(*(column(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
 def fused_schema(df: DataFrame, number: str = "double") -> T.StructType:
@@ -268,15 +283,13 @@ def fused_schema(df: DataFrame, number: str = "double") -> T.StructType:
     return T.StructType.fromDDL(", ".join(fields))
 
 
-def fused_ddl(df: DataFrame, table: str, location: str | None = None) -> str:
-    """``CREATE TABLE`` for the fused table, partitioned as it is written."""
+def fused_ddl(df: DataFrame, table: str, location: str | None = None, order: str | None = None) -> str:
+    """``CREATE TABLE`` for the fused table, partitioned as it is written; ``order`` says whose description counts."""
     def quoted(text: str | None) -> str:
         return "'" + (text or "").replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     lines = [f"  {name} {kind}" for name, kind in KEY_COLUMNS]
-    lines.append("  is_delete STRING")
-    lines.append("  create_time TIMESTAMP")
-    for r in _types_on_driver(df):
+    for r in _types_on_driver(df, order):
         kind = "STRING" if r.is_text else "DOUBLE"
         note = f"{r.target_desc}, unit: {r.target_unit}"
         lines.append(f"  `{r.target_name}` {kind} COMMENT {quoted(note)}")
@@ -287,12 +300,13 @@ def fused_ddl(df: DataFrame, table: str, location: str | None = None) -> str:
     )
 
 
-def sheet_mapping(df: DataFrame, data_source: str) -> DataFrame:
-    """A signal sheet (``target_name, target_desc, target_unit, pid, Description, unit``) as mapping rows."""
-    types = target_types(df).select("target_name", F.col("target_unit").alias("_unit"))
+def sheet_mapping(df: DataFrame, data_source: str, order: str | None = None) -> DataFrame:
+    """A signal sheet (``target_name, target_desc, target_unit, pid, Description, unit``) as mapping rows, each with its
+    target's first description by ``order``."""
+    types = target_types(df, order).select("target_name", F.col("target_unit").alias("_unit"), F.col("target_desc").alias("_desc"))
     return df.join(types, "target_name").select(
         "target_name",
-        "target_desc",
+        F.col("_desc").alias("target_desc"),
         F.col("_unit").alias("target_unit"),
         F.col("pid").alias("signal_name"),
         F.col("Description").alias("signal_desc"),

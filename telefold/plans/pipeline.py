@@ -5,6 +5,8 @@ One projection from scan to write; only a device table too large to broadcast ad
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telefold.functions import clean, clock, listtext
@@ -31,9 +33,10 @@ def parse_lists(frames: DataFrame, form: str) -> DataFrame:
     return frames.withColumn("codes", codes).withColumn("vals", values)
 
 
-def _reason(bad_number: bool) -> Column:
+def _reason(bad_number: bool, corrupt: bool = False) -> Column:
     reason = (
-        F.when(F.coalesce(F.col("ein"), F.lit("")) == "", F.lit("no engine id"))
+        F.when(F.col("corrupt").isNotNull() if corrupt else F.lit(False), F.lit("unreadable message"))
+        .when(F.coalesce(F.col("ein"), F.lit("")) == "", F.lit("no engine id"))
         .when(F.col("clt_timestamp").isNull(), F.lit("no readable time"))
     )
     if bad_number:
@@ -56,9 +59,12 @@ def fuse_table(
     formulas: bool = False,
     zone: str | None = None,
     salts: int = 1,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every frame as one fused row with its key columns and a ``reject_reason`` (NULL for a good row).
 
+    ``carry`` names more input columns to keep; one of them, ``corrupt``, is the text of an unreadable message.
+
     Input columns, as the scans give them: ``ein`` (already without its extra zero), ``vin``, ``clt_time``
     (wall-clock text), ``codes``, ``vals``, ``longitude``, ``latitude``.
     """
@@ -75,6 +81,8 @@ def fuse_table(
         F.substring("clt_time", 1, 10).alias("clt_date"),
         clean.number(F.col("longitude").cast("string")).alias("lng"),
         clean.number(F.col("latitude").cast("string")).alias("lat"),
+        *([clean.number(F.col("high").cast("string")).alias("high")] if "high" in frames.columns else []),
+        *carry,
         "codes",
         "vals",
     )
@@ -89,7 +97,7 @@ def fuse_table(
     )
     if devices is not None:
         fused = enrich_devices(fused, devices, salts)
-    marked = fused.withColumn("reject_reason", _reason("bad_targets" in fused.columns))
+    marked = fused.withColumn("reject_reason", _reason("bad_targets" in fused.columns, "corrupt" in carry))
     return marked.drop("bad_targets")
 
 

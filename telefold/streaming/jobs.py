@@ -1,34 +1,53 @@
 """Micro-batch fusion of both message flavours.
 
-Each batch is written under its own ``batch_id`` folder and a retry overwrites it, so a restart from the
-checkpoint neither loses nor repeats rows. Parts of one frame that arrive in different batches stay
-separate rows, as fusion works inside a batch. The mapping is read once, when the job starts.
+Good rows go to ``path`` by source, type, date and batch, so readers can prune by date; rows that cannot be used go
+to ``rejects`` with their text and a reason. A retry overwrites its own batch, so a restart from the checkpoint
+neither loses nor repeats rows. Parts of one frame that arrive in different batches stay separate rows, as fusion
+works inside a batch. Mapping and device lookup are read once, when the job starts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telefold.functions.messages import decode_frames, signal_rows
+from telefold.functions import clock
+from telefold.functions.messages import decode_frames, signal_rows, unreadable_lists
+from telefold.operators.enrich import device_lookup, lookup_join
 from telefold.operators.grouped import fuse_grouped
 from telefold.operators.mapping import list_targets, read_targets, sized
-from telefold.plans.pipeline import fuse_table
+from telefold.plans.pipeline import fuse_table, good_rows, rejected_rows
 from telefold.session import keep_last_key
+from telefold.sinks.tables import LAYOUT
 
 FRAME_TRIGGER = "60 seconds"
 SIGNAL_TRIGGER = "5 seconds"
 
 
-def batch_writer(fuse: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: skips empty batches, otherwise writes the fused batch once."""
+def batch_writer(
+    fuse: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]], path: str, rejects: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: skips empty batches, otherwise writes the fused batch, and its rejects apart.
+
+    The batch is kept while it is read more than once. A column of LAYOUT that ``fuse`` doesn't give is no level.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        fuse(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            good, bad = fuse(batch)
+            levels = [c for c in LAYOUT if c in good.columns]
+            good.withColumn("batch_id", F.lit(batch_id)).write.partitionBy(*levels, "batch_id").mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(path)
+            if rejects is not None and bad is not None:
+                bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -51,17 +70,25 @@ def stream_frames(
     devices: DataFrame | None = None,
     every: str | None = FRAME_TRIGGER,
     zone: str | None = None,
+    rejects: str | None = None,
     **options,
 ) -> StreamingQuery:
     """One message per frame (``value`` column of JSON text). ``every=None`` takes what is there and ends."""
     keep_last_key(messages.sparkSession)
     targets = read_targets(mapping)
-    frames = decode_frames(messages.select("value"), zone=zone)
+    lookup = None if devices is None else sized(device_lookup(devices).select("ein", "hos_series", "hos_mat_id"))
+
+    def fuse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        frames = decode_frames(batch.select("value"), zone=zone)
+        fused = fuse_table(frames, targets, zone=zone, carry=["corrupt"], **options)
+        good = good_rows(fused).drop("corrupt")
+        return good if lookup is None else lookup_join(good, lookup, "ein"), rejected_rows(fused)
+
+    return _start(messages, batch_writer(fuse, path, rejects), checkpoint, every)
 
-    def fuse(batch: DataFrame) -> DataFrame:
-        return fuse_table(batch, targets, devices, zone=zone, **options)
 
-    return _start(frames, batch_writer(fuse, path), checkpoint, every)
+#: Columns of a fused signal row that come from the mapping or a constant.
+SIGNAL_IDS = ("platname", "data_source", "data_type", "hos_mat_id")
 
 
 def stream_signals(
@@ -72,16 +99,27 @@ def stream_signals(
     scaling: DataFrame | None = None,
     every: str | None = SIGNAL_TRIGGER,
     ids: Sequence[str] = ("vin",),
+    zone: str | None = None,
+    rejects: str | None = None,
+    **constants: str,
 ) -> StreamingQuery:
-    """Messages as lists of frames, fused per engine and second inside each batch."""
+    """Messages as lists of frames, fused per engine and second inside each batch.
+
+    Rows carry ``vin``, ``clt_time``, ``clt_date`` and SIGNAL_IDS, from the mapping's columns of that name, else
+    from ``constants``, else NULL. A text that is no list of messages is a reject.
+    """
     keep_last_key(messages.sparkSession)
     targets = list_targets(mapping)
+    ids = [*ids, *(c for c in SIGNAL_IDS if c in mapping.columns and c not in ids)]
     mapping = sized(mapping)
     scaling = None if scaling is None else sized(scaling)
     order = [c for c in ("partition", "offset") if c in messages.columns] + ["pos"]
-    tall = signal_rows(messages)
 
-    def fuse(batch: DataFrame) -> DataFrame:
-        return fuse_grouped(batch, mapping, order=order, ids=ids, scaling=scaling, targets=targets)
+    def fuse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fused = fuse_grouped(signal_rows(batch), mapping, order=order, ids=ids, scaling=scaling, targets=targets)
+        fixed = {c: F.lit(constants.get(c)).cast("string") for c in SIGNAL_IDS if c not in ids}
+        seconds = F.col("clt_timestamp").cast("bigint")
+        fixed |= {"clt_time": clock.epoch_text(seconds, zone=zone), "clt_date": clock.epoch_text(seconds, "yyyy-MM-dd", zone)}
+        return fused.withColumns(fixed), unreadable_lists(batch)
 
-    return _start(tall, batch_writer(fuse, path), checkpoint, every)
+    return _start(messages, batch_writer(fuse, path, rejects), checkpoint, every)

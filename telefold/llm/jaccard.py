@@ -169,8 +169,8 @@ def _cell(doc: str) -> Column:
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
-    """The parity of the shingles in each of at least as many cells as shingles, a power of two."""
-    cells = max(64, 1 << int(len(shingles) - 1).bit_length() if len(shingles) else 64)
+    """The parity of the shingles in each of at least twice as many cells as shingles, a power of two."""
+    cells = max(64, 2 << int(len(shingles) - 1).bit_length() if len(shingles) else 64)
     at = (shingles & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -565,9 +565,12 @@ def jaccard_components(
         pairs = pairs.union(keys.join(keys.groupBy("key").agg(F.min("node").alias("a")), "key").filter("a <> node").select("a", F.col("node").alias("b")))
     pairs = written(pairs.distinct(), "pairs")
     links = join.linked(pairs, nodes)
-    apart = _apart(join, candidates, keys, components(links), nodes, pairs)
-    links = links.union(join.linked(written(apart, "pairs"), nodes))
     labels = components(links)
+    for forest in (True, False):
+        apart = written(_apart(join, candidates, keys, labels, nodes, pairs, forest), "pairs")
+        if not apart.isEmpty():
+            links = links.union(join.linked(apart, nodes))
+            pairs, labels = pairs.union(apart), components(links)
     smallest = labels.join(nodes, "node").groupBy("label").agg(F.min("doc").alias("component_id"))
     named = nodes.select("node", "doc").join(labels.join(smallest, "label"), "node", "left")
     named = named.select("node", F.coalesce("component_id", "doc").alias("component_id"))
@@ -579,10 +582,13 @@ def jaccard_components(
     )
 
 
-def _apart(join: Join, lists: DataFrame, keys: DataFrame | None, labels: DataFrame, nodes: DataFrame, tried: DataFrame) -> DataFrame:
+def _apart(
+    join: Join, lists: DataFrame, keys: DataFrame | None, labels: DataFrame, nodes: DataFrame, tried: DataFrame, forest: bool
+) -> DataFrame:
     """Pairs of a bucket's members that are still in different components and may be linked by their sketches, without
     those tried before. Pairs are formed and compared inside a task; only those left become rows. A large bucket is
-    cut into blocks, and each two of them meet in a task."""
+    cut into blocks, and each two of them meet in a task. With ``forest`` a task gives only the closest pairs that
+    would join all components it sees joined by close pairs."""
     bands = join.bands
     long = lists.filter(F.size("members") > 2).select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("node"))
     if keys is not None:
@@ -606,20 +612,20 @@ def _apart(join: Join, lists: DataFrame, keys: DataFrame | None, labels: DataFra
                 part = batch.slice(a, b - a)
                 same = held and all(held[-1].column(i)[-1].as_py() == part.column(i)[0].as_py() for i in range(3))
                 if pairs >= PAIRS_AT_ONCE and not same:
-                    yield _close(held, bands)
+                    yield _close(held, bands, forest)
                     held, pairs = [], 0
                 held.append(part)
                 pairs += (b - a) ** 2 // 2
         if held:
-            yield _close(held, bands)
+            yield _close(held, bands, forest)
 
     order = ["bucket", "low", "high"]
     close = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a bigint, b bigint")
     return close.distinct().join(tried, ["a", "b"], "left_anti")
 
 
-def _close(parts: list[pa.RecordBatch], bands: Bands) -> pa.RecordBatch:
-    """Pairs of nodes of unlike label in a bucket whose sizes and sketches allow a link."""
+def _close(parts: list[pa.RecordBatch], bands: Bands, forest: bool) -> pa.RecordBatch:
+    """Pairs of nodes of unlike label in a bucket whose sizes and sketches allow a link, all or a forest of labels."""
     rows = pa.Table.from_batches(parts).combine_chunks()
     bucket, low, high, block, node, label, n = (rows.column(i).to_numpy() for i in range(7))
     sketch = rows.column(7).combine_chunks()
@@ -634,15 +640,38 @@ def _close(parts: list[pa.RecordBatch], bands: Bands) -> pa.RecordBatch:
     ends = np.sort(np.stack([node[i], node[j]]), axis=0)
     _, once = np.unique(ends, axis=1, return_index=True)
     i, j, ends = i[once], j[once], ends[:, once]
-    near = np.zeros(len(i), bool)
+    margin = np.zeros(len(i))
     for at in np.array_split(np.arange(len(i)), len(i) // 100_000 + 1):
         total = n[i[at]] + n[j[at]]
         sums, back = np.unique(total, return_inverse=True)
         most = np.array([bands.differences(int(t)) for t in sums], np.int64)[back]
-        near[at] = _differ_at_least(sketch.take(pa.array(i[at])), sketch.take(pa.array(j[at]))) <= most
+        margin[at] = _differ_at_least(sketch.take(pa.array(i[at])), sketch.take(pa.array(j[at]))) / np.maximum(most, 0.5)
+    near = np.flatnonzero(margin <= 1)
+    if forest:
+        near = near[np.argsort(margin[near], kind="stable")]
+        near = near[_joining(label[i[near]], label[j[near]])]
     return pa.RecordBatch.from_arrays([pa.array(ends[0][near]), pa.array(ends[1][near])], ["a", "b"])
 
 
+def _joining(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Those of the edges (a, b) that join what edges before them haven't joined."""
+    _, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(int(flat.max(initial=-1)) + 1))
+    kept = np.zeros(len(a), bool)
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for k, (x, y) in enumerate(zip(flat[:len(a)].tolist(), flat[len(a):].tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[x] = y
+            kept[k] = True
+    return kept
+
+
 def one_per_component(docs: DataFrame, percent: int = 75, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Of each component's documents that of smallest id. Documents that link with nothing stay, also those without an
     id or words; equal rows are one. Columns are those of ``docs``."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.inputs import RAW_SQL, frames, raw_frames, table, text
+from suite.inputs import RAW_SQL, frames, table, text
 from suite.registry import query
 from telefold.functions import clean, clock, listtext, signals
 from telefold.operators import units

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.inputs import DEVICES_SQL, FORMULA_ROWS, MAPPING_ROWS, RAW_SQL, devices, frames, mapping, signal_events, table
+from suite.inputs import DEVICES_SQL, FORMULA_ROWS, MAPPING_ROWS, RAW_SQL, devices, frames, mapping, parallel, signal_events, table
 from suite.registry import query
 from telefold.functions import listtext
 from telefold.operators import fusion, grouped, mapping as maps
@@ -300,7 +300,7 @@ def wide_frames(spark, sf_dir):
         lambda i: ((F.col("l_orderkey") * 7 + F.col("l_partkey") + i) % 1000 / F.lit(10.0)).cast("string"),
     )
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return keys.select(
+    return parallel(keys).select(
         "l_orderkey", "l_linenumber", "l_suppkey", codes.alias("codes"), values.alias("vals")
     )
 
@@ -362,3 +362,31 @@ def fuse_wide_tall(spark, sf_dir):
     values = F.transform(F.sequence(F.lit(0), F.lit(34)), lambda i: (F.col("l_quantity") + i * 2 + first).cast("string"))
     sent = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", codes.alias("codes"), values.alias("vals"))
     return fusion.fuse_frames(sent, compiled)
+
+
+TALL_ROWS = [
+    ("speed", "km", "click", "m", 5.0, 50.0, -1.0, None, 1),
+    ("speed", "km", "view", "km", 0.0, 80.0, -2.0, None, 2),
+    ("pressure", "hPa", "error", "kPa", None, 60.0, -9.0, None, 3),
+    ("load", "%", "NO_SIGNAL", "%", 0.0, 5.0, -999.0, '{"extend": {"type": "calculate", "formula": "{speed} / ({pressure} + 20)"}}', 4),
+]
+
+
+@query(
+    "fuse_grouped_valid",
+    """WITH s AS (
+      SELECT user_id::VARCHAR AS ein, epoch(date_trunc('hour', ts))::BIGINT AS clt_timestamp, event_type, event_id, value FROM events),
+    l AS (SELECT ein, clt_timestamp, event_type, arg_max(value, event_id) AS v FROM s GROUP BY ALL),
+    k AS (SELECT ein, clt_timestamp, max(v) FILTER (WHERE event_type = 'click') AS c, max(v) FILTER (WHERE event_type = 'view') AS w,
+                 max(v) FILTER (WHERE event_type = 'error') AS e FROM l GROUP BY ALL),
+    f AS (SELECT ein, clt_timestamp,
+                 round(CASE WHEN c BETWEEN 5 AND 50 THEN c * 0.001::DOUBLE WHEN w BETWEEN 0 AND 80 THEN w
+                            WHEN w IS NOT NULL THEN -2.0::DOUBLE WHEN c IS NOT NULL THEN -1.0::DOUBLE END, 3) AS speed,
+                 round(CASE WHEN e <= 60 THEN e * 10.0::DOUBLE WHEN e IS NOT NULL THEN -9.0::DOUBLE END, 3) AS pressure FROM k)
+    SELECT ein, clt_timestamp, speed, pressure,
+           CASE WHEN speed / (pressure + 20) BETWEEN 0 AND 5 THEN speed / (pressure + 20) ELSE -999.0::DOUBLE END AS load FROM f""",
+)
+def fuse_grouped_valid(spark, sf_dir):
+    """Range rule, defaults and a formula on tall rows."""
+    compiled = maps.compile_mapping(mapping(spark, TALL_ROWS), "id")
+    return grouped.fuse_tall(signal_events(spark, sf_dir), compiled, rule="valid", round_to=3, formulas=True)

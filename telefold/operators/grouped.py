@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
 from telefold.functions.signals import SENT_NULL, quoted, sent_number_sql
+from telefold.operators.fusion import fuse_frames
 from telefold.operators.mapping import Target, list_targets, sized
 from telefold.session import keep_last_key
 
@@ -114,3 +115,16 @@ def gather_frames(
         F.transform("_pairs", lambda p: p.getField("pid")).alias("codes"),
         F.transform("_pairs", lambda p: _unless_null(p.getField("value"))).alias("vals"),
     )
+
+
+def fuse_tall(
+    tall: DataFrame,
+    mapping: DataFrame,
+    keys: Sequence[str] = ("ein", "clt_timestamp"),
+    order: Sequence[str] = ("pos",),
+    rule: str = "valid",
+    **options,
+) -> DataFrame:
+    """Tall signals fused by any rule of ``fusion.fuse_frames``, formulas too: gathered to frames, which hold no more
+    than the mapped codes, then fused inside the row."""
+    return fuse_frames(gather_frames(tall, mapping, keys, order), mapping, rule, **options)

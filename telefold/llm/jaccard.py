@@ -43,7 +43,7 @@ ENTRIES = 1_000_000  # index entries that one task groups
 SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very frequent
 FILTER_BITS = 1 << 23
 BLOCK = 2_000  # members of a bucket that one task compares with each other
-PAIRS_AT_ONCE = 1_000_000
+PAIRS_AT_ONCE = 500_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
@@ -175,18 +175,29 @@ def _sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _differ_at_least(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """A lower bound of the elements in which sets differ, pair by pair: cells of unlike parity."""
-    size = np.stack([pc.binary_length(c).to_numpy() for c in (a, b)])
-    out = np.zeros(len(a), np.int64)
-    for x, y in np.unique(size, axis=1).T:
-        at = pa.array(np.flatnonzero((size[0] == x) & (size[1] == y)))
-        one, other = (np.frombuffer(b"".join(c.take(at).to_pylist()), np.uint8).reshape(len(at), n) for c, n in ((a, x), (b, y)))
-        if x > y:
-            one, other = other, one
-        folded = np.bitwise_xor.reduce(other.reshape(len(at), -1, one.shape[1]), axis=1)
-        out[at.to_numpy()] = np.bitwise_count(folded ^ one).sum(axis=1, dtype=np.int64)
-    return out
+class Sketches:
+    """Sketches of a column, side by side."""
+
+    def __init__(self, column: pa.Array):
+        self.size = pc.binary_length(column).to_numpy()
+        offsets, data = column.buffers()[1:]
+        self.start = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column)].astype(np.int64)
+        self.data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+
+    def differ_at_least(self, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.ndarray:
+        """A lower bound of the elements in which sets differ, pair by pair: cells of unlike parity."""
+        out = np.zeros(len(i), np.int64)
+        x, y = self.size[i], other.size[j]
+        kinds = x.astype(np.int64) << 32 | y
+        for kind in np.unique(kinds).tolist():
+            for at in np.array_split(np.flatnonzero(kinds == kind), int((kinds == kind).sum()) * ((kind >> 32) + (kind & 0xFFFFFFFF)) // 20_000_000 + 1):
+                one = self.data[self.start[i[at], None] + np.arange(kind >> 32)]
+                two = other.data[other.start[j[at], None] + np.arange(kind & 0xFFFFFFFF)]
+                if one.shape[1] > two.shape[1]:
+                    one, two = two, one
+                folded = np.bitwise_xor.reduce(two.reshape(len(at), -1, one.shape[1]), axis=1)
+                out[at] = np.bitwise_count((folded ^ one).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def segmented(sets: Sets, bands: Bands, role: int) -> tuple[np.ndarray, ...]:
@@ -416,7 +427,8 @@ class Join:
         @F.arrow_udf("boolean")
         def near(n: pa.Array, m: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
             most = np.array([bands.differences(t) for t in (n.to_numpy() + m.to_numpy()).tolist()], np.int64)
-            return pa.array(_differ_at_least(x, y) <= most)
+            rows = np.arange(len(x))
+            return pa.array(Sketches(x).differ_at_least(rows, Sketches(y), rows) <= most)
 
         def of(side: str) -> DataFrame:
             return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
@@ -629,23 +641,21 @@ def _close(parts: list[pa.RecordBatch], bands: Bands, forest: bool) -> pa.Record
     rows = pa.Table.from_batches(parts).combine_chunks()
     bucket, low, high, block, node, label, n = (rows.column(i).to_numpy() for i in range(7))
     sketch = rows.column(7).combine_chunks()
-    first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-    found = []
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
-        i, j = (x + a for x in np.triu_indices(b - a, 1))
-        allowed = (label[i] != label[j]) & ((block[i] != block[j]) | (low[a] == high[a])) & (node[i] != node[j])
-        allowed &= np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * bands.percent
-        found.append(np.stack([i[allowed], j[allowed]]))
-    i, j = np.concatenate(found, axis=1)
+    new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+    end = np.concatenate([np.flatnonzero(new)[1:], [len(bucket)]])[np.cumsum(new) - 1]
+    later = end - np.arange(len(bucket)) - 1  # members of the bucket that come after each
+    i = np.repeat(np.arange(len(bucket)), later)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+    allowed = (label[i] != label[j]) & ((block[i] != block[j]) | (low[i] == high[i])) & (node[i] != node[j])
+    allowed &= np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * bands.percent
+    i, j = i[allowed], j[allowed]
     ends = np.sort(np.stack([node[i], node[j]]), axis=0)
-    _, once = np.unique(ends, axis=1, return_index=True)
+    _, once = np.unique(mix(ends[0].view(np.uint64)) * _P + ends[1].view(np.uint64), return_index=True)
     i, j, ends = i[once], j[once], ends[:, once]
-    margin = np.zeros(len(i))
-    for at in np.array_split(np.arange(len(i)), len(i) // 100_000 + 1):
-        total = n[i[at]] + n[j[at]]
-        sums, back = np.unique(total, return_inverse=True)
-        most = np.array([bands.differences(int(t)) for t in sums], np.int64)[back]
-        margin[at] = _differ_at_least(sketch.take(pa.array(i[at])), sketch.take(pa.array(j[at]))) / np.maximum(most, 0.5)
+    sums, back = np.unique(n[i] + n[j], return_inverse=True)
+    most = np.array([bands.differences(int(t)) for t in sums], np.float64)[back]
+    sketches = Sketches(sketch)
+    margin = sketches.differ_at_least(i, sketches, j) / np.maximum(most, 0.5)
     near = np.flatnonzero(margin <= 1)
     if forest:
         near = near[np.argsort(margin[near], kind="stable")]

@@ -97,7 +97,8 @@ def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(0)
     a = [np.unique(rng.integers(0, 500, n)).astype(np.uint64) for n in rng.integers(1, 300, 200)]
     b = [np.unique(rng.integers(0, 500, n)).astype(np.uint64) for n in rng.integers(1, 300, 200)]
-    least = jaccard._differ_at_least(pa.array(map(jaccard._sketch, a), pa.binary()), pa.array(map(jaccard._sketch, b), pa.binary()))
+    one, other = (jaccard.Sketches(pa.array(map(jaccard._sketch, x), pa.binary())) for x in (a, b))
+    least = one.differ_at_least(np.arange(200), other, np.arange(200))
     assert all(n <= len(np.setxor1d(x, y)) for n, x, y in zip(least, a, b))
 
 

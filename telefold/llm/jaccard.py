@@ -42,8 +42,8 @@ FREQUENT = 48  # a bucket of more sets is skipped in rounds 1 and 2
 ENTRIES = 1_000_000  # index entries that one task groups
 SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very frequent
 FILTER_BITS = 1 << 23
-BLOCK = 2_000  # members of a bucket that one task compares with each other
-PAIRS_AT_ONCE = 500_000
+BLOCK = 1_000  # members of a bucket that one task compares with each other
+PAIRS_AT_ONCE = 250_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
@@ -190,7 +190,7 @@ class Sketches:
         x, y = self.size[i], other.size[j]
         kinds = x.astype(np.int64) << 32 | y
         for kind in np.unique(kinds).tolist():
-            for at in np.array_split(np.flatnonzero(kinds == kind), int((kinds == kind).sum()) * ((kind >> 32) + (kind & 0xFFFFFFFF)) // 20_000_000 + 1):
+            for at in np.array_split(np.flatnonzero(kinds == kind), int((kinds == kind).sum()) * ((kind >> 32) + (kind & 0xFFFFFFFF)) // 2_000_000 + 1):
                 one = self.data[self.start[i[at], None] + np.arange(kind >> 32)]
                 two = other.data[other.start[j[at], None] + np.arange(kind & 0xFFFFFFFF)]
                 if one.shape[1] > two.shape[1]:

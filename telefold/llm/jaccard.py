@@ -599,12 +599,17 @@ def _apart(
 ) -> DataFrame:
     """Pairs of a bucket's members that are still in different components and may be linked by their sketches, without
     those tried before. Pairs are formed and compared inside a task; only those left become rows. A large bucket is
-    cut into blocks, and each two of them meet in a task. With ``forest`` a task gives only the closest pairs that
-    would join all components it sees joined by close pairs."""
+    cut into blocks, and each two of them meet in a task.
+
+    With ``forest`` a task gives only the closest pairs that would join all components it sees joined by close pairs,
+    and a quarter of the buckets is looked at: near copies share many. What that leaves apart is for the last call,
+    which sees every bucket and gives every pair."""
     bands = join.bands
     long = lists.filter(F.size("members") > 2).select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("node"))
     if keys is not None:
         long = long.union(keys.select(F.col("key").alias("bucket"), "node"))
+    if forest:
+        long = long.filter(F.pmod(F.xxhash64("bucket"), F.lit(4)) == 0)
     named = long.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
     blocks = mixed.select("bucket", F.expr(f"cast(size div {BLOCK} as int) + 1").alias("blocks"))

@@ -44,6 +44,7 @@ SAMPLE_DOCS = 20_000  # documents whose subsets tell in advance which are very f
 FILTER_BITS = 1 << 23
 BLOCK = 1_000  # members of a bucket that one task compares with each other
 PAIRS_AT_ONCE = 250_000
+TURNS = 8  # tasks that share the buckets of a neighbourhood
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.isin(np.arange(256), (0x20, *range(0x09, 0x0E)))
@@ -612,15 +613,16 @@ def _apart(
         long = long.filter(F.pmod(F.xxhash64("bucket"), F.lit(4)) == 0)
     named = long.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    blocks = mixed.select("bucket", F.expr(f"cast(size div {BLOCK} as int) + 1").alias("blocks"))
+    blocks = mixed.select("bucket", F.col("x").alias("least"), F.expr(f"cast(size div {BLOCK} as int) + 1").alias("blocks"))
     dealt = named.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.join(nodes.select("node", "n", "sketch"), "node").select(
-        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "n", "sketch"
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "n", "sketch", "least"
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        given: set[int] = set()
         pairs = 0
         for batch in batches:
             group = np.stack([batch.column(i).to_numpy() for i in range(3)])
@@ -629,15 +631,17 @@ def _apart(
                 part = batch.slice(a, b - a)
                 same = held and all(held[-1].column(i)[-1].as_py() == part.column(i)[0].as_py() for i in range(3))
                 if pairs >= PAIRS_AT_ONCE and not same:
-                    yield _close(held, bands, forest)
+                    yield _not_given(_close(held, bands, forest), given)
                     held, pairs = [], 0
                 held.append(part)
                 pairs += (b - a) ** 2 // 2
         if held:
-            yield _close(held, bands, forest)
+            yield _not_given(_close(held, bands, forest), given)
 
     order = ["bucket", "low", "high"]
-    close = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a bigint, b bigint")
+    # buckets of one neighbourhood go to a few tasks, where a pair that several of them hold is given once
+    turn = F.pmod(F.xxhash64("bucket"), F.lit(TURNS))
+    close = dealt.repartition("least", turn, "low", "high").drop("least").sortWithinPartitions(*order).mapInArrow(compare, "a bigint, b bigint")
     return close.distinct().join(tried, ["a", "b"], "left_anti")
 
 
@@ -668,6 +672,15 @@ def _close(parts: list[pa.RecordBatch], bands: Bands, forest: bool) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(ends[0][near]), pa.array(ends[1][near])], ["a", "b"])
 
 
+def _not_given(pairs: pa.RecordBatch, given: set[int]) -> pa.RecordBatch:
+    """Pairs that this task hasn't given yet."""
+    a, b = (pairs.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+    names = (mix(a) * _P + b).tolist()
+    new = np.array([name not in given for name in names], bool)
+    given.update(names)
+    return pairs.filter(pa.array(new, pa.bool_()))
+
+
 def _joining(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Those of the edges (a, b) that join what edges before them haven't joined."""
     _, flat = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -11,7 +11,8 @@ the subsets with one element deleted are, since then a single difference is foun
 to more than its H is safe: whatever it is linked with is found. So costs are allocated in three rounds:
 
 1. all sets, subsets only; frequent ones are skipped;
-2. sets that are not safe by that, one-deletion neighbourhoods too; frequent ones are skipped;
+2. sets that are not safe by that, one-deletion neighbourhoods too, those of frequent subsets as well; frequent
+   subsets and neighbours are skipped;
 3. sets still not safe (those made mostly of frequent content), all subsets.
 
 Buckets propose links, an exact bound on sketches drops most false ones, the others are verified on the whole
@@ -222,13 +223,15 @@ def segmented(sets: Sets, bands: Bands, role: int) -> tuple[np.ndarray, ...]:
 
 
 def _key(scheme: np.ndarray, segment: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """The index key of a segment's subset; its lowest bit is free."""
-    return mix(sums + mix(scheme.astype(np.uint64) * np.uint64(1 << 32) + segment.astype(np.uint64) + _P)) & ~np.uint64(1)
+    """The index key of a segment's subset; its two lowest bits are free."""
+    return mix(sums + mix(scheme.astype(np.uint64) * np.uint64(1 << 32) + segment.astype(np.uint64) + _P)) & ~np.uint64(3)
 
 
 def index_entries(sets: Sets, nodes: np.ndarray, bands: Bands, deletions: bool, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Keys (lowest bit: the role) and nodes of all entries, then node and role, weight lost and weight to spare, of
-    every set and role that has a scheme."""
+    """Keys (lowest bit: the role; the next: the segment has no weight) and nodes of all entries, then node and role,
+    weight lost and weight to spare, of every set and role that has a scheme. Segments whose subset is frequent have
+    no weight for their own set, but their one-deletion subsets are indexed all the same: sets that lack one element
+    there count on meeting them."""
     keys, whose, lost_by, lost, spare = [], [], [], [], []
     for role in (0, 1):
         owner, scheme, segment, sums, size, value, segments, need = segmented(sets, bands, role)
@@ -241,12 +244,12 @@ def index_entries(sets: Sets, nodes: np.ndarray, bands: Bands, deletions: bool,
         if deletions:
             gone += np.bincount(owner[(size == 1) & ~skip], minlength=len(nodes))
             at = np.repeat(np.arange(len(full)), size)
-            with_one = (size[at] > 1) & ~skip[at]
+            with_one = size[at] > 1
             at = at[with_one]
             less = _key(scheme[at], segment[at], sums[at] - value[with_one])
             ours = ~np.isin(less, frequent) if len(frequent) else np.ones(len(less), bool)
-            gone += np.bincount(owner[at[~ours]], minlength=len(nodes))
-            parts.append(less[ours])
+            gone += np.bincount(owner[at[~ours & ~skip[at]]], minlength=len(nodes))
+            parts.append(less[ours] | skip[at[ours]].astype(np.uint64) << np.uint64(1))
             of.append(owner[at[ours]])
         keys.append(np.concatenate(parts) | np.uint64(role))
         whose.append(nodes[np.concatenate(of)])
@@ -258,9 +261,10 @@ def index_entries(sets: Sets, nodes: np.ndarray, bands: Bands, deletions: bool,
 
 
 def group_entries(keys: np.ndarray, nodes: np.ndarray, most: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Buckets of 2 to ``most`` nodes, equal ones once; (node, role, weight lost) of larger buckets' nodes."""
+    """Buckets of 2 to ``most`` nodes, equal ones once; (node, role, weight lost) of larger buckets' nodes, but for
+    entries of segments without weight."""
     order = np.argsort(keys)
-    bucket = keys[order] >> np.uint64(1)
+    bucket = keys[order] >> np.uint64(2)
     many = np.concatenate([[False], bucket[1:] == bucket[:-1]]) if len(bucket) else np.zeros(0, bool)
     many[:-1] |= many[1:]
     keys, nodes, bucket = keys[order[many]], nodes[order[many]], bucket[many]
@@ -276,7 +280,7 @@ def group_entries(keys: np.ndarray, nodes: np.ndarray, most: int) -> tuple[list[
         if (same := members.tobytes()) not in seen:
             seen.add(same)
             lists.append(members)
-    hot = np.repeat(size > most, size)
+    hot = np.repeat(size > most, size) & (keys & np.uint64(2) == 0)
     which, times = np.unique(np.stack([nodes[hot], (keys[hot] & np.uint64(1)).astype(np.int64)]), axis=1, return_counts=True)
     return lists, np.concatenate([which, times[None]])
 
@@ -392,11 +396,11 @@ class Join:
             for batch in batches:
                 for k, n in zip(batch.column(1), batch.column(2)):
                     if k.is_valid:
-                        keys.append(np.frombuffer(k.as_py(), np.uint64) >> np.uint64(1))
+                        keys.append(np.frombuffer(k.as_py(), np.uint64) >> np.uint64(2))
                         nodes.append(np.frombuffer(n.as_py(), np.int64))
             pairs = np.unique(np.stack([np.concatenate(keys).view(np.int64), np.concatenate(nodes)]), axis=1)
             found, times = np.unique(pairs[0], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(found[times > most] << 1, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"key": pa.array(found[times > most] << 2, pa.int64())})
 
         found = self.entries(sample, None, tasks * 4, False, np.zeros(0, np.uint64)).repartition(tasks, "bucket").mapInArrow(run, "key bigint")
         return np.sort(np.array([r[0] for r in found.collect()], np.int64).view(np.uint64))

@@ -69,6 +69,26 @@ def test_against_all_pairs(spark, rows, frequent):
     assert sorted(map(tuple, got.collect())) == plain(rows)
 
 
+def test_neighbours_of_very_frequent_subsets(spark, monkeypatch):
+    """Sets that lack single elements of subsets known in advance to be very frequent still find their owners."""
+    ship(spark)
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 60)
+    bands, texts = jaccard.Bands(75), []
+    for size, lack in ((250, 45), (253, 48), (256, 51)):
+        base = [f"b{size}_{i}" for i in range(size)]
+        texts += [[*base, f"y{size}_{i}"] for i in range(60)]
+        ((scheme, segments, _),) = bands.roles(size - lack)
+        hashes = np.array([jaccard.shingle_sets([w], 1).shingles[0] for w in base])
+        of = jaccard.mix(hashes + jaccard.mix(np.array([scheme], np.uint64) + jaccard._P)) % np.uint64(segments)
+        largest = np.argsort(-np.bincount(of.astype(int), minlength=segments), kind="stable")[:lack]
+        texts.append([w for i, w in enumerate(base) if i not in {int(np.flatnonzero(of == s)[0]) for s in largest}])
+    rows = list(enumerate(" ".join(t) for t in texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert len(jaccard.Join(docs, 75, 1, 4, "doc_id", "text").very_frequent(len(rows)))
+    got = jaccard.jaccard_components(docs, words=1, frequent=4).drop("text_hash")
+    assert sorted(map(tuple, got.collect())) == plain(rows, words=1)
+
+
 def test_the_bound_on_differences_is_exact():
     bands = jaccard.Bands(75)
     for s in range(1, 60):

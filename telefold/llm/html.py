@@ -1,7 +1,7 @@
 """Main text of web pages by consensus of their hosts.
 
-Each page's containers are scored by the text they hold outside links; the best one's path of tags and classes,
-with numbers generalised, is the page's vote. Votes are counted per host in Spark. Every page is then extracted
+Each page's containers are scored by the text they hold outside links; the path of tags and classes, with numbers
+generalised, of the outermost article container around the best one is the page's vote. Votes are counted per host in Spark. Every page is then extracted
 again from the containers on its host's winning path, or on its own best path where that one holds no text.
 
 A page is cut into blocks: text between block-level tags. Blocks in menus, footers, sidebars, forms and the like,
@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -157,13 +158,15 @@ def parse(source: str) -> Page:
 
 
 def best_path(page: Page) -> tuple[str, float]:
-    """The path of the container with most article text outside links, counted fully where it stands, by half for the
-    container around it and so on; and its score. Empty without such text."""
+    """The path of the article around the container with most article text outside links, counted fully where it
+    stands, by half for the container around it and so on; and that container's score. Empty without such text."""
     scores = [0.0] * len(page.containers)
+    direct: set[int] = set()  # paths of containers that hold text themselves
     for text, where, linked in page.blocks:
         value = len(text) - linked
         if value <= 0 or page.containers[where][2]:
             continue
+        direct.add(page.containers[where][1])
         for _ in range(6):
             scores[where] += value
             where, value = page.containers[where][0], value / 2
@@ -174,7 +177,28 @@ def best_path(page: Page) -> tuple[str, float]:
         if score:
             total[path] = total.get(path, 0.0) + score
     best = max(total, key=total.__getitem__, default=None)
-    return (page.path(best), total[best]) if best is not None else ("", 0.0)
+    return (page.path(around(page, best, direct, total)), total[best]) if best is not None else ("", 0.0)
+
+
+def around(page: Page, path: int, direct: set[int], scored: Iterable[int]) -> int:
+    """The path of the outermost article container around ``path``: an article, a main without articles on the way, or
+    one with text of its own beside what it contains. The page's body is one only if nothing else with text
+    stands beside them on the way."""
+    top = at = path
+    children = Counter(page.paths[p][0] for p in scored)
+    alone = True
+    semantic = page.paths[path][1].split(".")[0] in ("article", "main")
+    while at > 0:
+        at = page.paths[at][0]
+        tag = page.paths[at][1].split(".")[0]
+        if tag in ("", "html", "body"):
+            return at if at in direct and alone and not semantic else top
+        if at in direct or tag == "article" or (tag == "main" and not semantic):
+            top, alone = at, True
+        else:
+            alone = alone and children[at] < 2
+        semantic = semantic or tag in ("article", "main")
+    return top
 
 
 def text_on(page: Page, path: str) -> str:

@@ -32,6 +32,31 @@ def test_pages(page, text):
     assert html.extract(page, "no/such/path") == text
 
 
+LONG = "word " * 40 + "end."
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<section><h2>A</h2><p>{0}</p></section><section class='b'><p>{0}</p></section><p>last</p>",
+        "<div>{0}</div><div>{0}</div><div>{0}</div>",
+        "<div class='body'><div>{0}</div><div>{0}</div></div>",
+        "<table><tr><td>{0}</td><td>{0}</td></tr></table><p>last</p>",
+        "<figure><figcaption>{0}</figcaption></figure><details><summary>s</summary>{0}{0}</details>",
+    ],
+)
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<main>{}</main>", '<div id="wrap"><div class="post">{}</div></div>', "{}"])
+def test_whole_articles(inner, outer):
+    """Blocks beside the parts of an article belong to it, on the page and by the host's vote."""
+    page = "<html><body><nav>menu</nav>" + outer.format("<h1>Title</h1><p>Intro.</p>" + inner.format(LONG)) + "<footer>f</footer></body></html>"
+    text = html.extract(page, None)
+    assert text.startswith("Title\n\nIntro.\n\n") and text.count(LONG) == inner.count("{0}") and ("last" in inner) == text.endswith("last")
+    assert html.extract(page, html.best_path(html.parse(page))[0]) == text and "menu" not in text
+    if outer == "<article>{}</article>":
+        beside = page.replace("<footer>", "<div class='list'><p>other things</p></div><footer>")
+        assert html.extract(beside, None) == text
+
+
 def test_broken_pages_take_linear_time():
     begin = time.time()
     for part in ("<a ", '<a "', "<!-", "<a b='", "</", "<p"):

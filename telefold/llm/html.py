@@ -5,7 +5,9 @@ generalised, of the outermost article container around the best one is the page'
 again from the containers on its host's winning path, or on its own best path where that one holds no text.
 
 A page is cut into blocks: text between block-level tags. Blocks in menus, footers, sidebars, forms and the like,
-by tag or class, belong to no article.
+by tag or class, belong to no article. A class, id or role marks an element if the whole name is a mark, or marks
+with words of place or form (``top-nav``, ``comment-list``), not if it says more (``has-sidebar``). A mark doesn't
+count around the only articles of a page, nor, on pages without, around most of its text unless it is of comments.
 """
 
 from __future__ import annotations
@@ -36,15 +38,33 @@ BLOCK = CONTAINER | OUTSIDE | frozenset(
 )
 #: elements that a tag of the same group closes
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
-#: words of class, id or role that mark what isn't article
+#: names in class, id or role that mark what isn't article
 MARKS = frozenset(
     "ad ads advert advertisement advertising adverts banner sponsor sponsored promo promotion cookie cookies consent notice notices alert popup modal"
     " comment comments disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside footer masthead"
     " share sharing social related recommended newsletter subscribe signup login search toolbar widget skip copyright complementary contentinfo".split()
 )
+#: words that make names with the marks
+FORMS = frozenset(
+    "top bottom left right main site page global primary secondary first second sub inner outer upper lower mobile desktop sticky fixed box bar list"
+    " area block container wrapper wrap section region zone slot unit row item items link links button buttons btn icon icons form field input text"
+    " title label header message overlay thread body post posts article articles story stories entry entries google div".split()
+)
+#: marks of what can hold most of a page's text
+SAID = frozenset("comment comments disqus reply replies respond".split())
 DEPTH = 100  # deeper containers share a path
 
 
+def marks(names: str) -> set[str]:
+    """The marks that names of a class, id or role hold: names that are marks, or made of marks and FORMS."""
+    found: set[str] = set()
+    for name in names.split():
+        words = {w for w in re.split(r"[^a-z]+", name) if w}
+        if words & MARKS and words <= MARKS | FORMS:
+            found |= words & MARKS
+    return found
+
+
 @dataclass
 class Page:
     """Containers (parent, path, whether it is outside articles) and blocks (text, container, characters in links)."""
@@ -67,6 +87,8 @@ def parse(source: str) -> Page:
     open_: list[tuple[str, int]] = []  # elements by tag, and the container each stands for
     now, text, linked, in_link = 0, [], 0, 0
     depth = [0]
+    soft: dict[int, set[str]] = {}  # marked containers
+    articles: list[int] = []
 
     def flush() -> None:
         nonlocal text, linked
@@ -131,13 +153,12 @@ def parse(source: str) -> Page:
         if tag in VOID or m[3].endswith("/"):
             continue
         names = [(a.lower(), (x or y or z).lower()) for a, x, y, z in CLASS.findall(m[3])] if m[3] else []
-        marked = any(MARKS.intersection(re.split(r"[^a-z]+", value)) for _, value in names) and tag not in ("html", "body", "article", "main")
+        mark = set().union(*(marks(value) for _, value in names)) if names and tag not in ("html", "body", "article", "main") else set()
+        marked = bool(mark)
         if tag in BLOCK or marked:
             parent = page.containers[now]
-            outside = parent[2] or marked or tag in OUTSIDE
-            if tag == "header" and "article" not in (t for t, _ in open_):
-                outside = True
-            if outside != parent[2] or tag in CONTAINER:
+            outside = tag in OUTSIDE or (tag == "header" and "article" not in (t for t, _ in open_))
+            if outside or marked or tag in CONTAINER:
                 label = ".".join([tag, *sorted({NUMBER.sub("#", c) for a, value in names if a == "class" for c in value.split()})])
                 path = parent[1]
                 if depth[-1] < DEPTH:
@@ -148,15 +169,50 @@ def parse(source: str) -> Page:
                     path = known[key]
                 flush()
                 page.containers.append((now, path, outside))
+                if marked and not outside:
+                    soft[len(page.containers) - 1] = mark
+                if tag in ("article", "main"):
+                    articles.append(len(page.containers) - 1)
                 open_.append((tag, len(page.containers) - 1))
                 now = len(page.containers) - 1
             else:
                 open_.append((tag, now))
             depth.append(depth[-1] + 1)
     flush()
+    _settle(page, soft, articles)
     return page
 
 
+def _settle(page: Page, soft: dict[int, set[str]], articles: list[int]) -> None:
+    """Hands down what is outside, by tag or by marks that count."""
+    tagged: list[bool] = []
+    marked: list[bool] = []
+    for i, (parent, _, outside) in enumerate(page.containers):
+        tagged.append(outside or (parent >= 0 and tagged[parent]))
+        marked.append(i in soft or (parent >= 0 and marked[parent]))
+    if soft:
+        text = [0] * len(page.containers)
+        for words, where, linked in page.blocks:
+            if not tagged[where]:
+                text[where] += len(words) - linked
+        for i in range(len(text) - 1, 0, -1):
+            text[page.containers[i][0]] += text[i]
+        told = [i for i in articles if text[i] and not tagged[i]]
+        spared: set[int] = set()
+        if told and all(marked[i] for i in told):
+            at = max(told, key=text.__getitem__)
+            while at > 0:
+                spared.add(at)
+                at = page.containers[at][0]
+        elif not told:
+            spared = {i for i, mark in soft.items() if 2 * text[i] > text[0] and not mark & SAID}
+        soft = {i: mark for i, mark in soft.items() if i not in spared}
+    settled: list[tuple[int, int, bool]] = []
+    for i, (parent, path, outside) in enumerate(page.containers):
+        settled.append((parent, path, outside or i in soft or (parent >= 0 and settled[parent][2])))
+    page.containers = settled
+
+
 def best_path(page: Page) -> tuple[str, float]:
     """The path of the article around the container with most article text outside links, counted fully where it
     stands, by half for the container around it and so on; and that container's score. Empty without such text."""

@@ -57,6 +57,28 @@ def test_whole_articles(inner, outer):
         assert html.extract(beside, None) == text
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ['div class="content has-sidebar"', 'div id="page" class="with-sidebar"', 'div class="post no-comments"', 'div class="social-science"', 'div class="banner"', 'div id="search"', 'section class="main-sidebar"'],
+)
+@pytest.mark.parametrize("article", ["article", "div"])
+def test_wrappers_with_marks_in_their_names(wrapper, article):
+    inner = f"<{article}><h1>Title</h1><p>{LONG}</p></{article}><div class='ad'>Buy.</div><div class='sidebar-left'>more</div><ul class='top-nav'><li>x</li></ul>"
+    page = f"<body><{wrapper}>{inner}</{wrapper.split()[0]}><div id='comment-list-2'><article>Great!</article></div></body>"
+    if article == "div":
+        page = page.replace("<article>Great!</article>", "Great!")
+    assert html.extract(page, None) == f"Title\n\n{LONG}"
+
+
+def test_marks_that_count():
+    page = "<body><div class='post'><p>Short story.</p></div>{}</body>"
+    for name in ("comments", "comment-list", "comments-7", "post-comments", "replies"):
+        assert html.extract(page.format(f"<div id='{name}'><p>{LONG}</p></div>"), None) == "Short story."
+    for name in ("ad", "ad-box", "site-footer", "sidebar_2", "wide nav", "related-posts", "cookie-notice"):
+        assert html.extract(page.format(f"<div class='{name}'><p>no</p></div>").replace("div class='post'", "article").replace("</p></div>", "</p></article>", 1), None) == "Short story."
+    assert html.extract("<body><article><p>a</p></article><div id='comments'><article>" + LONG + "</article></div></body>", None) == "a"
+
+
 def test_broken_pages_take_linear_time():
     begin = time.time()
     for part in ("<a ", '<a "', "<!-", "<a b='", "</", "<p"):

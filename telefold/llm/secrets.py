@@ -1,6 +1,7 @@
 """Secret scanning with a random forest that removes false findings, with DataFrame functions only.
 
-A finding is a run of letters, digits and +/_- with a digit in it. Its features are its length, its character
+A finding is a value after a secret's name and an assignment sign, whatever its length and signs, or a run of at
+least 12 letters, digits and +/_.- with a digit in it, which neither begins nor ends with a dot. Its features are its length, its character
 classes and the transitions between them, how much of it the neighbourhood's own words cover (a dictionary of
 bounded size), the path it was found under and the words around it. A forest is trained on labelled findings, a
 bounded sample; the scan itself is map-only.
@@ -21,12 +22,22 @@ DICTIONARY = 500  # words around labelled findings that coverage looks for
 NEIGHBOURS = 100  # words before labelled findings that are told apart
 TREES, DEPTH, SEED = 20, 6, 17
 
-RUN = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
 NUMBERS = ["length", "digits", "upper", "lower", "signs", "changes", "distinct", "hex", "covered", "tested", "named", "assigned", "quoted"]
 
 #: fixed values: words of a path that hold examples, and names under which secrets are kept
 EXAMPLE_PATH = "(?i)(test|example|sample|fixture|mock|doc)"
 SECRET_NAME = "(?i)(pass(word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|auth|credential)"
+#: what stands between such a name and its value, without the value's quote
+ASSIGNED = r"(s|key|value|id|string|code)?([_-][A-Za-z0-9_-]{0,12}|[0-9]{1,3})?[\"'\]]{0,2}[ \t]{0,4}[:=]{1,2}>?[ \t]{0,4}"
+#: values that stand for others
+PLACEHOLDER = r"(?i)^(none|null|nil|undefined|true|false|str|string|bool|int|required|optional|\*+|x+|\.+|\$\{.*|\$\(.*|<.*>|\{.*\}|%\(.*|%[sd]|[a-z_][a-z0-9_.]*\(.*)$"
+
+_QUOTED = "|".join(rf"(?<={q})(?!{q})[^{q}\\\n]*+(?:\\.[^{q}\\\n]*+){{0,100}}+(?={q})" for q in "\"'`")
+# the value's last character is no bracket or separator; the next parameter of a query string isn't part of it
+_OPEN = r"(?![:=>]|&\w{1,40}=)[^\s\"'`][^\s\"'`&]*(?:&(?!\w{1,40}=)[^\s\"'`&]*){0,200}(?<![,;)\]}>])"
+# the short look back is tried first
+VALUE = rf"(?<=[:=]>?[ \t]{{0,4}}[\"'`]?)(?<=(?:{SECRET_NAME}){ASSIGNED}[\"'`]?)(?:{_QUOTED}|{_OPEN})"
+RUN = rf"(?:{VALUE})|(?<![A-Za-z0-9+/_-])(?<![A-Za-z0-9+/_-]\.)(?=[A-Za-z+/_.-]*[0-9])[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{{10,}}[A-Za-z0-9+/_-]={{0,2}}"
 
 
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -52,7 +63,7 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _share(run: Column, kind: str) -> Column:
     """The share of characters of a kind."""
-    return F.char_length(F.regexp_replace(run, f"[^{kind}]", "")) / F.char_length(run)
+    return F.char_length(F.regexp_replace(run, f"[^{kind}]" if kind[0] != "^" else f"[{kind[1:]}]", "")) / F.char_length(run)
 
 
 def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, float], path: str | None = None) -> DataFrame:
@@ -68,7 +79,7 @@ def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, floa
         "digits": _share(run, "0-9"),
         "upper": _share(run, "A-Z"),
         "lower": _share(run, "a-z"),
-        "signs": _share(run, "+/_=-"),
+        "signs": _share(run, "^A-Za-z0-9"),
         # a run of one kind shrinks to one character
         "changes": (F.char_length(F.regexp_replace(plain, r"(.)\1+", "$1")) - 1) / F.char_length(run),
         "distinct": F.size(F.array_distinct(F.split(run, ""))) / F.char_length(run),
@@ -76,7 +87,7 @@ def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, floa
         "covered": F.least(covered, F.lit(1.0)),
         "tested": where.rlike(EXAMPLE_PATH).cast("double"),
         "named": before.rlike(SECRET_NAME + "[^\\n]{0,6}$").cast("double"),
-        "assigned": before.rlike("[:=]\\s*[\"']?$").cast("double"),
+        "assigned": before.rlike("[:=]>?\\s*[\"'`]?$").cast("double"),
         "quoted": before.rlike("[\"'`]$").cast("double"),
         "neighbour": F.coalesce(known[word_before(before)], F.lit(0.5)) if known is not None else F.lit(0.5),
     })
@@ -127,7 +138,11 @@ def score(found: DataFrame, forest: Forest, path: str | None = None) -> DataFram
 
 def rule_label(run: Column, before: Column) -> Column:
     """Labels for findings that a rule can tell: 1 for key ids of a known form and values under a secret's name, 0 for
-    plain numbers, universally unique ids and checksums named as such; null for all others."""
-    named = before.rlike(SECRET_NAME + "[\"']?\\s*[:=]\\s*[\"']?$")
-    harmless = run.rlike("^[0-9]+$") | run.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") | before.rlike("(?i)(sha|md5|commit|checksum|digest|hash)[^\\n]{0,6}$")
-    return F.when(run.rlike("^AKIA[0-9A-Z]{16}$") | named, 1).when(harmless, 0)
+    plain and dotted numbers, universally unique ids, checksums named as such, names of files and hosts, and what
+    stands for a value under a secret's name; null for all others, plain words under such a name too."""
+    named = before.rlike(SECRET_NAME + ASSIGNED + "[\"'`]?$")
+    harmless = run.rlike("^[0-9.]+$") | run.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") | before.rlike("(?i)(sha|md5|commit|checksum|digest|hash)[^\\n]{0,6}$")
+    harmless |= run.rlike("(?i)^[a-z0-9_./-]+[.](com|org|net|html?|php|py|js|css|png|jpe?g|gif|pdf|txt|json|csv)$")
+    word = run.rlike("^[A-Za-z]?[a-z]*$") & ~before.rlike("[\"'`]$")
+    told = F.when(run.rlike("^AKIA[0-9A-Z]{16}$"), 1).when(named & run.rlike(PLACEHOLDER), 0).when(named & ~word, 1)
+    return told.when(~named & harmless, 0)

@@ -20,6 +20,35 @@ def test_findings_and_contexts(spark):
     ]
 
 
+VALUES = [
+    ('password = "CorrectHorseBattery"', ["CorrectHorseBattery"]), ("token=abc", ["abc"]), ("password: P@ssw0rd!2024", ["P@ssw0rd!2024"]),
+    ("key SG.ab12.CDef34 end", ["SG.ab12.CDef34"]), ("see ya29.a0AfH6SMBx.", ["ya29.a0AfH6SMBx"]), ("{'db_password': 'correct horse', 'x': 1}", ["correct horse"]),
+    ('conf["secret"] => "a\\"b c"', ['a\\"b c']), ("f(api_key=k-1, n=2)", ["k-1"]), ("?token=a%2F&user=me", ["a%2F"]), ("secret=a&%b==, x", ["a&%b=="]), ('passwd = "open', ["open"]),
+    ("author: Bob, the token is lost", []), ('password = ""', []), ("token:", []), ("no.such.thing.in.here.at.all", []),
+]
+
+
+def test_values_of_any_form(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(VALUES)], "doc_id long, text string")
+    got = {}
+    for r in sorted(secrets.findings(docs).collect()):
+        got.setdefault(r.doc_id, []).append(r.run)
+    assert got == {i: runs for i, (_, runs) in enumerate(VALUES) if runs}
+
+
+def test_labels_of_values(spark):
+    texts = [('password = "Correct"', 1), ("token = abc-1", 1), ("password: str", 0), ("secret = ${SECRET}", 0), ("token: word", None), ("at 192.168.100.200", 0)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = secrets.findings(docs).withColumn("label", secrets.rule_label(F.col("run"), F.col("before")))
+    assert sorted((r.doc_id, r.label) for r in got.collect()) == [(i, label) for i, (_, label) in enumerate(texts)]
+
+
+def test_long_values_and_runs(spark):
+    long = ["password=" + "a1" * 50_000, 'token="' + "x y" * 50_000 + '"', "a." * 50_000, "A1b2" * 50_000]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    assert sorted((r.doc_id, len(r.run)) for r in secrets.findings(docs).collect()) == [(0, 100_000), (1, 150_000), (3, 200_000)]
+
+
 def _docs(spark, n):
     rnd = random.Random(n)
     rows = []

@@ -26,10 +26,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of lines found in many documents only the first stays; documents that lose everything go."""
+    """Of lines found in many documents only the first stays; documents that lose all but white space go."""
     ship(spark)
     kept = lines.drop_frequent_lines(docs, LINE_DOCS, keep_first=True)
-    return _as_documents(kept.filter("n_dropped = 0 OR char_length(text) > 0"), docs.columns)
+    return _as_documents(kept.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"(?U)\S")), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,14 @@ def test_line_dedup(stages):
     assert all(r.n_chars == len(r.text) for r in after)
 
 
+def test_documents_left_with_white_space_go(spark):
+    texts = ["one\n\ntwo\n \t\nthree\n"] * 11 + ["one\n\nown", "\n\n", None]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    assert got == {0: texts[0], 11: "\nown", 12: "\n\n", 13: None}
+
+
 def test_near_copies(stages):
     before, after, _ = stages["n-gram Jaccard join"]
     assert sorted(r.doc_id for r in after) == [d for d, _, c in components([(r.doc_id, r.text) for r in before]) if c == d]

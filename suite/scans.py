@@ -102,6 +102,21 @@ def preview(spark, sf_dir):
     return few.agg(F.count(F.lit(1)).alias("n"), F.lit("1997-06-01").cast("date").alias("day"))
 
 
+@query(
+    "preview_rows",
+    f"""WITH {RAW_SQL} SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN '0' ELSE '' END || l_suppkey::VARCHAR AS ein, vin,
+      strftime(sent_at, '%Y-%m-%d %H:%M:%S') AS clt_time, {LISTS_SQL} FROM raw WHERE l_shipdate = DATE '1997-06-01'
+    ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, vin)), ein, vals LIMIT 50""",
+)
+def preview_rows(spark, sf_dir):
+    """The rows of a preview by a hash of their ids, the same ones in every run."""
+    ids = F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "deviceID").cast("binary"))
+    few = scans.preview(raw_frames(spark, sf_dir), "uploadDate", "1997-06-01", 50, ids, "ein", F.array_join("params.valueM", ","))
+    lists = (listtext.join_list(F.col(f"params.{c}")).alias(name) for c, name in (("codeM", "codes"), ("valueM", "vals")))
+    clt_time = F.date_format("uploadTime1", clock.WALL_FORMAT).alias("clt_time")
+    return few.select("l_orderkey", "l_linenumber", "ein", F.col("deviceID").alias("vin"), clt_time, *lists)
+
+
 @query(
     "archive_scan",
     f"""WITH {RAW_SQL} SELECT {SCAN_SQL},

@@ -213,6 +213,14 @@ def sized_files(spark, sf_dir):
     return per_file.agg(F.sum("c").alias("n"), F.max("m").alias("last"), (F.max("c") <= 1000).alias("small"))
 
 
+@query("sized_rows", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def sized_rows(spark, sf_dir):
+    """What is in the files of at most 1000 rows."""
+    path = work_path(spark, "sized")
+    sinks.write_sized(table(spark, sf_dir, "events"), path, 1000)
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
 @query("replace_table", "SELECT c_custkey, c_name FROM customer")
 def replace_table(spark, sf_dir):
     path = work_path(spark, "small")

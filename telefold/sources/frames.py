@@ -100,6 +100,7 @@ def archive_scan(raw: DataFrame, created: str) -> DataFrame:
     return frames.select("ein", "vin", "clt_time", "clt_timestamp", "vals", "codes", "clt_date")
 
 
-def preview(df: DataFrame, date: str, day: str, n: int) -> DataFrame:
-    """A few rows of one day."""
-    return df.where(F.col(date) == F.lit(day).cast("date")).limit(n)
+def preview(df: DataFrame, date: str, day: str, n: int, *order: Column | str) -> DataFrame:
+    """A few rows of one day, the first ones by ``order`` if it is given."""
+    rows = df.where(F.col(date) == F.lit(day).cast("date"))
+    return (rows.orderBy(*order) if order else rows).limit(n)

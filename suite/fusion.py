@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from suite.inputs import DEVICES_SQL, FORMULA_ROWS, MAPPING_ROWS, RAW_SQL, devices, frames, mapping, parallel, signal_events, table
 from suite.registry import query
 from telefold.functions import listtext
+from telefold.functions.clock import WALL_FORMAT
 from telefold.operators import fusion, grouped, mapping as maps
+from telefold.plans.backfill import with_slice
 from telefold.plans.pipeline import fuse_table, good_rows, rejected_rows
 
 IDS = ["l_orderkey", "l_linenumber", "ein"]
@@ -34,6 +36,26 @@ def _ids(df, *more):
     return df.select(*IDS, *targets, *more)
 
 
+@query(
+    "fuse_slices",
+    f"""WITH {RAW_SQL}
+    SELECT l_orderkey, l_linenumber, ein,
+           CASE WHEN qa IS NOT NULL THEN qa * 1000.0::DOUBLE ELSE qn END AS distance,
+           CASE WHEN pf IS NOT NULL THEN pf * 10.0::DOUBLE ELSE po * 10000.0::DOUBLE END AS pressure,
+           d AS ratio, t * {G_MIN}::DOUBLE AS flow, d AS mix, s AS state,
+           strftime(greatest(TIMESTAMP '1991-12-31 23:50:00' + to_seconds(
+             floor(epoch(sent_at - TIMESTAMP '1991-12-31 23:50:00') / 3000)::BIGINT * 3000), date_trunc('day', sent_at)),
+             '%Y-%m-%d %H:%M:%S') AS slice_start
+    FROM raw""",
+)
+def fuse_slices(spark, sf_dir):
+    """All slices fused in one job: each frame names its slice, nothing loops."""
+    compiled = maps.compile_mapping(mapping(spark), "id")
+    raw = frames(spark, sf_dir).withColumn("sent", F.col("clt_time").cast("timestamp_ntz"))
+    fused = fusion.fuse_frames(with_slice(raw, "sent", "1991-12-31 23:50:00", 3000), compiled, "first")
+    return _ids(fused, F.date_format("slice_start", WALL_FORMAT).alias("slice_start"))
+
+
 PACKED = [
     ("distance", "m", "SAE_QA;SAE_QN;SAE_QR", "km;m;cm", 1),
     ("pressure", "kPa", "WW_PO;WW_PF", "MPa;hPa", 2),

@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, html, jaccard, lines, quality, repeats, secrets, token_count
+from . import ann, bpe, byte_bpe, decontaminate, fim, html, jaccard, lines, merkle, quality, repeats, secrets, token_count
 from ..session import written
 from .shipping import ship
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 LINE_DOCS = 10
 KEEP_SCORE = 0.7
 SECRET_SCORE = 0.5
@@ -111,7 +112,45 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op3_remove_repeats, op4_frequent_lines, op5_main_text, op6_token_counts, op7_secrets, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = merkle.manifest(
+        _table(spark, sf_dir, "documents").select(*names),
+        values={c: F.col(c) for c in names},
+        tree="source",
+        key="doc_id",
+        changed={"text": F.replace("text", F.lit("\n"), F.lit(""))},
+        when=tampered,
+    )
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_chars").cast("long").alias("prefix_chars"),
+        F.col("middle_chars").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = byte_bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("coded.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_quality, op3_remove_repeats, op4_frequent_lines, op5_main_text, op6_token_counts, op7_secrets, op8_nearest_vectors, op9_jaccard_components, op10_benchmark_hits, op11_merkle_manifest, op12_fill_in_middle, op13_byte_bpe)}
 
 _SPLIT_LINES = """
     SELECT doc_id, line, pos,
@@ -124,7 +163,76 @@ _FREQUENT = """
     SELECT key FROM (SELECT DISTINCT doc_id, key FROM {lines}) WHERE length(key) >= 1
     GROUP BY key HAVING count(*) >= 10"""
 
+#: unsigned CRC-32 of the decimal doc_id, bit by bit; 3988292384 is its reversed polynomial
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+
 SQL = {
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, coalesce('1' || source, '0') AS tree, {_LEAF.format(text="text")} AS leaf,
+           CASE WHEN {_CRC32} % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")} END AS changed
+    FROM documents),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes AS (
+    SELECT tree, 0 AS level, place, leaf AS digest, n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+    FROM nodes WHERE n > 1 GROUP BY tree, level, place // 3, n),
+subroots AS (
+    SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+    SELECT 0 AS level, place, digest, n FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+    FROM tops WHERE n > 1 GROUP BY level, place // 3, n),
+inside AS (
+    SELECT tree, place AS leaf_place, 0 AS level, place, n, coalesce(changed, leaf) AS digest, '' AS proof FROM placed
+    UNION ALL
+    SELECT f.tree, f.leaf_place, f.level + 1, f.place // 3, (f.n + 2) // 3,
+           sha256(string_agg(CASE WHEN o.place = f.place THEN f.digest ELSE o.digest END, '' ORDER BY o.place)),
+           f.proof || coalesce(string_agg(CASE WHEN o.place <> f.place THEN o.digest END, '' ORDER BY o.place), '')
+    FROM inside f JOIN nodes o ON o.tree = f.tree AND o.level = f.level AND o.place // 3 = f.place // 3
+    WHERE f.n > 1 GROUP BY f.tree, f.leaf_place, f.level, f.place, f.n, f.proof),
+above AS (
+    SELECT i.tree, i.leaf_place, 0 AS level, s.place, s.n, i.digest, i.proof
+    FROM inside i JOIN subroots s ON s.tree = i.tree WHERE i.n = 1
+    UNION ALL
+    SELECT f.tree, f.leaf_place, f.level + 1, f.place // 3, (f.n + 2) // 3,
+           sha256(string_agg(CASE WHEN o.place = f.place THEN f.digest ELSE o.digest END, '' ORDER BY o.place)),
+           f.proof || coalesce(string_agg(CASE WHEN o.place <> f.place THEN o.digest END, '' ORDER BY o.place), '')
+    FROM above f JOIN tops o ON o.level = f.level AND o.place // 3 = f.place // 3
+    WHERE f.n > 1 GROUP BY f.tree, f.leaf_place, f.level, f.place, f.n, f.proof)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(a.proof) AS proof_sha256,
+       a.digest AS folded_root, a.digest = r.digest AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree
+JOIN above a ON a.tree = p.tree AND a.leaf_place = p.place AND a.n = 1
+JOIN (SELECT digest FROM tops WHERE n = 1) r ON true""",
+    "op12_fill_in_middle": """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (
+    SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+           CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                     OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+    SELECT *, array_to_string(u[1:least(a, b)], '') AS prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+           array_to_string(u[greatest(a, b) + 1:], '') AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM parts""",
     "op4_frequent_lines": f"""
 WITH lines AS ({_SPLIT_LINES.format(docs="documents")}),
 frequent AS ({_FREQUENT.format(lines="lines")})

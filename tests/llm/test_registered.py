@@ -14,7 +14,7 @@ from telefold.llm import queries
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert {*queries.QUERIES, "pipeline"} <= names.keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))

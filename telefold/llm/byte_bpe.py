@@ -35,7 +35,7 @@ from .vocab import Remembered
 NONE = -1
 STATES = 250_000  # kept at most, with about twice as many steps
 PAIRS = 300_000  # answers to "may this token follow that one" kept at most
-PIECES = 150_000  # ids by piece, kept up to twice as many
+PIECES = 300_000  # ids by piece, kept up to twice as many
 
 
 class Ranks:
@@ -89,14 +89,25 @@ class Transducer:
     def __init__(self, ranks: Ranks, states: int = STATES):
         self.ranks, self.most = ranks, states
         self.pairs: dict[int, bool] = {}
+        #: states by number, packed; the tokens that follow if the piece ends in one
+        self.keys: list[bytes] = []
+        self.tails: list[tuple[int, ...]] = []
+        self.numbers: dict[bytes, int] = {}
+        #: where a step leads, by state * 256 + byte; with the tokens it emits, if any
+        self.to: dict[int, int | tuple[int, tuple[int, ...]]] = {}
         self._empty()
 
     def _empty(self) -> None:
-        start = self._packed(NONE, [((), 0)])
-        #: states by number, packed; a step's target and what it emits, by state * 256 + byte
-        self.keys, self.numbers = [start], {start: 0}
-        self.to: dict[int, int] = {}
-        self.out: dict[int, tuple[int, ...]] = {}
+        for table in (self.keys, self.tails, self.numbers, self.to):
+            table.clear()
+        self._number(self._packed(NONE, [((), 0)]), ())
+
+    def _number(self, key: bytes, tail: tuple[int, ...]) -> int:
+        number = self.numbers.setdefault(key, len(self.keys))
+        if number == len(self.keys):
+            self.keys.append(key)
+            self.tails.append(tail)
+        return number
 
     @staticmethod
     def _packed(certain: int, places: list[tuple[tuple[int, ...], int]]) -> bytes:
@@ -127,8 +138,8 @@ class Transducer:
             found = self.pairs[asked] = self.ranks.merged(raw) == ([token] if last == NONE else [last, token])
         return found
 
-    def _move(self, key: bytes, byte: int) -> tuple[bytes, tuple[int, ...]]:
-        """The next state and what becomes certain."""
+    def _move(self, key: bytes, byte: int) -> tuple[bytes, tuple[int, ...], tuple[int, ...]]:
+        """The next state, its tail, and what becomes certain."""
         child, ends, inner = self.ranks.child, self.ranks.ends, self.ranks.inner
         certain, places = self._unpacked(key)
         live, to_end = [], None
@@ -142,48 +153,40 @@ class Transducer:
             if inner[node]:
                 live.append((lead, node))
         live.append((to_end, 0))
-        first, last = min(live)[0], max(live)[0]
-        n = next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
-        if n:
-            certain = to_end[n - 1]
-            live = [(lead[n:], node) for lead, node in live]
-        # a place that others lead to by tokens of their own needs no certain token before it
-        if all(lead for lead, _ in live):
-            certain = NONE
-        return self._packed(certain, live), to_end[:n]
+        n = 0
+        if all([lead for lead, _ in live]):
+            first, last = min(live)[0], max(live)[0]
+            n = next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
+            if n:
+                certain = to_end[n - 1]
+                live = [(lead[n:], node) for lead, node in live]
+            if all([lead for lead, _ in live]):
+                certain = NONE  # every place is led to by tokens of its own
+        return self._packed(certain, live), to_end[n:], to_end[:n]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        key, out = self._move(self.keys[state], byte)
+        key, tail, ids = self._move(self.keys[state], byte)
         if key not in self.numbers and len(self.keys) >= self.most:
-            self._empty()  # the step just made is forgotten too: the state it starts from has no number any more
-            state = None
-        number = self.numbers.setdefault(key, len(self.keys))
-        if number == len(self.keys):
-            self.keys.append(key)
-        if state is not None:
-            self.to[state << 8 | byte] = number
-            if out:
-                self.out[state << 8 | byte] = out
-        return number, out
+            self._empty()  # the state it starts from has no number any more
+            return self._number(key, tail), ids
+        number = self._number(key, tail)
+        self.to[state << 8 | byte] = (number, ids) if ids else number
+        return number, ids
 
     def run(self, raw: bytes) -> list[int]:
         """The ids of one piece. A piece that is a token is that token."""
         whole = self.ranks.ids.get(raw)
         if whole is not None:
             return [whole]
-        state, found = 0, []
+        step, state, found = self.to.get, 0, []
         for byte in raw:
-            at = state << 8 | byte
-            after = self.to.get(at)
-            if after is None:
-                state, ids = self._step(state, byte)
-                found += ids
-            else:
+            after = step(state << 8 | byte)
+            if after.__class__ is int:
                 state = after
-                if at in self.out:
-                    found += self.out[at]
-        _, places = self._unpacked(self.keys[state])
-        return [*found, *places[-1][0]]
+            else:
+                state, ids = after or self._step(state, byte)
+                found += ids
+        return [*found, *self.tails[state]]
 
 
 class Utf8Stream:
@@ -236,7 +239,7 @@ class Codec:
         self.transducer = Transducer(ranks)
         # white space as Unicode has it; Python's own has four control characters more
         self.piece = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
-        self.known = Remembered(lambda piece: np.array(self.transducer.run(piece.encode()), np.int32).tobytes(), PIECES)
+        self.known = Remembered(lambda piece: array("i", self.transducer.run(piece.encode())).tobytes(), PIECES)
         #: a token's text, None if it isn't whole characters
         self.texts = np.array([self._whole(t) for t in ranks.tokens], dtype=object)
         self.tokens = ranks.tokens

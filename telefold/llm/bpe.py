@@ -3,21 +3,23 @@
 Two neighbouring symbols that stand side by side in no token can never end up in one token, so there a word
 may be cut for certain. The fragments between such cuts are encoded by themselves and joined again.
 
-Null and empty texts give no ids and decode to the empty text; equal rows give equal ids. Other columns are
-kept; a column that already has an output's name is replaced.
+Null and empty texts give no ids and decode to the empty text; equal rows give equal ids. Texts and words may be very
+long: a long fragment is merged by a heap over a linked list, so its time grows with n log n. Other columns are kept; a
+column that already has an output's name is replaced.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import Remembered, Vocabulary, load
+from .vocab import Remembered, Vocabulary, load, read_tokens
 
 
 class Encoder:
@@ -67,22 +69,24 @@ class Encoder:
         return part
 
     def _merge_long(self, part: list[str]) -> list[str]:
-        """The same for long fragments: one pass merges every occurrence of the lowest pair, left to right."""
-        ranks, never = self.v.ranks, len(self.v.ranks)
-        while len(part) > 1:
-            a, b = min(zip(part, part[1:]), key=lambda pair: ranks.get(pair, never))
-            if (a, b) not in ranks:
-                break
-            out, i, n = [], 0, len(part)
-            while i < n:
-                if i + 1 < n and part[i] == a and part[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(part[i])
-                    i += 1
-            part = out
-        return part
+        """The same for long fragments: adjacent pairs wait in a heap by rank, then place; symbols are linked by the
+        places of their neighbours."""
+        ranks, n = self.v.ranks, len(part)
+        part, before, after = list(part), list(range(-1, n - 1)), list(range(1, n + 1))
+        waiting = [(ranks[pair], i) for i, pair in enumerate(zip(part, part[1:])) if pair in ranks]
+        heapify(waiting)
+        while waiting:
+            rank, i = heappop(waiting)
+            j = after[i]
+            if part[i] is None or j == n or ranks.get((part[i], part[j])) != rank:
+                continue  # the pair is no more
+            part[i], part[j], after[i] = part[i] + part[j], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n and (part[left], part[right]) in ranks:
+                    heappush(waiting, (ranks[part[left], part[right]], left))
+        return [symbol for symbol in part if symbol is not None]
 
     def word_ids(self, word: str) -> list[int]:
         ids = self.v.ids
@@ -105,7 +109,7 @@ def _encoder(path: str) -> Encoder:
 
 @functools.cache
 def _names(path: str) -> np.ndarray:
-    return np.array(load(path).tokens, dtype=object)
+    return np.array(read_tokens(path), dtype=object)
 
 
 def _slices(batches: Iterator[pa.Array], rows: int = 200) -> Iterator[pa.Array]:
@@ -115,6 +119,16 @@ def _slices(batches: Iterator[pa.Array], rows: int = 200) -> Iterator[pa.Array]:
             yield batch.slice(at, rows)
 
 
+def _listed(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
+
+
+def _spelled(names: np.ndarray, ids: np.ndarray) -> str:
+    return " ".join(names[ids].tolist())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids array<int>``: the text's token ids by the vocabulary file at ``path``. Map-only."""
 
@@ -122,10 +136,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in _slices(batches):
-            found = [encoder.encode(t.as_py()) for t in texts]
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
-            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
-            yield pa.ListArray.from_arrays(pa.array(ends), flat)
+            yield _listed([encoder.encode(t.as_py()) for t in texts])
 
     return docs.withColumn(ids, run(F.col(f"`{text}`")))
 
@@ -138,7 +149,22 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = _names(path)
         for many in _slices(batches):
-            texts = (" ".join(names[row.values.to_numpy()].tolist()) if row.is_valid and len(row.values) else "" for row in many)
+            texts = (_spelled(names, row.values.to_numpy()) if row.is_valid and len(row.values) else "" for row in many)
             yield pa.array(texts, pa.string(), size=len(many))
 
     return encoded.withColumn(text, run(F.col(f"`{ids}`")))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "coded") -> DataFrame:
+    """Adds ``coded struct<ids array<int>, decoded string>``: both of the above in one pass, so a task has one Python
+    worker and the ids cross to Spark once."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, names = _encoder(path), _names(path)
+        for texts in _slices(batches):
+            found = [encoder.encode(t.as_py()) for t in texts]
+            back = pa.array((_spelled(names, np.frombuffer(ids, np.int32)) for ids in found), pa.string(), size=len(found))
+            yield pa.StructArray.from_arrays([_listed(found), back], ["ids", "decoded"])
+
+    return docs.withColumn(out, run(F.col(f"`{text}`")))

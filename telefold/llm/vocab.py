@@ -113,6 +113,21 @@ def _pattern(spec: dict) -> regex.Pattern:
     return word
 
 
+def _tokens(spec: dict) -> tuple[dict[str, int], dict[str, int], list[str]]:
+    """Ids of the special and of all other tokens, and the tokens by id."""
+    special, ids = {a["content"]: a["id"] for a in spec["added_tokens"]}, spec["model"]["vocab"]
+    tokens = [""] * (max([*ids.values(), *special.values()]) + 1)
+    for token, i in [*ids.items(), *special.items()]:
+        tokens[i] = token
+    return special, ids, tokens
+
+
+def read_tokens(path: str) -> list[str]:
+    """The tokens by id, without what encoding needs."""
+    with open(path, encoding="utf-8") as f:
+        return _tokens(json.load(f))[2]
+
+
 @functools.cache
 def load(path: str) -> Vocabulary:
     """Read once per process. ``path`` is a local file that every machine has, as part of an installed package."""
@@ -121,11 +136,7 @@ def load(path: str) -> Vocabulary:
     model = spec["model"]
     if model["type"] != "BPE" or model["byte_fallback"] or model["continuing_subword_prefix"]:
         raise ValueError("only byte-level BPE files are supported")
-    special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-    ids = model["vocab"]
-    tokens = [""] * (max([*ids.values(), *special.values()]) + 1)
-    for token, i in [*ids.items(), *special.items()]:
-        tokens[i] = token
+    special, ids, tokens = _tokens(spec)
     longest_first = sorted(special, key=len, reverse=True)
     return Vocabulary(
         ids=ids,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -55,6 +56,15 @@ def test_long_fragments_merge_like_short_ones():
         assert len(encoder._merge_long(list(symbols))) == token_count.merged_size(symbols, encoder.v.ranks)
 
 
+def test_long_words_take_little_time(library):
+    encoder, rnd = bpe.Encoder(vocab.load(PATH)), random.Random(3)
+    for word in ("a" * 232_397, "".join(rnd.choice("etaoinshrdlu") for _ in range(232_397)), "".join(map(chr, rnd.choices(range(0x4E00, 0x9FFF), k=60_000)))):
+        began = time.perf_counter()
+        got = np.frombuffer(encoder.encode(word), np.int32).tolist()
+        assert time.perf_counter() - began < 10
+        assert got == library.encode(word, add_special_tokens=False).ids
+
+
 def test_remembered_keeps_two_generations():
     asked = []
     kept = vocab.Remembered(lambda k: asked.append(k) or k * 2, 2)
@@ -71,6 +81,8 @@ def test_round_trip_on_spark(spark, library, texts):
         want = library.encode(t or "", add_special_tokens=False).ids
         assert (out[i].ids or []) == want
         assert out[i].decoded == library.decode(want, skip_special_tokens=False)
+    at_once = bpe.round_trip(docs, PATH).collect()
+    assert sorted((r.doc_id, r.coded.ids, r.coded.decoded, r.ids) for r in at_once) == sorted((i, o.ids, o.decoded, "x") for i, o in out.items())
     counts = {r.doc_id: r for r in token_count.token_counts(docs, PATH, limit=5).collect()}
     for i, t, _ in rows:
         n = len(library.encode(t or "", add_special_tokens=False).ids)

@@ -49,8 +49,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and a digest of what they decode to."""
     ship(spark)
     path = public_tokenizers.path(WORD_BPE)
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = bpe.round_trip(docs.select("doc_id", "text"), path)
+    return both.select("doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

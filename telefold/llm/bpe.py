@@ -10,7 +10,6 @@ column that already has an output's name is replaced.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -19,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .held import held
 from .vocab import Remembered, Vocabulary, load, read_tokens
 
 
@@ -102,12 +102,12 @@ class Encoder:
         return b"".join(out)
 
 
-@functools.cache
+@held
 def _encoder(path: str) -> Encoder:
     return Encoder(load(path))
 
 
-@functools.cache
+@held
 def _names(path: str) -> np.ndarray:
     return np.array(read_tokens(path), dtype=object)
 

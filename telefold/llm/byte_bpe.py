@@ -19,7 +19,6 @@ is replaced. Map-only.
 from __future__ import annotations
 
 import base64
-import functools
 from array import array
 from collections.abc import Iterator
 
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import named
+from .held import held
 from .vocab import Remembered
 
 NONE = -1
@@ -266,7 +266,7 @@ class Codec:
         return "".join(texts)
 
 
-@functools.cache
+@held
 def _codec(path: str, pattern: str) -> Codec:
     return Codec(Ranks(path), pattern)
 

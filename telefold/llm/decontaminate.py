@@ -10,7 +10,6 @@ driver meets an unbounded automaton. Documents are streamed through each.
 
 from __future__ import annotations
 
-import functools
 import pickle
 import re
 from collections.abc import Callable, Iterator
@@ -21,6 +20,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import aside
+from .held import held
+
 BLOCK_WORDS = 200_000  # item words in one automaton
 
 #: bytes to word bytes: A-Z lower-cased; every other ASCII character but a-z and 0-9 becomes a space
@@ -149,7 +151,7 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-@functools.lru_cache(2)
+@held
 def _automaton(items: bytes, window: int) -> Automaton:
     return Automaton([(item, words_of(text)) for item, text in pickle.loads(items)], window)
 
@@ -199,6 +201,7 @@ def _finder(block: Broadcast, window: int) -> Callable[[Column], Column]:
     return run
 
 
+@aside
 def benchmark_hits(
     docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:

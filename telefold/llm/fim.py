@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import named, unused
+from .held import held
 from .vocab import Remembered
 
 UNIT = re.compile("[A-Za-z]+|[^A-Za-z]")
@@ -77,7 +78,7 @@ def summary(chunk: str) -> tuple[int, bool, bool]:
     return len(UNIT.findall(chunk)), _letter(chunk[0]), _letter(chunk[-1])
 
 
-@functools.cache
+@held
 def _summaries() -> Remembered:
     return Remembered(summary, 20_000)
 

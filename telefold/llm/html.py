@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import aside
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*)>""", re.S)
 CLASS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+))""", re.I)
@@ -274,6 +275,7 @@ def extract(source: str | None, winner: str | None) -> str:
     return found or text_on(page, best_path(page)[0])
 
 
+@aside
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
     """Adds ``out string``: the main text, empty if there is none; null and empty pages have none.
 

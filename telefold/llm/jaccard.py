@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import aside, named
 from .hashing import Bytes, mix
 
 CHARS_AT_ONCE = 800_000
@@ -704,6 +705,7 @@ def _joining(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return kept
 
 
+@aside
 def one_per_component(docs: DataFrame, percent: int = 75, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Of each component's documents that of smallest id. Documents that link with nothing stay, also those without an
     id or words; equal rows are one. Columns are those of ``docs``."""
@@ -711,4 +713,4 @@ def one_per_component(docs: DataFrame, percent: int = 75, words: int = 5, doc_id
     kept = written(found.select(F.col(f"`{doc_id}`").alias("__doc"), F.col("text_hash").alias("__ver")).distinct(), "kept")
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__ver"))
     hashed = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
-    return hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__hash"]).select(*docs.columns)
+    return hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__hash"]).select(*map(named, docs.columns))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import aside
 
 BLANK = " \t\n\x0b\f\r"  # fixed values: U+0020 and U+0009 to U+000D
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,6 +68,7 @@ def dropped_lines(
     return bits.groupBy("doc", "ver").agg(F.map_from_entries(F.array_agg(F.struct("word", "bits"))).alias("words"))
 
 
+@aside
 def drop_frequent_lines(
     docs: DataFrame, min_docs: int, keep_first: bool = False, min_chars: int = 1, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -10,7 +10,6 @@ number for each word; those of recent words are remembered.
 
 from __future__ import annotations
 
-import functools
 import pickle
 import zlib
 from collections.abc import Iterator
@@ -21,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .held import held, only
+
 SAMPLE_ROWS = 4_000  # labelled rows that training reads at most
 BUCKETS = 1 << 16
 WIDTH = 12
@@ -153,6 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     found = texts.join(sample, "k").select("h", "y", "t").orderBy("h", "y", "t").limit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         rows = sorted((x["h"], x["y"], x["t"]) for b in batches for x in b.to_pylist())
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit([t for _, _, t in rows], [y for _, y, _ in rows]))]})
 
@@ -160,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     return pickle.loads(bytes(models[0][0])) if models else fit([], [])
 
 
-@functools.lru_cache(2)
+@held
 def _scorer(model: bytes) -> Scorer:
     return Scorer(*pickle.loads(model))
 

@@ -53,7 +53,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = repeats.remove_repeats(docs, length=400)
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("has_repeats"),
+    )
 
 
 def op4_frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

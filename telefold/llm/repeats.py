@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import aside
 from .hashing import Bytes, mix
 
 SEED = 128
@@ -364,6 +365,7 @@ def _pairs(flat: np.ndarray) -> list[tuple[int, int, int]]:
     return [(c, a, b) for (c, a), (_, b) in zip(low.tolist(), high.tolist())]
 
 
+@aside
 def remove_repeats(docs: DataFrame, length: int = 400, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
     """Adds ``n_bytes long``, ``spans array<struct<first,end>>`` (maximal removed runs of bytes), ``n_removed long`` and
     ``kept binary``: the text's UTF-8 bytes without each byte that a string of ``length`` bytes covers which also

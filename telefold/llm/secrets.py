@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import aside
 
 SAMPLE_ROWS = 5_000  # labelled findings that training reads at most
 DICTIONARY = 500  # words around labelled findings that coverage looks for
@@ -40,6 +41,7 @@ VALUE = rf"(?<=[:=]>?[ \t]{{0,4}}[\"'`]?)(?<=(?:{SECRET_NAME}){ASSIGNED}[\"'`]?)
 RUN = rf"(?:{VALUE})|(?<![A-Za-z0-9+/_-])(?<![A-Za-z0-9+/_-]\.)(?=[A-Za-z+/_.-]*[0-9])[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{{10,}}[A-Za-z0-9+/_-]={{0,2}}"
 
 
+@aside
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per run, with the columns of ``docs`` but the text, and ``nth int`` (from 0), ``run``, ``before`` and
     ``after``: up to 40 characters of the same line, as far as the findings beside it. Null and empty texts have none;

@@ -10,7 +10,6 @@ name is replaced.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -18,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .held import held
 from .vocab import Remembered, Vocabulary, load
 
 
@@ -58,7 +58,7 @@ class Counter:
         return sum(sum(map(self.known.__getitem__, words)) + (special is not None) for words, special in self.v.words(text))
 
 
-@functools.cache
+@held
 def _counter(path: str) -> Counter:
     return Counter(load(path))
 

@@ -128,9 +128,8 @@ def read_tokens(path: str) -> list[str]:
         return _tokens(json.load(f))[2]
 
 
-@functools.cache
 def load(path: str) -> Vocabulary:
-    """Read once per process. ``path`` is a local file that every machine has, as part of an installed package."""
+    """``path`` is a local file that every machine has, as part of an installed package."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model = spec["model"]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telefold.llm import bpe, decontaminate, jaccard, lines, quality
+from telefold.llm.columns import named, unused
 from telefold.llm.queries import KEEP_SCORE, LINE_DOCS, WORD_BPE, train_quality
 from telefold.llm.shipping import ship
 from telefold.session import work_path
@@ -21,8 +22,9 @@ def _as_documents(docs: DataFrame, columns: list[str]) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     ship(spark)
-    scored = quality.score(docs, train_quality(spark, docs, sf_dir), out="__score")
-    return scored.filter(F.col("__score") >= KEEP_SCORE).select(*docs.columns)
+    score = unused(docs, "score")
+    scored = quality.score(docs, train_quality(spark, docs, sf_dir), out=score)
+    return scored.filter(F.col(score) >= KEEP_SCORE).select(*map(named, docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

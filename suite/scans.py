@@ -275,7 +275,7 @@ def first_match_lookup(spark, sf_dir):
     return enrich.first_match(part, lines, "p_partkey", "at", ["first_quantity"])
 
 
-def frame_messages(spark, sf_dir):
+def frame_messages(spark, sf_dir, *kept):
     """Events as JSON messages of the first flavour: two items each."""
     item = F.struct(
         F.col("event_type").alias("signalname"), F.lit("n").alias("name"), text("value").alias("value")
@@ -290,7 +290,7 @@ def frame_messages(spark, sf_dir):
         F.lit("31.2").alias("latitude"),
         F.array(item, other).alias("items"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(message).alias("value"))
+    return table(spark, sf_dir, "events").select(F.to_json(message).alias("value"), *kept)
 
 
 @query(
@@ -331,7 +331,7 @@ def signal_messages(spark, sf_dir):
 @query(
     "json_array_explode",
     """WITH e AS (SELECT user_id::VARCHAR AS ein, 'V' || event_id::VARCHAR AS vin,
-                         epoch(date_trunc('second', ts))::INTEGER AS clt_timestamp, event_id, event_type, value FROM events)
+                         epoch(date_trunc('second', ts))::BIGINT AS clt_timestamp, event_id, event_type, value FROM events)
     SELECT ein, vin, clt_timestamp, 0 AS pos, 'lng' AS pid, 121.5::DOUBLE AS value FROM e
     UNION ALL SELECT ein, vin, clt_timestamp, 1, 'lat', 31.2::DOUBLE FROM e
     UNION ALL SELECT ein, vin, clt_timestamp, 2, 'high', NULL FROM e
@@ -345,7 +345,7 @@ def json_array_explode(spark, sf_dir):
 
 @query(
     "json_frames_last",
-    """SELECT user_id::VARCHAR AS ein, epoch(date_trunc('second', ts))::INTEGER AS clt_timestamp,
+    """SELECT user_id::VARCHAR AS ein, epoch(date_trunc('second', ts))::BIGINT AS clt_timestamp,
            CASE event_type WHEN 'view' THEN value WHEN 'click' THEN value * 0.001::DOUBLE END AS speed, '31.2' AS lat
     FROM events""",
 )

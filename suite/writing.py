@@ -272,8 +272,8 @@ def stream_rejects(spark, sf_dir):
     ):
         run.awaitTermination()
     bad = [
-        spark.read.parquet(paths["bad1"]).select(F.lit("frame").alias("kind"), "reject_reason", F.col("corrupt").alias("text")),
-        spark.read.parquet(paths["bad2"]).select(F.lit("list").alias("kind"), "reject_reason", F.col("value").alias("text")),
+        spark.read.parquet(paths["bad1"]).select(F.lit("frame").alias("kind"), "reject_reason", "text"),
+        spark.read.parquet(paths["bad2"]).select(F.lit("list").alias("kind"), "reject_reason", "text"),
     ]
     for kind, n in (("good frames", "good1"), ("good lists", "good2")):
         counted = spark.read.parquet(paths[n]).agg(F.count(F.lit(1)).cast("string").alias("text"))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 WALL_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LONGEST_STEP = 3600
+#: Epoch seconds of the years 1 to 9999, a day less at both ends, so that the wall clock of every zone stays inside.
+READABLE_SECONDS = (-62_135_596_800 + 86_400, 253_402_300_799 - 86_400)
 
 
 def _zero() -> Column:
@@ -44,6 +46,16 @@ def millis_to_seconds(millis: Column) -> Column:
     return ((millis - millis % 1000) / 1000).cast("bigint")
 
 
+def readable(seconds: Column) -> Column:
+    """Seconds that are a time of the years 1 to 9999, else NULL."""
+    return F.when(seconds.between(*READABLE_SECONDS), seconds)
+
+
+def text_millis_to_seconds(text: Column) -> Column:
+    """Epoch milliseconds as text, truncated toward zero. What is no whole number or no readable time is NULL."""
+    return readable(millis_to_seconds(text.try_cast("bigint")))
+
+
 def epoch_stamp(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 

@@ -1,4 +1,8 @@
-"""JSON messages of the two stream flavours, decoded with built-in expressions."""
+"""JSON messages of the two stream flavours, decoded with built-in expressions.
+
+Decoding is total: whatever a message holds, it gives a row or a reject with a reason, and its neighbours are read. A time
+counts if it is a whole number of milliseconds in the years 1 to 9999, as a JSON number or as text.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +11,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from telefold.functions import clean, clock, signals
 
 FRAME_SCHEMA = (
-    "ein string, uploadTime bigint, deviceID string, longitude string, latitude string, "
+    "ein string, uploadTime string, deviceID string, longitude string, latitude string, "
     "items array<struct<signalname:string,name:string,value:string>>, _corrupt string"
 )
-SIGNAL_SCHEMA = (
-    "array<struct<ein:string,vin:string,time:string,sn:string,lng:string,lat:string,high:string,"
-    "message:array<struct<pid:string,value:string>>>>"
+MEMBER_SCHEMA = (
+    "struct<ein:string,vin:string,time:string,sn:string,lng:string,lat:string,high:string,"
+    "message:array<struct<pid:string,value:string>>,_corrupt:string>"
 )
+SIGNAL_SCHEMA = f"array<{MEMBER_SCHEMA}>"
 FEATURE_SCHEMA = "extend struct<type:string,formula:string>"
+CORRUPT = {"columnNameOfCorruptRecord": "_corrupt"}
 POSITION_SIGNALS = ("lng", "lat", "high")
 
 
@@ -25,10 +31,11 @@ def feature_formula(feature: Column) -> Column:
 
 
 def decode_frames(df: DataFrame, text: str = "value", zone: str | None = None) -> DataFrame:
-    """One message, one frame. An unreadable message stays as a row with its text in ``corrupt``."""
-    m = F.from_json(F.col(text), FRAME_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
+    """One message, one frame. An unreadable message stays as a row with its text in ``corrupt``; one without a readable
+    time has NULL for it."""
+    m = F.from_json(F.col(text), FRAME_SCHEMA, CORRUPT)
     d = F.col("_m")
-    seconds = F.floor(d.uploadTime / 1000)
+    seconds = clock.readable(F.expr("floor(try_cast(_m.uploadTime AS bigint) / 1000)"))
     kept = [c for c in df.columns if c != text]
     return df.withColumn("_m", m).select(
         *kept,
@@ -45,15 +52,37 @@ def decode_frames(df: DataFrame, text: str = "value", zone: str | None = None) -
     )
 
 
+def _members(text: Column) -> Column:
+    """The members of a list. If one of them is no message, they are read one by one and that one has its text in
+    ``_corrupt``."""
+    whole = F.from_json(text, SIGNAL_SCHEMA, CORRUPT)
+    each = F.transform(F.from_json(text, "array<string>"), lambda x: F.from_json(x, MEMBER_SCHEMA, CORRUPT))
+    return F.coalesce(whole, each)
+
+
+def _seconds(member: Column) -> Column:
+    return clock.text_millis_to_seconds(member.getField("time"))
+
+
+def _reason(member: Column) -> Column:
+    """Why a member can't be a frame; NULL if it can."""
+    return (
+        F.when(member.isNull() | member.getField("_corrupt").isNotNull(), "unreadable message")
+        .when(F.coalesce(member.getField("ein"), F.lit("")) == "", "no engine id")
+        .when(_seconds(member).isNull(), "no readable time")
+    )
+
+
 def message_frames(df: DataFrame, text: str = "value") -> DataFrame:
-    """A JSON list of messages, one frame per member, position kept as plain columns."""
+    """A JSON list of messages, one frame per member, position kept as plain columns. Members without an engine's id or a
+    readable time aren't frames; ``rejected_messages`` has them."""
     kept = [c for c in df.columns if c != text]
     d = F.col("_d")
-    return df.select(*kept, F.explode(F.from_json(F.col(text), SIGNAL_SCHEMA)).alias("_d")).select(
+    return df.select(*kept, F.explode(_members(F.col(text))).alias("_d")).where(_reason(d).isNull()).select(
         *kept,
         d.ein.alias("ein"),
         d.vin.alias("vin"),
-        clock.millis_to_seconds(d.time.try_cast("bigint")).cast("int").alias("clt_timestamp"),
+        _seconds(d).alias("clt_timestamp"),
         d.lng.alias("lng"),
         d.lat.alias("lat"),
         d.high.alias("high"),
@@ -88,7 +117,13 @@ def signal_rows(df: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def unreadable_lists(df: DataFrame, text: str = "value") -> DataFrame:
-    """Rows whose text is no list of messages, with a ``reject_reason``; ``signal_rows`` has nothing of them."""
-    kept = F.from_json(F.col(text), SIGNAL_SCHEMA)
-    return df.where(kept.isNull()).withColumn("reject_reason", F.lit("unreadable message"))
+def rejected_messages(df: DataFrame, text: str = "value") -> DataFrame:
+    """What ``message_frames`` has nothing of: texts that are no list of messages, and members of a list without an
+    engine's id or a readable time, each as ``text`` with a ``reject_reason``. An empty list has nothing to reject."""
+    kept = [c for c in df.columns if c != text]
+    members = _members(F.col(text))
+    # a text that is no list is one NULL member
+    one = F.array(F.lit(None).cast(MEMBER_SCHEMA))
+    each = df.select(*kept, F.col(text).alias("_text"), F.explode(F.coalesce(members, one)).alias("_d"))
+    bad = each.withColumn("reject_reason", _reason(F.col("_d"))).where(F.col("reject_reason").isNotNull())
+    return bad.select(*kept, F.coalesce(F.col("_d._corrupt"), F.to_json("_d"), F.col("_text")).alias("text"), "reject_reason")

@@ -1,9 +1,10 @@
 """Micro-batch fusion of both message flavours.
 
-Good rows go to ``path`` by source, type, date and batch, so readers can prune by date; rows that cannot be used go
-to ``rejects`` with their text and a reason. A retry overwrites its own batch, so a restart from the checkpoint
-neither loses nor repeats rows. Parts of one frame that arrive in different batches stay separate rows, as fusion
-works inside a batch. Mapping and device lookup are read once, when the job starts.
+Good rows go to ``path`` by source, type, date and batch, so readers can prune by date; what can't be used goes to the
+rejects with its text and a reason, beside the table unless another place is named. A batch that is run again, because it
+failed after its write or the job was stopped, overwrites its own rows and rejects, so a restart from the checkpoint neither
+loses nor repeats any. Parts of one frame that arrive in different batches stay separate rows, as fusion works inside a
+batch. Mapping and device lookup are read once, when the job starts.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telefold.functions import clock
-from telefold.functions.messages import decode_frames, signal_rows, unreadable_lists
+from telefold.functions.messages import decode_frames, rejected_messages, signal_rows
 from telefold.operators.enrich import device_lookup, lookup_join
 from telefold.operators.grouped import fuse_grouped
 from telefold.operators.mapping import list_targets, read_targets, sized
@@ -26,28 +27,48 @@ FRAME_TRIGGER = "60 seconds"
 SIGNAL_TRIGGER = "5 seconds"
 
 
+#: What is added to a table's path for its rejects.
+REJECTS = "_rejects"
+
+
+def rejects_beside(path: str) -> str:
+    return path.rstrip("/") + REJECTS
+
+
+def _overwrite(df: DataFrame, levels: Sequence[str], path: str) -> None:
+    df.write.partitionBy(*levels).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def batch_writer(
-    fuse: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]], path: str, rejects: str | None = None
+    fuse: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]],
+    path: str,
+    rejects: str | None = None,
+    drop_rejects: bool = False,
+    on_batch: Callable[[int, bool], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: skips empty batches, otherwise writes the fused batch, and its rejects apart.
 
-    The batch is kept while it is read more than once. A column of LAYOUT that ``fuse`` doesn't give is no level.
+    Rejects go to ``rejects``, else beside the table; only ``drop_rejects`` loses them. The batch is kept while it is
+    read more than once. A column of LAYOUT that ``fuse`` doesn't give is no level. ``on_batch`` is told each batch's id
+    and whether it held rows, once they are written and before Spark counts the batch as done; if it raises, the job
+    ends and the batch is run again at the next start.
     """
+    place = rejects or rejects_beside(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():
-                return
-            good, bad = fuse(batch)
-            levels = [c for c in LAYOUT if c in good.columns]
-            good.withColumn("batch_id", F.lit(batch_id)).write.partitionBy(*levels, "batch_id").mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).parquet(path)
-            if rejects is not None and bad is not None:
-                bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            some = not batch.isEmpty()
+            if some:
+                good, bad = fuse(batch)
+                levels = [c for c in LAYOUT if c in good.columns]
+                _overwrite(good.withColumn("batch_id", F.lit(batch_id)), [*levels, "batch_id"], path)
+                if bad is not None and not drop_rejects:
+                    _overwrite(bad.withColumn("batch_id", F.lit(batch_id)), ["batch_id"], place)
         finally:
             batch.unpersist()
+        if on_batch is not None:
+            on_batch(batch_id, some)
 
     return write
 
@@ -71,20 +92,24 @@ def stream_frames(
     every: str | None = FRAME_TRIGGER,
     zone: str | None = None,
     rejects: str | None = None,
+    drop_rejects: bool = False,
+    on_batch: Callable[[int, bool], None] | None = None,
     **options,
 ) -> StreamingQuery:
-    """One message per frame (``value`` column of JSON text). ``every=None`` takes what is there and ends."""
+    """One message per frame (``value`` column of JSON text). ``every=None`` takes what is there and ends, an interval
+    runs until it is stopped. Rejects are rows of ``reject_reason, text, ein, clt_time``."""
     keep_last_key(messages.sparkSession)
     targets = read_targets(mapping)
     lookup = None if devices is None else sized(device_lookup(devices).select("ein", "hos_series", "hos_mat_id"))
 
     def fuse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        frames = decode_frames(batch.select("value"), zone=zone)
-        fused = fuse_table(frames, targets, zone=zone, carry=["corrupt"], **options)
-        good = good_rows(fused).drop("corrupt")
-        return good if lookup is None else lookup_join(good, lookup, "ein"), rejected_rows(fused)
+        frames = decode_frames(batch.select("value", F.col("value").alias("text")), zone=zone)
+        fused = fuse_table(frames, targets, zone=zone, carry=["corrupt", "text"], **options)
+        good = good_rows(fused).drop("corrupt", "text")
+        bad = rejected_rows(fused).select("reject_reason", "text", "ein", "clt_time")
+        return good if lookup is None else lookup_join(good, lookup, "ein"), bad
 
-    return _start(messages, batch_writer(fuse, path, rejects), checkpoint, every)
+    return _start(messages, batch_writer(fuse, path, rejects, drop_rejects, on_batch), checkpoint, every)
 
 
 #: Columns of a fused signal row that come from the mapping or a constant.
@@ -101,12 +126,15 @@ def stream_signals(
     ids: Sequence[str] = ("vin",),
     zone: str | None = None,
     rejects: str | None = None,
+    drop_rejects: bool = False,
+    on_batch: Callable[[int, bool], None] | None = None,
     **constants: str,
 ) -> StreamingQuery:
     """Messages as lists of frames, fused per engine and second inside each batch.
 
     Rows carry ``vin``, ``clt_time``, ``clt_date`` and SIGNAL_IDS, from the mapping's columns of that name, else
-    from ``constants``, else NULL. A text that is no list of messages is a reject.
+    from ``constants``, else NULL. A text that is no list of messages is a reject, and so is each message without an
+    engine's id or a readable time: ``reject_reason, text``.
     """
     keep_last_key(messages.sparkSession)
     targets = list_targets(mapping)
@@ -120,6 +148,6 @@ def stream_signals(
         fixed = {c: F.lit(constants.get(c)).cast("string") for c in SIGNAL_IDS if c not in ids}
         seconds = F.col("clt_timestamp").cast("bigint")
         fixed |= {"clt_time": clock.epoch_text(seconds, zone=zone), "clt_date": clock.epoch_text(seconds, "yyyy-MM-dd", zone)}
-        return fused.withColumns(fixed), unreadable_lists(batch)
+        return fused.withColumns(fixed), rejected_messages(batch.select("value"))
 
-    return _start(messages, batch_writer(fuse, path, rejects), checkpoint, every)
+    return _start(messages, batch_writer(fuse, path, rejects, drop_rejects, on_batch), checkpoint, every)

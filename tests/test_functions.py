@@ -109,6 +109,42 @@ def test_messages(spark):
     assert {r.clt_timestamp for r in rows} == {1700000000, 0}
 
 
+def test_messages_with_any_time(spark):
+    times = {
+        "1700000000999": 1700000000, '"1700000000999"': 1700000000, "-1": -1, "0": 0, "3000000000000": 3000000000, '"x"': None, "null": None,
+        "100000000000000000": None, "-100000000000000000": None, "1e40": None, "99999999999999999999999": None, "253402300800000": None,
+        "253402200000000": 253402200000, "-62135596800000": None, "[1]": None, '{"a":1}': None, "1.5": None, "true": None, '""': None,
+    }
+    item = '{{"ein":"E","uploadTime":{0},"time":{0},"deviceID":"V","items":[],"message":[]}}'
+    texts = spark.createDataFrame([(i, item.format(t)) for i, t in enumerate(times)], "id int, value string")
+    frames = messages.decode_frames(texts, zone="Asia/Shanghai").orderBy("id").collect()
+    assert [r.clt_timestamp for r in frames] == list(times.values())
+    assert all((r.clt_date is None) == (r.clt_timestamp is None) and r.corrupt is None for r in frames)
+    lists = texts.withColumn("value", F.format_string("[%s]", "value"))
+    toward_zero = {k: 0 if k == "-1" else v for k, v in times.items()}
+    got = {r.id: r.clt_timestamp for r in messages.message_frames(lists).collect()}
+    assert got == {i: t for i, t in enumerate(toward_zero.values()) if t is not None}
+    bad = {r.id: r.reject_reason for r in messages.rejected_messages(lists).collect()}
+    assert bad == {i: "no readable time" for i, t in enumerate(times.values()) if t is None}
+
+
+def test_a_bad_member_costs_only_itself(spark):
+    good = '{"ein":"E","time":5,"message":[{"pid":"S","value":"1"}]}'
+    texts = [
+        f"[{good},7]", f'[{good},"x"]', f"[{good},null]", f"[{good},[{good}]]", f'[{good},{{"ein":"","time":5}}]', f'[{good},{{"time":5}}]',
+        f'[{good},{{"ein":"F"}}]', "junk", None, "[]", f"[{good}", good,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    assert sorted(r.id for r in messages.message_frames(df).collect()) == [0, 1, 2, 3, 4, 5, 6, 11]
+    bad = {r.id: (r.reject_reason, r.text) for r in messages.rejected_messages(df).collect()}
+    unreadable = "unreadable message"
+    assert bad == {
+        0: (unreadable, "7"), 1: (unreadable, "x"), 2: (unreadable, f"[{good},null]"), 3: (unreadable, f"[{good}]"),
+        4: ("no engine id", '{"ein":"","time":"5"}'), 5: ("no engine id", '{"time":"5"}'), 6: ("no readable time", '{"ein":"F"}'),
+        7: (unreadable, "junk"), 8: (unreadable, None), 10: (unreadable, f"[{good}"),
+    }
+
+
 def test_feature_text(spark):
     texts = ['{"extend":{"type":"calculate","formula":"{a}"}}', '{"extend":{"type":"other","formula":"{a}"}}', "x", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(messages.feature_formula(F.col("t")))

@@ -6,6 +6,7 @@ import datetime
 import glob
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from telefold.operators import mapping as maps
@@ -194,6 +195,49 @@ def test_a_repeated_batch_is_written_once(spark):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_rejects_are_lost_only_on_purpose(spark):
+    for drop in (False, True):
+        path = work_path(spark, "out")
+        write = jobs.batch_writer(lambda df: (df.where("id < 3"), df.where("id >= 3")), path, drop_rejects=drop)
+        for _ in range(2):
+            write(spark.range(5), 7)
+        assert spark.read.parquet(path).count() == 3
+        if drop:
+            assert not sinks._exists(spark, jobs.rejects_beside(path))
+        else:
+            assert sorted((r.id, r.batch_id) for r in spark.read.parquet(jobs.rejects_beside(path)).collect()) == [(3, 7), (4, 7)]
+
+
+def test_a_batch_that_fails_between_its_writes_is_whole_after_a_restart(spark, compiled):
+    """The rejects' write fails once, when the good rows are written already."""
+    source, path, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
+    lines = [(MESSAGE.format(i),) for i in range(4)] + [("junk",)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(source)
+    failed, seen, write = [], [], jobs._overwrite
+
+    def flaky(df, levels, place):
+        if place.endswith(jobs.REJECTS) and not failed:
+            failed.append(place)
+            raise OSError("no space left")
+        write(df, levels, place)
+
+    jobs._overwrite = flaky
+    try:
+        for _ in range(2):
+            query = jobs.stream_frames(
+                open_files(spark, source), compiled, path, checkpoint, every=None, zone="UTC", on_batch=lambda n, some: seen.append((n, some))
+            )
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                assert spark.read.parquet(path).count() == 4 and seen == []
+    finally:
+        jobs._overwrite = write
+    assert (len(failed), seen) == (1, [(0, True)])
+    assert sorted(r.ein for r in spark.read.parquet(path).collect()) == [f"E{i}" for i in range(4)]
+    assert [(r.text, r.reject_reason) for r in spark.read.parquet(jobs.rejects_beside(path)).collect()] == [("junk", "unreadable message")]
+
+
 def test_grouped_stream_works_inside_a_batch(spark, compiled):
     source, path, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
     text = '[{{"ein":"E","vin":"V","time":1700000000000,"lng":"1","lat":"2","message":[{{"pid":"{0}","value":"{1}"}}]}}]'

@@ -50,6 +50,36 @@ def lookup_join(
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+#: Keys a sketch follows, how many of the most frequent it names at most, and parts for each even share of a heavy key:
+#: several, since parts are dealt by hash and some meet in one task.
+TRACKED_KEYS, NAMED_KEYS, FINER = 10_000, 200, 6
+
+
+def heavy_keys(facts: DataFrame, key: str, parts: int | None = None) -> list[tuple[object, int]]:
+    """Keys with more rows than an even share of ``parts`` (the session's shuffle partitions), and into how many parts
+    each goes: FINER for each share. A sketch of bounded size finds them in one pass over the key's column.
+
+    The sketch's counts are estimates, so a key near the limit may be missed or named; that changes tasks, never rows.
+    """
+    parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = F.expr(f"approx_top_k(`{key}`, {min(NAMED_KEYS, max(parts, 1))}, {TRACKED_KEYS})")
+    rows, found = facts.agg(F.count(F.lit(1)), top).first()
+    share = max(1, rows // parts)
+    return [(x.item, -(-FINER * x["count"] // share)) for x in found or [] if x.item is not None and x["count"] > share]
+
+
+def spread_lookup_join(facts: DataFrame, lookup: DataFrame, key: str, by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Left join to a lookup with one row per key. Only the rows of heavy keys are spread, by a hash of ``by``; only their lookup rows are repeated."""
+    heavy = heavy_keys(facts, key, parts)
+    if not heavy:
+        return lookup_join(facts, lookup, key)
+    ways = F.create_map(*(x for k, n in heavy for x in (F.lit(k).cast(facts.schema[key].dataType), F.lit(n))))
+    split = F.coalesce(F.try_element_at(ways, F.col(key)), F.lit(1))
+    spread = facts.withColumn("_part", F.pmod(F.xxhash64(*by), split).cast("int"))
+    copies = lookup.withColumn("_part", F.explode(F.sequence(F.lit(0), split - 1)))
+    return spread.join(copies, [key, "_part"], "left").drop("_part")
+
+
 def enrich_devices(frames: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
     """Adds ``hos_series`` and ``hos_mat_id`` by ``ein``; NULL for an unknown engine.
 
@@ -101,6 +131,41 @@ def only_keys(df: DataFrame, keys: DataFrame, key: str = "ein") -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
+#: Bits of a key filter for each key, the places each key sets, and the most bits a filter has.
+BITS_PER_KEY, PLACES, MOST_BITS = 10, 3, 1 << 27
+
+
+def _places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(PLACES)]
+
+
+def key_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """A Bloom filter of a key column: one row with ``words array<bigint>``, and its number of bits.
+
+    Bits are set by ``bit_or`` on words of 64, combined before the shuffle; the size follows the number of keys up to
+    MOST_BITS (16 MB), beyond which the filter only lets more through.
+    """
+    count = keys.agg(F.approx_count_distinct(key)).first()[0]
+    bits = min(MOST_BITS, max(64, 1 << (count * BITS_PER_KEY).bit_length()))
+    places = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_places(F.col(key), bits))).alias("at"))
+    words = places.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    dense = keys.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    pairs = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    return written(dense.agg(F.transform(pairs, lambda p: p["bits"]).alias("words")), "filter"), bits
+
+
+def only_keys_filtered(df: DataFrame, keys: DataFrame, key: str = "ein") -> DataFrame:
+    """``only_keys`` for key sets beyond the broadcast limit: a Bloom filter of the keys drops rows where they are read,
+    so those of other keys are hardly shuffled; the join decides on the rest."""
+    words, bits = key_filter(keys, key)
+    held = words.scalar()
+    may = F.lit(True)
+    for at in _places(F.col(key), bits):
+        word = F.get(held, F.floor(at / 64).cast("int"))
+        may = may & (F.call_function("getbit", word, (at % 64).cast("int")) == 1)
+    return only_keys(df.where(may), keys, key)
+
+
 def first_match(df: DataFrame, matches: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
     """Left join to the first matching row by ``order``; several matches do not multiply rows."""
     row = F.struct(F.col(order).alias("_o"), *columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from telefold.functions.clean import starts_with_any
 from telefold.session import written
@@ -35,6 +35,29 @@ def signal_census(
     )
 
 
+def store_census(
+    frames: DataFrame, path: str, first: str, last: str, date: str = "clt_date", codes: str = "codes", prefixes: Sequence[str] = ()
+) -> None:
+    """Counts the codes of the days ``first`` to ``last`` and keeps ``date, pid, ct`` by day under ``path``.
+
+    Days counted before stay as they are unless they are in the range; those are replaced, also by nothing. So a day that
+    comes late or again costs the count of that day, not of all.
+    """
+    from telefold.sinks.tables import reload_between
+
+    days = frames.where(F.col(date).cast("string").between(first, last))
+    counts = signal_census(days, date, codes, prefixes, more_than=0).withColumn(date, F.col(date).cast("string"))
+    reload_between(counts, path, date, first, last)
+
+
+def stored_census(spark: SparkSession, path: str, first: str, last: str, date: str = "clt_date", more_than: int = 100) -> DataFrame:
+    """The census of a span from the stored counts: ``date, pid, ct`` where more than a threshold. Only the span's days
+    are read."""
+    from telefold.sinks.tables import read_partitions
+
+    return read_partitions(spark, path, [date]).where(F.col(date).between(first, last) & (F.col("ct") > more_than)).select(date, "pid", "ct")
+
+
 def distinct_signals(census: DataFrame) -> DataFrame:
     return census.select("pid").distinct()
 

@@ -90,6 +90,25 @@ def reload_days(
     drop_staged(spark, staged)
 
 
+def reload_between(df: DataFrame, path: str, column: str, first: str, last: str) -> None:
+    """Replaces the partitions ``first`` to ``last`` of a table laid out by one column of text; those without rows go."""
+    spark, asked = df.sparkSession, F.col(column).between(first, last)
+    staged = work_path(spark, "staged")
+    df.where(asked).write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    if _exists(spark, path):
+        old = read_partitions(spark, path, [column]).where(asked).select(column).distinct()
+        new = rows.select(column).distinct()
+        _empty_partitions(spark, path, old.join(new, _same_partition(old, new, [column]), "left_anti"), [column])
+    reload_partitions(rows, path, [column], cluster=True)
+    drop_staged(spark, staged)
+
+
+def store_raw(raw: DataFrame, path: str, date: str) -> None:
+    """Raw frames by day: a scan of some days reads only their files. A day written again replaces the former."""
+    reload_partitions(raw, path, [date], cluster=True)
+
+
 def reload_day(df: DataFrame, path: str, data_source: str, data_type: str, day: str) -> None:
     """Replaces one day of one source and type; a day without rows becomes empty."""
     reload_days(df.sparkSession, df, path, day, day, data_source, data_type)

@@ -82,6 +82,12 @@ def frames_slice(raw: DataFrame, start: str, end: str, table: str = "upload") ->
     return _frame(rows, t["time"], t["date"], F.col(t["codes"]), F.col(t["values"]), t["vin"], t["lng"], t["lat"])
 
 
+def frames_of_days(raw: DataFrame, days: DataFrame, date: str = "uploadDate") -> DataFrame:
+    """Raw rows of the days in another table. Where ``raw`` is stored by day and ``days`` can be broadcast, Spark prunes the
+    partitions at run time by the days it finds; a filter on ``days`` makes it worth while."""
+    return raw.join(days.select(F.col(days.columns[0]).alias(date)).distinct(), date, "left_semi")
+
+
 def in_time_order(frames: DataFrame, across: bool = True) -> DataFrame:
     """Frames by engine and time: over the whole table, or inside each partition only."""
     order = ("ein", "clt_timestamp")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .held import held
+from .held import held, tidy
 from .vocab import Remembered, Vocabulary, load, read_tokens
 
 
@@ -133,6 +133,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """Adds ``ids array<int>``: the text's token ids by the vocabulary file at ``path``. Map-only."""
 
     @F.arrow_udf("array<int>")
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path)
         for texts in _slices(batches):
@@ -146,6 +147,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     Special tokens are kept; null ids give the empty text. Map-only."""
 
     @F.arrow_udf("string")
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = _names(path)
         for many in _slices(batches):
@@ -160,6 +162,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", out: str = "coded
     worker and the ids cross to Spark once."""
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, names = _encoder(path), _names(path)
         for texts in _slices(batches):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import named
-from .held import held
+from .held import held, tidy
 from .vocab import Remembered
 
 NONE = -1
@@ -289,6 +289,7 @@ def _listed(found: list[bytes]) -> pa.ListArray:
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids array<int>``: the ids of each match of ``pattern``, by the ranks in the file at ``path``."""
 
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(path, pattern)
         for texts in _slices(batches):
@@ -300,6 +301,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds ``decoded string``: the text of ``ids``; bytes that are no UTF-8 become U+FFFD, null ids the empty text."""
 
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(path, pattern)
         for many in _slices(batches):
@@ -312,6 +314,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", text:
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "coded") -> DataFrame:
     """Adds ``coded struct<ids array<int>, decoded string>``: both of the above in one pass, ids sent to Spark once."""
 
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(path, pattern)
         for texts in _slices(batches):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import aside
-from .held import held
+from .held import held, tidy
 
 BLOCK_WORDS = 200_000  # item words in one automaton
 
@@ -193,6 +193,7 @@ def _hits_arrow(texts: pa.Array, automaton: Automaton) -> pa.Array:
 
 def _finder(block: Broadcast, window: int) -> Callable[[Column], Column]:
     @F.arrow_udf(HITS)
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(block.value, window)
         for texts in batches:

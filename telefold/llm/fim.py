@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import named, unused
-from .held import held
+from .held import held, tidy
 from .vocab import Remembered
 
 UNIT = re.compile("[A-Za-z]+|[^A-Za-z]")
@@ -115,6 +115,7 @@ def _draw(key: Column, seed: int, nth: int) -> Column:
     return F.conv(F.substring(digest, 8 * nth - 7, 8), 16, 10).cast("long")
 
 
+@tidy
 def _cuts(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """A text's units, and the code points before its middle and up to the middle's end."""
     summaries = _summaries()

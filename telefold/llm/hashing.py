@@ -6,6 +6,8 @@ import functools
 
 import numpy as np
 
+from .held import for_task
+
 BASE = np.uint64(0xD6E8FEB86659FD93)
 TABLE = 1 << 20  # powers kept for runs of at most so many bytes; longer runs get their own
 
@@ -27,7 +29,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-@functools.cache
+@for_task
 def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
     return _powers(TABLE)
 

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .columns import aside, named
 from .hashing import Bytes, mix
+from .held import tidy
 
 CHARS_AT_ONCE = 800_000
 FREQUENT = 48  # a bucket of more sets is skipped in rounds 1 and 2
@@ -311,6 +312,7 @@ class Join:
         """(doc, ver, n, node, sketch) of each document; node is null without words."""
         words = self.words
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for rows, texts in _portions(batch):
@@ -341,6 +343,7 @@ class Join:
         words, bands = self.words, self.bands
         shared = self.spark.sparkContext.broadcast(frequent)  # bounded by the sample
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for texts in _texts(batches, cells):
@@ -367,6 +370,7 @@ class Join:
         """Rows of kind ``list`` (members of a bucket) and ``lost`` (node, role, weight lost, weight to spare)."""
         most = self.most
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, nodes = [], []
             for batch in batches:
@@ -392,6 +396,7 @@ class Join:
         sample = self.texts().filter(F.pmod(F.xxhash64("text"), F.lit(docs // SAMPLE_DOCS + 1)) == 0)
         tasks, most = max(1, self.spark.sparkContext.defaultParallelism), self.most
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for batch in batches:
@@ -410,6 +415,7 @@ class Join:
         """(key, node) of all subsets, empty ones too, of the nodes of ``only``."""
         words, bands = self.words, self.bands
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for texts in _texts(batches, cells):
@@ -445,6 +451,7 @@ class Join:
         ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
         docs, cells = self.chosen(nodes.join(ends, "node").select("doc"))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for texts in _texts(batches, cells):
@@ -625,6 +632,7 @@ def _apart(
         "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label", "n", "sketch", "least"
     )
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         given: set[int] = set()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .held import held, only
+from .held import held, only, tidy
 
 SAMPLE_ROWS = 4_000  # labelled rows that training reads at most
 BUCKETS = 1 << 16
@@ -153,6 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     found = texts.join(sample, "k").select("h", "y", "t").orderBy("h", "y", "t").limit(rows)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only(__name__)
         rows = sorted((x["h"], x["y"], x["t"]) for b in batches for x in b.to_pylist())
@@ -173,6 +174,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     shared = docs.sparkSession.sparkContext.broadcast(state)  # one number for each bucket
 
     @F.arrow_udf("double")
+    @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(shared.value)
         for texts in batches:

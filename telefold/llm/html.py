@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 from ..session import written
 from .columns import aside
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*)>""", re.S)
+#: a value in quotes may hold < and >; a quote that no space, slash or end of the tag follows wasn't closed and is a character
+TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?>=\s*(?:"[^"]*"|'[^']*')(?=[\s/>])|[^<>])*+)>""", re.S
+)
 CLASS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+))""", re.I)
 NUMBER = re.compile(r"\d+")
 

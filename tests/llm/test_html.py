@@ -24,6 +24,8 @@ TEXT = "Title <1>\n\nOne two three four.\n\nFive € é"
         (PAGE, TEXT), ("", ""), (None, ""), ("plain", "plain"), ("<p>a", "a"), ("a < b <3", "a < b <3"), ("<!-- x", ""), ("<script>1", ""),
         ("<p>a<b>b</p><li>c", "ab\n\nc"), ('<p title="a>b">q</p>', "q"), ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"),
         ("<article><header><h1>T</h1></header><p>x<aside>no</aside>y</article>", "T\n\nx\n\ny"), ("<header>H</header><p>x</p>", "x"),
+        ('<p data-x="1 < 2">First</p>', "First"), ("<p>x<img alt='a<b>c' src=q>y", "xy"), ('<p a = "<i>" b>z', "z"), ('<p title="x>left open</p><p class="a">b', "left open\n\nb"),
+        ('<a href="x"title="y">no space</a>', "no space"), ("<p class='it\"s'>mixed", "mixed"), ("<p a=b>1 <2 and 3> 2", "1 <2 and 3> 2"), ("<p \"odd>q", "q"),
         ("<form>f</form><main><p>m &AMP; n</p></main>", "m & n"), ("<div>" * 3000 + "deep", "deep"), ("</div></p>x", "x"),
     ],
 )

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .columns import aside, named
-from .hashing import Bytes, mix
+from .hashing import hash_runs, mix
 from .held import tidy
 
 CHARS_AT_ONCE = 800_000
@@ -114,10 +114,10 @@ class Sets:
 def shingle_sets(texts: list[str | None], words: int) -> Sets:
     """Words are runs without ASCII white space, A-Z lower-cased. Fewer than ``words`` of them are one shingle."""
     parts = [t.encode().lower() if t else b"" for t in texts]
-    text = Bytes(b" ".join(parts))
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[text.raw], [True]])))
+    raw = b" ".join(parts)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[np.frombuffer(raw, np.uint8)], [True]])))
     first, end = edges[::2], edges[1::2]
-    word = text.hash(first, end)
+    word = hash_runs(raw, first, end)
     n, k = len(word), words
     of = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), first, "right")
     count = np.bincount(of, minlength=len(texts))

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from telefold.llm import jaccard
+from telefold.llm import hashing, jaccard
 from telefold.llm.shipping import ship
 
 
@@ -137,3 +137,24 @@ def test_one_stays_of_each_component(spark):
     assert kept.columns == docs.columns
     assert sorted([r.doc_id for r in kept.collect()], key=repr) == [1, 2, 4, 5, None, None]
     assert jaccard.one_per_component(docs.limit(0)).collect() == []
+
+
+def test_words_of_two_letters_in_a_self_similar_order(spark):
+    """Such words have one polynomial hash modulo a power of two, whatever its base; their sets stay apart."""
+    one, other = "a", "b"
+    for _ in range(11):
+        one, other = one + other, other + one
+    ship(spark)
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one.upper()), (4, f"{one} x y z w"), (5, f"{other} x y z w")], "doc_id long, text string")
+    got = jaccard.jaccard_components(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 1, 4), (5, 1, 5)]
+
+
+def test_hashes_of_runs():
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("ab\0\xff") for _ in range(rnd.randint(1, 30))).encode() for _ in range(20_000)]
+    size = np.array([len(w) for w in words])
+    start = np.cumsum(size + 1) - size - 1
+    hashes = hashing.hash_runs(b" ".join(words), start, start + size).tolist()
+    assert len(set(hashes)) == len(set(words)) == len(set(zip(words, hashes)))
+    assert len(hashing.hash_runs(b"", start[:0], start[:0])) == 0

@@ -4,15 +4,18 @@ All items go into one generalised suffix automaton over words. A document's word
 automaton keeps the longest run of words, ending here, that some item holds. Runs of at least ``window`` words,
 and whole items that are shorter, are hits.
 
-The items are read in blocks of bounded size, each with an automaton of its own, so neither a task nor the
-driver meets an unbounded automaton. Documents are streamed through each.
+The items are read in blocks of bounded size, each with an automaton of its own. A task holds a portion of its
+documents while the automata pass over it, one after the other, so that it has one of them at a time. The driver
+hands on a bounded number of blocks at once; with more of them the documents go through further rounds, with the hits
+so far written between them. So neither a task nor the driver meets an unbounded automaton.
 """
 
 from __future__ import annotations
 
+import itertools
 import pickle
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +23,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .columns import aside
-from .held import held, tidy
+from .held import held, only, tidy
 
 BLOCK_WORDS = 200_000  # item words in one automaton
+BLOCKS_AT_ONCE = 16  # blocks that the driver hands on together
+PORTION_CHARS = 16_000_000  # text that a task holds while several automata pass over it
 
 #: bytes to word bytes: A-Z lower-cased; every other ASCII character but a-z and 0-9 becomes a space
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -156,29 +162,42 @@ def _automaton(items: bytes, window: int) -> Automaton:
     return Automaton([(item, words_of(text)) for item, text in pickle.loads(items)], window)
 
 
-def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[bytes]:
-    """Items as pickled lists of (id as text, text), each of about ``BLOCK_WORDS`` words."""
+def _blocks(items: DataFrame, item_id: str, text: str) -> tuple[int, Iterator[bytes]]:
+    """How many blocks there are; their items as pickled lists of (id as text, text), each of about ``BLOCK_WORDS``
+    words, read one block at a time."""
     listed = items.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{text}`").alias("t")).filter("id IS NOT NULL AND t IS NOT NULL")
     words = listed.agg(F.sum(F.octet_length("t") / 2 + 1)).first()[0] or 0  # at most so many
     blocks = int(words // BLOCK_WORDS) + 1
-    for b in range(blocks):
+
+    def block(b: int) -> bytes:
         mine = listed.filter(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b) if blocks > 1 else listed
-        yield pickle.dumps(sorted(map(tuple, mine.collect())))
+        return pickle.dumps(sorted(map(tuple, mine.collect())))
+
+    return blocks, map(block, range(blocks))
 
 
 HITS = "struct<n_words:bigint, spans:array<struct<first:int, last:int>>, items:array<string>>"
 
 
-def _hits_arrow(texts: pa.Array, automaton: Automaton) -> pa.Array:
-    counts, offsets, first, last, item_offsets, names = [], [0], [], [], [0], []
+Hits = tuple[int, list[tuple[int, int]], list[str]]
+
+
+def _hits(texts: Iterable[str | None], automaton: Automaton) -> Iterator[Hits]:
+    """Number of words, spans and sorted items of each text."""
     for text in texts:
-        words = words_of(text.as_py())
+        words = words_of(text)
         spans, items = automaton.hits(words)
-        counts.append(len(words))
+        yield len(words), spans, sorted(items)
+
+
+def _hits_arrow(hits: Iterable[Hits]) -> pa.Array:
+    counts, offsets, first, last, item_offsets, names = [], [0], [], [], [0], []
+    for count, spans, items in hits:
+        counts.append(count)
         first += [a for a, _ in spans]
         last += [b - 1 for _, b in spans]
         offsets.append(len(first))
-        names += sorted(items)
+        names += items
         item_offsets.append(len(names))
     span = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(last, pa.int32())], ["first", "last"])
     return pa.StructArray.from_arrays(
@@ -191,13 +210,47 @@ def _hits_arrow(texts: pa.Array, automaton: Automaton) -> pa.Array:
     )
 
 
-def _finder(block: Broadcast, window: int) -> Callable[[Column], Column]:
+def _portions(batches: Iterator[pa.Array]) -> Iterator[list[str | None]]:
+    """Texts of so many batches that a portion is worth the making of the automata."""
+    some, chars = [], 0
+    for texts in batches:
+        for t in texts:
+            some.append(t.as_py())
+            chars += len(some[-1] or "")
+        if chars >= PORTION_CHARS:
+            yield some
+            some, chars = [], 0
+    if some:
+        yield some
+
+
+def _both(x: Hits, y: Hits) -> Hits:
+    return (x[0], _joined(x[1] + y[1]), sorted({*x[2], *y[2]})) if y[1] else x
+
+
+def _finder(blocks: list[Broadcast], window: int) -> Callable[[Column], Column]:
+    """A column of HITS in the items of the blocks."""
+
     @F.arrow_udf(HITS)
     @tidy
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        automaton = _automaton(block.value, window)
-        for texts in batches:
-            yield _hits_arrow(texts, automaton)
+        if len(blocks) == 1:
+            automaton = _automaton(blocks[0].value, window)
+            for texts in batches:
+                yield _hits_arrow(_hits((t.as_py() for t in texts), automaton))
+            return
+        only(__name__)
+        order, now, automaton = list(range(len(blocks))), -1, None
+        for texts in _portions(batches):
+            found: list[Hits] = []
+            for b in order:
+                if b != now:
+                    automaton = None  # one goes before the next is made
+                    now, automaton = b, Automaton([(item, words_of(text)) for item, text in pickle.loads(blocks[b].value)], window)
+                more = _hits(texts, automaton)
+                found = [_both(x, y) for x, y in zip(found, more)] if found else list(more)
+            order.reverse()  # the last one is at hand
+            yield _hits_arrow(found)
 
     return run
 
@@ -212,16 +265,23 @@ def benchmark_hits(
     Null, empty and wordless texts have no words and no hits; items without an id or words are left out; equal
     items each count. Map-only over the documents; a column named like an output is replaced.
     """
-    spark, source, parts = docs.sparkSession, F.col(f"`{text}`"), []
-    for block in _blocks(items, item_id, item_text):
-        parts.append(_finder(spark.sparkContext.broadcast(block), window))  # bounded by BLOCK_WORDS
-    names = [f"__hits{i}" for i in range(len(parts))]
-    for name, run in zip(names, parts):
-        docs = docs.withColumn(name, run(source))
-    one = len(names) == 1
-    spans = F.col("__hits0.spans") if one else _merged(F.array_sort(F.concat(*(F.col(f"{n}.spans") for n in names))))
-    found = F.col("__hits0.items") if one else F.array_sort(F.array_distinct(F.concat(*(F.col(f"{n}.items") for n in names))))
-    docs = docs.withColumns({"n_words": F.col("__hits0.n_words"), "spans": spans, "items": found}).drop(*names)
+    spark, source = docs.sparkSession, F.col(f"`{text}`")
+    count, blocks = _blocks(items, item_id, item_text)
+    for done in range(0, count, BLOCKS_AT_ONCE):
+        sent = [spark.sparkContext.broadcast(b) for b in itertools.islice(blocks, BLOCKS_AT_ONCE)]  # each bounded by BLOCK_WORDS
+        docs = docs.withColumn("__hits", _finder(sent, window)(source))
+        if done:
+            together = F.struct(
+                F.col("__hits.n_words").alias("n_words"),
+                _merged(F.array_sort(F.concat("__before.spans", "__hits.spans"))).alias("spans"),
+                F.array_sort(F.array_union("__before.items", "__hits.items")).alias("items"),
+            )
+            docs = docs.withColumn("__hits", together).drop("__before")
+        if done + BLOCKS_AT_ONCE < count:
+            docs = written(docs, "hits").withColumnRenamed("__hits", "__before")
+            for b in sent:
+                b.destroy()
+    docs = docs.withColumns({c: F.col(f"__hits.{c}") for c in ("n_words", "spans", "items")}).drop("__hits")
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     return docs.withColumn("n_hit", covered)
 

@@ -39,10 +39,13 @@ def test_words():
     assert words_of(None) == words_of("") == words_of("-- !") == []
 
 
-@pytest.mark.parametrize("block_words", [200_000, 20])
-def test_hits_on_spark(spark, monkeypatch, block_words):
+@pytest.mark.parametrize(("block_words", "at_once", "portion"), [(200_000, 16, 1_000), (20, 16, 16_000_000), (20, 16, 50), (10, 2, 50)])
+def test_hits_on_spark(spark, monkeypatch, block_words, at_once, portion):
+    """One block, several of them over one portion and over many, and several rounds."""
     ship(spark)
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", at_once)
+    monkeypatch.setattr(decontaminate, "PORTION_CHARS", portion)
     rnd = random.Random(8)
     items = [(i, " ".join(rnd.choice("abc") for _ in range(rnd.randrange(0, 9)))) for i in range(9)] + [(9, None), (None, "a b"), (10, "!!"), (3, "c c c c")]
     docs = [(i, " ".join(rnd.choice("abcd") for _ in range(rnd.randrange(0, 50)))) for i in range(40)] + [(40, None), (41, ""), (1, "a a a a")]

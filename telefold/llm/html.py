@@ -6,8 +6,9 @@ again from the containers on its host's winning path, or on its own best path wh
 
 A page is cut into blocks: text between block-level tags. Blocks in menus, footers, sidebars, forms and the like,
 by tag or class, belong to no article. A class, id or role marks an element if the whole name is a mark, or marks
-with words of place or form (``top-nav``, ``comment-list``), not if it says more (``has-sidebar``). A mark doesn't
-count around the only articles of a page, nor, on pages without, around most of its text unless it is of comments.
+with words of place or form (``top-nav``, ``comment-list``), not if it says more (``has-sidebar``). Marks of adverts,
+comments and consent count beside any word (``sponsored-content``) but those of a state or a subject
+(``no-comments``, ``tag-sponsors``). A mark doesn't count around the only articles of a page, nor, on pages without, around most of its text unless it is of comments.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 #: names in class, id or role that mark what isn't article
 MARKS = frozenset(
     "ad ads advert advertisement advertising adverts banner sponsor sponsored promo promotion cookie cookies consent notice notices alert popup modal"
-    " comment comments disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside footer masthead"
+    " comment comments disqus reply replies respond responses gdpr nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside footer masthead"
     " share sharing social related recommended newsletter subscribe signup login search toolbar widget skip copyright complementary contentinfo".split()
 )
 #: words that make names with the marks
@@ -54,18 +55,29 @@ FORMS = frozenset(
     " area block container wrapper wrap section region zone slot unit row item items link links button buttons btn icon icons form field input text"
     " title label header message overlay thread body post posts article articles story stories entry entries google div".split()
 )
+#: marks that count beside any word but these
+ALWAYS = frozenset("comment comments disqus advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
+SUBJECT = frozenset("no not non has have with without is are hide show open closed off on enabled disabled allow allowed status category cat tag topic type format js about recipe recipes".split())
+#: names of adverts in one word, and of headers and footers of the whole site
+ADVERT = re.compile(r"(?:google)?ads?(?:box|slot|unit|banner|zone|space|block|frame|container|wrapper|wrap|holder|label)s?")
+SITE = frozenset("site global masthead".split())
 #: marks of what can hold most of a page's text
-SAID = frozenset("comment comments disqus reply replies respond".split())
+SAID = frozenset("comment comments disqus reply replies respond responses".split())
 DEPTH = 100  # deeper containers share a path
 
 
 def marks(names: str) -> set[str]:
-    """The marks that names of a class, id or role hold: names that are marks, or made of marks and FORMS."""
+    """The marks that names of a class, id or role hold: names that are marks, or made of marks and FORMS, or hold
+    one of ALWAYS and none of SUBJECT."""
     found: set[str] = set()
     for name in names.split():
-        words = {w for w in re.split(r"[^a-z]+", name) if w}
+        words = {"ad" if ADVERT.fullmatch(w) else w for w in re.split(r"[^a-z]+", name) if w}
         if words & MARKS and words <= MARKS | FORMS:
             found |= words & MARKS
+        elif not words & SUBJECT:
+            found |= words & ALWAYS
+        if words & SITE and "header" in words and words <= MARKS | FORMS:
+            found.add("masthead")
     return found
 
 

@@ -61,7 +61,8 @@ def test_whole_articles(inner, outer):
 
 @pytest.mark.parametrize(
     "wrapper",
-    ['div class="content has-sidebar"', 'div id="page" class="with-sidebar"', 'div class="post no-comments"', 'div class="social-science"', 'div class="banner"', 'div id="search"', 'section class="main-sidebar"'],
+    ['div class="content has-sidebar"', 'div id="page" class="with-sidebar"', 'div class="post no-comments"', 'div class="social-science"', 'div class="banner"', 'div id="search"', 'section class="main-sidebar"',
+     'div class="post comments-open"', 'div class="post category-sponsored tag-cookies"', 'div class="cookie-recipes"', 'div class="site-header"', 'div class="address-book adapter"'],
 )
 @pytest.mark.parametrize("article", ["article", "div"])
 def test_wrappers_with_marks_in_their_names(wrapper, article):
@@ -74,9 +75,9 @@ def test_wrappers_with_marks_in_their_names(wrapper, article):
 
 def test_marks_that_count():
     page = "<body><div class='post'><p>Short story.</p></div>{}</body>"
-    for name in ("comments", "comment-list", "comments-7", "post-comments", "replies"):
+    for name in ("comments", "comment-list", "comments-7", "post-comments", "replies", "user-comment", "responses", "reader-comments-2"):
         assert html.extract(page.format(f"<div id='{name}'><p>{LONG}</p></div>"), None) == "Short story."
-    for name in ("ad", "ad-box", "site-footer", "sidebar_2", "wide nav", "related-posts", "cookie-notice"):
+    for name in ("ad", "ad-box", "site-footer", "sidebar_2", "wide nav", "related-posts", "cookie-notice", "sponsored-content", "cookie-law", "adbox", "site-header", "google_ads AdSlot-3"):
         assert html.extract(page.format(f"<div class='{name}'><p>no</p></div>").replace("div class='post'", "article").replace("</p></div>", "</p></article>", 1), None) == "Short story."
     assert html.extract("<body><article><p>a</p></article><div id='comments'><article>" + LONG + "</article></div></body>", None) == "a"
 

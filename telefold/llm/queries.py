@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, byte_bpe, decontaminate, fim, html, jaccard, lines, merkle, quality, repeats, secrets, token_count
+from . import ann, bpe, byte_bpe, decontaminate, fim, html, jaccard, lines, merkle, quality, repeats, secret_forms, secrets, token_count
 from ..session import written
 from .shipping import ship
 
@@ -84,7 +84,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = written(secrets.findings(docs), "findings")
     labelled = found.withColumn("label", secrets.rule_label(F.col("run"), F.col("before")))
-    forest = secrets.train(labelled, path="source")
+    forest = secrets.train(labelled, path="source", always=secret_forms.known_findings(spark))
     scored = secrets.score(found, forest, path="source")
     return scored.select(
         "doc_id",

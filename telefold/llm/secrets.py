@@ -2,9 +2,9 @@
 
 A finding is a value after a secret's name and an assignment sign, whatever its length and signs, or a run of at
 least 12 letters, digits and +/_.- with a digit in it, which neither begins nor ends with a dot. Its features are its length, its character
-classes and the transitions between them, how much of it the neighbourhood's own words cover (a dictionary of
-bounded size), the path it was found under and the words around it. A forest is trained on labelled findings, a
-bounded sample; the scan itself is map-only.
+classes and the transitions between them, also those between letters that words have, how much of it the
+neighbourhood's own words cover (a dictionary of bounded size), the path it was found under and the words around it.
+A forest is trained on labelled findings, a bounded sample; the scan itself is map-only.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from .columns import aside
 SAMPLE_ROWS = 5_000  # labelled findings that training reads at most
 DICTIONARY = 500  # words around labelled findings that coverage looks for
 NEIGHBOURS = 100  # words before labelled findings that are told apart
-TREES, DEPTH, SEED = 20, 6, 17
+PAIRS = 150  # letter pairs of the words around labelled findings, the most frequent ones
+TREES, DEPTH, SEED = 40, 8, 17
 
-NUMBERS = ["length", "digits", "upper", "lower", "signs", "changes", "distinct", "hex", "covered", "tested", "named", "assigned", "quoted"]
+NUMBERS = ["length", "digits", "upper", "lower", "signs", "changes", "distinct", "hex", "covered", "spoken", "tested", "named", "assigned", "quoted"]
 
 #: fixed values: words of a path that hold examples, and names under which secrets are kept
 EXAMPLE_PATH = "(?i)(test|example|sample|fixture|mock|doc)"
@@ -68,12 +69,16 @@ def _share(run: Column, kind: str) -> Column:
     return F.char_length(F.regexp_replace(run, f"[^{kind}]" if kind[0] != "^" else f"[{kind[1:]}]", "")) / F.char_length(run)
 
 
-def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, float], path: str | None = None) -> DataFrame:
+def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, float], pairs: list[str], path: str | None = None) -> DataFrame:
     """Adds the features NUMBERS and ``neighbour``. A null path has no words."""
     run, before = F.col("run"), F.col("before")
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(run, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     kept = F.filter(F.lit(dictionary).cast("array<string>"), lambda w: F.contains(F.lower(run), w))
     covered = F.aggregate(kept, F.lit(0), lambda n, w: n + F.char_length(w)) / F.char_length(run)
+    letters = F.split(F.lower(run), "")
+    n = F.greatest(F.size(letters) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(letters, F.lit(1), n), F.slice(letters, F.lit(2), n), lambda a, b: F.concat(a, b))
+    spoken = F.size(F.filter(steps, lambda pair: F.array_contains(F.lit(pairs).cast("array<string>"), pair)))
     where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
     known = F.create_map(*(F.lit(x) for item in neighbours.items() for x in item)) if neighbours else None
     return found.withColumns({
@@ -87,6 +92,7 @@ def features(found: DataFrame, dictionary: list[str], neighbours: dict[str, floa
         "distinct": F.size(F.array_distinct(F.split(run, ""))) / F.char_length(run),
         "hex": run.rlike("^[0-9a-f]+$").cast("double"),
         "covered": F.least(covered, F.lit(1.0)),
+        "spoken": spoken / F.greatest(n, F.lit(1)),
         "tested": where.rlike(EXAMPLE_PATH).cast("double"),
         "named": before.rlike(SECRET_NAME + "[^\\n]{0,6}$").cast("double"),
         "assigned": before.rlike("[:=]>?\\s*[\"'`]?$").cast("double"),
@@ -103,28 +109,34 @@ def word_before(before: Column) -> Column:
 class Forest:
     """A trained forest with the words its features need."""
 
-    def __init__(self, dictionary: list[str], neighbours: dict[str, float], model: RandomForestClassificationModel | None, share: float):
-        self.dictionary, self.neighbours, self.model, self.share = dictionary, neighbours, model, share
+    def __init__(self, dictionary: list[str], neighbours: dict[str, float], pairs: list[str], model: RandomForestClassificationModel | None, share: float):
+        self.dictionary, self.neighbours, self.pairs, self.model, self.share = dictionary, neighbours, pairs, model, share
 
 
-def train(labelled: DataFrame, label: str = "label", path: str | None = None, rows: int = SAMPLE_ROWS) -> Forest:
-    """Fits on the ``rows`` findings of smallest hash whose ``label`` is 0 or 1. If all have one label, every score is
-    their share of ones; without any it is a half."""
+def train(labelled: DataFrame, label: str = "label", path: str | None = None, rows: int = SAMPLE_ROWS, always: DataFrame | None = None) -> Forest:
+    """Fits on the ``rows`` findings of smallest hash whose ``label`` is 0 or 1, and on all of ``always``, a bounded
+    set that may lack the path. If all have one label, every score is their share of ones; without any it is a half."""
     y = F.col(f"`{label}`")
     key = F.xxhash64("run", "before", "after")
     sample = labelled.filter(y.isin(0, 1)).withColumn("__y", y.cast("double")).withColumn("__h", key).orderBy("__h", "run", "before", "after", "__y", "nth").limit(rows)
+    if always is not None:
+        named = ["run", "before", "after", "__y", *([path] if path else [])]
+        more = always.withColumn("__y", F.col(f"`{label}`").cast("double"))
+        sample = sample.select(*(F.col(f"`{c}`") for c in named)).unionByName(more.select(*(F.col(f"`{c}`") for c in named if c in more.columns)), allowMissingColumns=True)
     sample = written(sample.coalesce(1), "findings")
     n, ones = sample.agg(F.count(F.lit(1)), F.sum("__y")).first()
     around = sample.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"\P{L}+")).alias("w")).filter("char_length(w) >= 4")
     dictionary = [r["w"] for r in around.groupBy("w").count().orderBy(F.desc("count"), "w").limit(DICTIONARY).collect()]
+    steps = F.regexp_extract_all("w", F.lit("(?=([a-z]{2}))"), F.lit(1))
+    pairs = [r["p"] for r in around.select(F.explode(steps).alias("p")).groupBy("p").count().orderBy(F.desc("count"), "p").limit(PAIRS).collect()]
     words = sample.groupBy(word_before(F.col("before")).alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("ones"))
     words = words.filter("n >= 5").orderBy(F.desc("n"), "w").limit(NEIGHBOURS).collect()
     neighbours = {r["w"]: (r["ones"] + 1) / (r["n"] + 2) for r in words}
     if not n or ones in (0, n):
-        return Forest(dictionary, neighbours, None, ones / n if n else 0.5)
+        return Forest(dictionary, neighbours, pairs, None, ones / n if n else 0.5)
     assembler = VectorAssembler(inputCols=[*NUMBERS, "neighbour"], outputCol="__x")
     forest = RandomForestClassifier(featuresCol="__x", labelCol="__y", numTrees=TREES, maxDepth=DEPTH, seed=SEED, probabilityCol="__p", predictionCol="__c", rawPredictionCol="__r")
-    return Forest(dictionary, neighbours, forest.fit(assembler.transform(features(sample, dictionary, neighbours, path))), ones / n)
+    return Forest(dictionary, neighbours, pairs, forest.fit(assembler.transform(features(sample, dictionary, neighbours, pairs, path))), ones / n)
 
 
 def score(found: DataFrame, forest: Forest, path: str | None = None) -> DataFrame:
@@ -133,7 +145,7 @@ def score(found: DataFrame, forest: Forest, path: str | None = None) -> DataFram
         return found.withColumn("score", F.lit(float(forest.share)))
     made = [*NUMBERS, "neighbour"]
     inner = found.select(F.struct(*(F.col(f"`{c}`") for c in found.columns)).alias("__row"), "run", "before", *([F.col(f"`{path}`").alias("__path")] if path else []))
-    inner = features(inner, forest.dictionary, forest.neighbours, "__path" if path else None)
+    inner = features(inner, forest.dictionary, forest.neighbours, forest.pairs, "__path" if path else None)
     scored = forest.model.transform(VectorAssembler(inputCols=made, outputCol="__x").transform(inner))
     return scored.select("__row.*", vector_to_array("__p")[1].alias("score"))
 

@@ -62,10 +62,40 @@ def test_few_vectors(spark):
     assert ann.nearest(table, table.limit(0), 5).collect() == []
 
 
-def test_the_walk_visits_every_leaf_once():
+def test_leaves_with_trees_of_their_own(spark, rows):
+    """A small upper tree, so that most leaves are split; every vector is still in one leaf."""
+    ship(spark)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    found = ann.nearest(table, table.filter("vec_id % 50 = 0"), 5, leaf_rows=50, max_leaves=12, split_rows=100)
+    got: dict = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    single = [(i, np.array(v, np.float32).tolist() if v and None not in v else v) for i, v in rows]
+    want = plain(single, {i for i, _ in rows if i is not None and i % 50 == 0}, 5)
+    assert got.keys() == want.keys() and all(len(x) == 5 for x in got.values())
+    assert sum(len(got[q] & {i for i, _ in near}) for q, near in want.items()) >= 0.9 * 5 * len(want)
+
+
+def test_the_walk_visits_every_leaf_once_nearest_first():
     rng = np.random.default_rng(3)
     sample = ann.unit(rng.standard_normal((2000, 8)))
-    tree = ann.Tree(sample, 0.02)
+    tree = ann.Tree(sample, 2000, leaf_rows=40)
     leaves = {i for i, below in enumerate(tree.children) if not below}
-    assert sorted(tree.leaves_by_nearness(sample[0])) == sorted(leaves)
+    assert len(leaves) > 30
+    walk = list(tree.leaves_by_nearness(sample[0]))
+    assert sorted(walk) == sorted(leaves)
+    near = sample[0] @ tree.centres[walk].T
+    assert (np.diff(near) <= 1e-9).all()
     assert set(tree.assign(sample).tolist()) <= leaves
+
+
+def test_visits_are_the_leaves_within_the_angle():
+    rng = np.random.default_rng(4)
+    sample = ann.unit(rng.standard_normal((2000, 8)))
+    tree = ann.Tree(sample, 2000, leaf_rows=20)
+    leaves = np.array([i for i, below in enumerate(tree.children) if not below])
+    tree.least = 2
+    for vector, seen in zip(sample[:50], tree.visits(sample[:50], 0.6)):
+        apart = np.arccos(np.clip(tree.centres[leaves] @ vector, -1, 1))
+        near = set(leaves[apart <= 0.6].tolist())
+        assert set(seen) == near or (len(near) < 2 and len(seen) == 2 and near <= set(seen))

@@ -3,8 +3,10 @@
 Each line becomes two hashes of its key (the line without white space at both ends, A-Z lower-cased). They
 are written once, then range-partitioned together with the document and sorted by text and position too, so
 equal keys lie side by side and a key that a third of all lines share still spreads over many tasks. From that
-order come the number of documents per key and its first occurrence. What goes back to a document is a bitmap of the lines it loses:
-64 lines to a word, words without a bit left out. Text is read again only to apply it.
+order come the number of documents per key and its first occurrence. Lines find a key of more than a thousandth of all lines,
+of which there are under a thousand, without a shuffle; the others meet theirs by a join, no key of which is large. What goes
+back to a document is a bitmap of the lines it loses: 64 lines to a word, words without a bit left out. Text is read again only to
+apply it.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .columns import aside
 
+HOT_KEYS = 1_000  # a key of more than this part of all lines is hot, so fewer than so many are
 BLANK = " \t\n\x0b\f\r"  # fixed values: U+0020 and U+0009 to U+000D
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,13 +55,17 @@ def dropped_lines(
     lines = written(_occurrences(docs, min_chars, doc_id, text), "lines")
     ordered = lines.repartitionByRange("a", "b", "doc").sortWithinPartitions("a", "b", "doc", "ver", "pos")
     # equal keys of a document lie side by side, so this needs no shuffle of its own
-    by_doc = ordered.groupBy("a", "b", "doc").agg(F.min(F.struct("ver", "pos")).alias("first"))
-    frequent = (
+    by_doc = ordered.groupBy("a", "b", "doc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ver", "pos")).alias("first"))
+    frequent = written(
         by_doc.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc", "first")).alias("kept"))
-        .filter(F.col("docs") >= min_docs)
+        .agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n"), F.min(F.struct("doc", "first")).alias("kept"))
+        .filter(F.col("docs") >= min_docs),
+        "frequent",
     )
-    lost = lines.join(frequent, ["a", "b"])
+    is_hot = F.col("n") * HOT_KEYS > lines.count()
+    hot = F.broadcast(frequent.filter(is_hot))  # fewer than HOT_KEYS rows
+    others = lines.join(hot, ["a", "b"], "left_anti").join(frequent.filter(~is_hot), ["a", "b"])
+    lost = lines.join(hot, ["a", "b"]).union(others)
     if keep_first:
         stays = F.col("doc").eqNullSafe(F.col("kept.doc")) & (F.struct("ver", "pos") == F.col("kept.first"))
         lost = lost.filter(~stays)

@@ -34,8 +34,10 @@ def plain(rows, min_docs, keep_first=False):
     return sorted(out, key=repr)
 
 
+@pytest.mark.parametrize("hot_keys", [1_000, 4])  # all frequent keys are hot; some are
 @pytest.mark.parametrize("keep_first", [False, True])
-def test_against_plain_python(spark, keep_first):
+def test_against_plain_python(spark, keep_first, hot_keys, monkeypatch):
+    monkeypatch.setattr(lines, "HOT_KEYS", hot_keys)
     rnd = random.Random(4)
     pool = ["Hot line", " hot LINE\t", "", "a", "A ", "É", "é", "x\r", "\x0bb", "long " * 200]
     rows = [(0, None), (1, ""), (2, "\n\n"), (3, "a\n" * 300 + "Hot line")]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telefold.functions.signals import sent_number
-from telefold.operators.fusion import sent_key, with_signals
+from telefold.operators.fusion import sent_at, with_signals
 from telefold.operators.mapping import Target, read_targets
 from telefold.session import keep_last_key
 
@@ -74,11 +74,11 @@ def value_checks(
     )
     kept = [c for c in sides.columns if c not in ("codes", "vals")]
     keyed = with_signals(sides, kept, targets, "codes", "vals")
-    checks = []
+    sent, checks = sent_at(targets), []
     for t in targets:
         check = None
         for s in t.signals:
-            field = F.col("_signals").getItem(sent_key(s.code))
+            field = F.expr(sent[s.code])
             factor = 1.0 if s.factor is None else s.factor
             read, made = sent_number(field), F.col(f"`{t.name}`")
             row = F.struct(

@@ -232,3 +232,29 @@ def test_formula_must_read_known_targets(frames, spark):
     compiled = maps.compile_mapping(spark.createDataFrame(rows, ddl), "id")
     with pytest.raises(ValueError, match="nope"):
         fusion.fuse_frames(frames, compiled, formulas=True)
+
+
+def test_many_codes_are_placed_without_json(spark):
+    """Seventy codes: repeated ones, lists that are NULL, empty or of unequal length, NULL codes and values, texts that
+    the JVM would take for numbers; each of them as the frame's map would give it."""
+    rows = [(f"t{i}", "m", f"c{i}", "m", i) for i in range(68)] + [("blank", "m", "", "m", 68), ("word", None, "w", None, 69)]
+    compiled = maps.compile_mapping(
+        spark.createDataFrame(rows, "target_name string, target_unit string, signal_name string, signal_unit string, id int"), "id"
+    )
+    sent = spark.createDataFrame(
+        [
+            (1, ["c3", "x", "c67", "c3"], ["1", "2", "7.5", "4"]),
+            (2, None, ["1"]),
+            (3, [], []),
+            (4, ["c1", "c2", "w"], ["5", None]),
+            (5, [None, "w", "c0"], ["8", "#12f", "20d"]),
+            (6, ["w", "c5"], ["7d", " 3 "]),
+        ],
+        "id int, codes array<string>, vals array<string>",
+    )
+    for duplicates, third in (("last", 4.0), ("first", 1.0)):
+        fused = fusion.fuse_frames(sent, compiled, duplicates=duplicates)
+        got = {r.id: {k: v for k, v in r.asDict().items() if v is not None and k != "id"} for r in fused.collect()}
+        assert got == {1: {"t3": third, "t67": 7.5}, 2: {}, 3: {}, 4: {"t1": 5.0}, 5: {"blank": 8.0, "word": "#12f"}, 6: {"word": "7d", "t5": 3.0}}
+        plan = fused.where("t3 > 1 AND t5 > 2 AND t67 > 3")._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan and plan.count("place(") == 1

@@ -38,6 +38,23 @@ def signal_map(codes: Column, values: Column, first: bool = False) -> Column:
     )
 
 
+def plain_map(codes: Column, values: Column, first: bool = False) -> Column:
+    """``signal_map`` with the values as they were sent, NULL included (``kept_value`` gives their kept form). Codes go through
+    a lambda, which isn't compiled, only in a frame that has a NULL or empty one."""
+    c, v = paired(codes.cast("array<string>"), values)
+    if first:
+        c, v = F.reverse(c), F.reverse(v)
+    # NULL, not false, if a code is NULL
+    clean = F.coalesce(~F.array_contains(c, ""), F.lit(False))
+    return F.map_from_arrays(F.when(clean, c).otherwise(F.transform(c, lambda x: F.coalesce(x, F.lit("")))), v)
+
+
+def kept_value(value: Column, sent_null: Column) -> Column:
+    """What ``signal_map`` keeps of a value that was looked up in a ``plain_map``; NULL is one that wasn't sent, or ``sent_null``."""
+    marked = java_suffix(value) | value.startswith(TEXT_MARK)
+    return F.when(value.isNotNull(), F.when(marked, F.concat(F.lit(TEXT_MARK), value)).otherwise(value)).when(sent_null, SENT_NULL)
+
+
 def placer(wanted: Sequence[str], first: bool = False) -> Callable[[Column, Column], Column]:
     """Makes of both lists one that holds what was sent of each wanted code, in their order and as ``signal_map`` keeps it,
     or NULL. It works over Arrow batches, where each code sent is looked up once by a hash."""

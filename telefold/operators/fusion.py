@@ -13,7 +13,9 @@ from telefold.functions.clean import BAD_NUMBER, series_base
 from telefold.functions.formula import formula_value, operands
 from telefold.functions.signals import (
     SENT_NULL,
+    kept_value,
     placer,
+    plain_map,
     quoted,
     sent_number_sql,
     sent_text,
@@ -29,6 +31,10 @@ INF = float("inf")
 #: Up to that many codes, looking each one up in the map is cheaper than placing all of them.
 LOOKED_UP = 64
 
+#: Up to that many codes, each one is looked up once, in compiled projections, and read by its place. More would make a
+#: method that the JVM doesn't compile.
+COMPILED = 8
+
 #: Beyond that many codes they are placed over Arrow batches, in Python workers; up to it by reading the map as JSON. Where
 #: executors have no pyarrow it can be raised.
 READ_AS_JSON = 64
@@ -46,10 +52,14 @@ def _batched(wanted: list[str]) -> bool:
     return len(wanted) > max(LOOKED_UP, READ_AS_JSON)
 
 
+def _compiled(wanted: list[str]) -> bool:
+    return len(wanted) <= min(LOOKED_UP, COMPILED)
+
+
 def sent_at(targets: list[Target]) -> dict[str, str]:
     """For each code that targets read, the SQL expression of what was sent of it, or NULL, over ``with_signals``."""
     wanted = _wanted(targets)
-    if _batched(wanted):
+    if _batched(wanted) or _compiled(wanted):
         return {c: f"_signals[{i}]" for i, c in enumerate(wanted)}
     return {c: f"_signals[{quoted(sent_key(c))}]" for c in wanted}
 
@@ -57,10 +67,10 @@ def sent_at(targets: list[Target]) -> dict[str, str]:
 def with_signals(frames: DataFrame, kept: list, targets: list[Target], codes: str, values: str, first: bool = False) -> DataFrame:
     """The ``kept`` columns and ``_signals``, which ``sent_at`` reads.
 
-    Few codes are looked up in the frame's map, which scans it; more are placed once into a struct with
-    one field per code, by reading the map as JSON under that schema. Keys and fields are the codes'
-    bytes in hexadecimal, so both tell codes apart that differ only in case. Many are placed into a list
-    with one place per code, batch by batch of frames (``signals.placer``), without a map or JSON text.
+    Very few codes are looked up once each in the frame's map and placed into a list with one place per code, in
+    projections that Spark compiles. A few more are looked up wherever they are read, which scans the map; more are
+    placed once into a struct with one field per code, by reading the map as JSON under that schema. Keys and fields are the codes' bytes in hexadecimal, so both tell codes apart that differ only in case.
+    Many are placed into a list batch by batch of frames (``signals.placer``), without a map or JSON text.
 
     The column goes through a one-element generator. A filter or a second use of a target above it then
     reads the finished column; through a plain projection the optimizer would copy the whole re-keying
@@ -69,6 +79,15 @@ def with_signals(frames: DataFrame, kept: list, targets: list[Target], codes: st
     wanted = _wanted(targets)
     if _batched(wanted):
         sent = placer(wanted, first)(F.col(codes).cast("array<string>"), F.col(values).cast("array<string>"))
+    elif _compiled(wanted):
+        frames = frames.select(*kept, plain_map(F.col(codes), F.col(values), first).alias("_signals_map"))
+        kept, found = frames.columns[:-1], F.col("_signals_map")
+        looked_up = [F.element_at(found, F.lit(c)).alias(f"_signals_{i}") for i, c in enumerate(wanted)]
+        # the lambda keeps this projection out of the compiled method of those above it, which must stay short
+        frames = frames.select(*kept, *looked_up, F.map_filter(found, lambda _, value: value.isNull()).alias("_signals_null"))
+        places = [kept_value(F.col(f"_signals_{i}"), F.map_contains_key("_signals_null", F.lit(c))) for i, c in enumerate(wanted)]
+        frames = frames.select(*kept, F.array(*places).cast("array<string>").alias("_signals_placed"))
+        sent = F.col("_signals_placed")
     else:
         sent = F.transform_keys(signal_map(F.col(codes), F.col(values), first), lambda code, _: F.hex(code))
         if len(wanted) > LOOKED_UP:

@@ -124,6 +124,32 @@ def test_filter_on_a_target_does_not_copy_the_rekeying(frames, compiled, monkeyp
     assert plan.count("map_from_arrays") == 1 and plan.count("from_json") == 1
 
 
+def test_few_codes_are_looked_up_once_and_no_lambda_makes_keys(frames, compiled):
+    plan = fusion.fuse_frames(frames, maps.read_targets(compiled))._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform_keys" not in plan and plan.count("map_from_arrays") == 1 and plan.count("element_at") == 4
+
+
+@pytest.mark.parametrize("duplicates", ["first", "last"])
+@pytest.mark.parametrize("rule", list(EXPECTED))
+def test_places_of_few_codes_hold_what_the_map_does(spark, compiled, rule, duplicates, monkeypatch):
+    codes, values = (None, "", "S1", "S2", "S3", "s1"), (None, "", "1", "2d", "#3", "#", "\u0000", "x")
+    dealt = random.Random(7)
+    rows = [(i, [dealt.choice(codes) for _ in range(dealt.randrange(6))], [dealt.choice(values) for _ in range(dealt.randrange(6))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, codes array<string>, vals array<string>")
+    placed, looked_up = [], []
+    for most, found in ((fusion.COMPILED, placed), (0, looked_up)):
+        monkeypatch.setattr(fusion, "COMPILED", most)
+        found += sorted(fusion.fuse_frames(df, compiled, rule, duplicates=duplicates).collect())
+    assert placed == looked_up and len(placed) == 300
+
+
+def test_code_that_is_empty_is_sent_by_null(spark):
+    rows = [("t", None, "", "-", None, None, None, 1)]
+    targets = maps.read_targets(maps.compile_mapping(spark.createDataFrame(rows, MAPPING_DDL), "id"))
+    df = spark.createDataFrame([([None, "a"], ["1", "2"]), (["a", ""], ["1", "2"])], "codes array<string>, vals array<string>")
+    assert sorted(r.t for r in fusion.fuse_frames(df, targets).collect()) == ["1", "2"]
+
+
 def _filtered_plan(frames, compiled):
     fused = fusion.fuse_frames(frames, maps.read_targets(compiled)).where("t > 1 and w is null")
     return fused._jdf.queryExecution().executedPlan().toString()

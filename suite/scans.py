@@ -281,7 +281,7 @@ def frame_messages(spark, sf_dir, *kept):
         F.col("event_type").alias("signalname"), F.lit("n").alias("name"), text("value").alias("value")
     )
     other = F.struct(F.lit("ID").alias("signalname"), F.lit("i").alias("name"), text("event_id").alias("value"))
-    seconds = clock.text_epoch(F.date_format("ts", clock.WALL_FORMAT), zone="UTC")
+    seconds = clock.stamp_epoch(F.col("ts"))
     message = F.struct(
         F.concat(F.lit("0"), text("user_id")).alias("ein"),
         (seconds * 1000 + 250).alias("uploadTime"),
@@ -315,7 +315,7 @@ def signal_messages(spark, sf_dir):
     """Events as JSON lists of the second flavour: one message of two signals, no altitude."""
     pair = F.struct(F.col("event_type").alias("pid"), text("value").alias("value"))
     other = F.struct(F.lit("ID").alias("pid"), text("event_id").alias("value"))
-    seconds = clock.text_epoch(F.date_format("ts", clock.WALL_FORMAT), zone="UTC")
+    seconds = clock.stamp_epoch(F.col("ts"))
     message = F.struct(
         text("user_id").alias("ein"),
         F.concat(F.lit("V"), text("event_id")).alias("vin"),

@@ -25,7 +25,8 @@ def _span(seconds: Column) -> Column:
 
 def wall_clock(seconds: Column, zone: str) -> Column:
     """Epoch seconds as the wall clock of a zone."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _zero() + _span(seconds))
+    utc = _zero() + _span(seconds)
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def epoch_text(seconds: Column, fmt: str = WALL_FORMAT, zone: str | None = None) -> Column:
@@ -37,10 +38,17 @@ def epoch_text(seconds: Column, fmt: str = WALL_FORMAT, zone: str | None = None)
 def text_epoch(text: Column, fmt: str = WALL_FORMAT, zone: str | None = None) -> Column:
     if zone is None:
         return F.unix_timestamp(text, fmt)
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.to_timestamp_ntz(text, F.lit(fmt)))
+    wall = F.to_timestamp_ntz(text, F.lit(fmt))
+    utc = wall if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
     return (utc - _zero()).cast("interval second").cast("bigint")
 
 
+def stamp_epoch(stamp: Column) -> Column:
+    """The whole seconds of a wall clock of UTC as ``text_epoch`` has them, without a text in between."""
+    since = (stamp.cast("timestamp_ntz") - _zero()).cast("interval second")
+    return F.floor(since.cast("decimal(18,6)")).cast("bigint")
+
+
 def millis_to_seconds(millis: Column) -> Column:
     """Truncates toward zero."""
     return ((millis - millis % 1000) / 1000).cast("bigint")

@@ -73,13 +73,25 @@ def _reason(member: Column) -> Column:
     )
 
 
-def message_frames(df: DataFrame, text: str = "value") -> DataFrame:
-    """A JSON list of messages, one frame per member, position kept as plain columns. Members without an engine's id or a
-    readable time aren't frames; ``rejected_messages`` has them."""
+def read_members(df: DataFrame, text: str = "value") -> DataFrame:
+    """The members of each text's list, one row each, with ``_place`` in the list, ``_reason`` why it can't be a frame (NULL if
+    it can) and ``_rejected``, its text if it can't. An empty list is a row without a place. ``frames_of`` and ``rejects_of``
+    divide them."""
     kept = [c for c in df.columns if c != text]
-    d = F.col("_d")
-    return df.select(*kept, F.explode(_members(F.col(text))).alias("_d")).where(_reason(d).isNull()).select(
+    members, d = F.col("_members"), F.col("_d")
+    # a text that is no list is one NULL member
+    one = F.array(F.lit(None).cast(MEMBER_SCHEMA))
+    # only such a member has no text of its own; a text is not copied beside each member of its list
+    needed = members.isNull() | F.exists(members, lambda m: m.isNull())
+    lists = df.select(*kept, F.col(text).alias("_text"), _members(F.col(text)).alias("_members"))
+    each = lists.select(*kept, F.when(needed, F.col("_text")).alias("_text"), F.posexplode_outer(F.coalesce(members, one)).alias("_place", "_d"))
+    marked = each.withColumn("_reason", F.when(F.col("_place").isNotNull(), _reason(d)))
+    own = F.coalesce(F.col("_d._corrupt"), F.to_json("_d"), F.col("_text"))
+    return marked.select(
         *kept,
+        "_place",
+        "_reason",
+        F.when(F.col("_reason").isNotNull(), own).alias("_rejected"),
         d.ein.alias("ein"),
         d.vin.alias("vin"),
         _seconds(d).alias("clt_timestamp"),
@@ -90,40 +102,43 @@ def message_frames(df: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def frames_of(members: DataFrame) -> DataFrame:
+    """The members that are frames."""
+    good = F.col("_place").isNotNull() & F.col("_reason").isNull()
+    return members.where(good).drop("_place", "_reason", "_rejected")
+
+
+def rejects_of(members: DataFrame, *kept: str) -> DataFrame:
+    """The members that aren't, as ``text`` and ``reject_reason``."""
+    bad = members.where(F.col("_reason").isNotNull())
+    return bad.select(*kept, F.col("_rejected").alias("text"), F.col("_reason").alias("reject_reason"))
+
+
+def message_frames(df: DataFrame, text: str = "value") -> DataFrame:
+    """A JSON list of messages, one frame per member, position kept as plain columns. Members without an engine's id or a
+    readable time aren't frames; ``rejected_messages`` has them."""
+    return frames_of(read_members(df, text))
+
+
 def signal_rows(df: DataFrame, text: str = "value") -> DataFrame:
     """Tall form: the position as pseudo-signals ``lng, lat, high``, then every signal sent.
 
     ``pos`` is the place inside the message, so "first" stays defined after a shuffle.
     """
-    frames = message_frames(df, text)
-    kept = [c for c in df.columns if c != text]
+    return frame_signals(message_frames(df, text))
+
+
+def frame_signals(frames: DataFrame) -> DataFrame:
+    """``signal_rows`` of frames as ``message_frames`` gives them."""
+    kept = [c for c in frames.columns if c not in (*POSITION_SIGNALS, "message")]
     place = F.array(
         *[F.struct(F.lit(n).alias("pid"), F.col(n).alias("value")) for n in POSITION_SIGNALS]
     )
-    return frames.select(
-        *kept,
-        "ein",
-        "vin",
-        "clt_timestamp",
-        F.posexplode(F.concat(place, F.col("message"))).alias("pos", "_s"),
-    ).select(
-        *kept,
-        "ein",
-        "vin",
-        "clt_timestamp",
-        "pos",
-        F.col("_s").pid.alias("pid"),
-        F.col("_s").value.alias("value"),
-    )
+    tall = frames.select(*kept, F.posexplode(F.concat(place, F.col("message"))).alias("pos", "_s"))
+    return tall.select(*kept, "pos", F.col("_s").pid.alias("pid"), F.col("_s").value.alias("value"))
 
 
 def rejected_messages(df: DataFrame, text: str = "value") -> DataFrame:
     """What ``message_frames`` has nothing of: texts that are no list of messages, and members of a list without an
     engine's id or a readable time, each as ``text`` with a ``reject_reason``. An empty list has nothing to reject."""
-    kept = [c for c in df.columns if c != text]
-    members = _members(F.col(text))
-    # a text that is no list is one NULL member
-    one = F.array(F.lit(None).cast(MEMBER_SCHEMA))
-    each = df.select(*kept, F.col(text).alias("_text"), F.explode(F.coalesce(members, one)).alias("_d"))
-    bad = each.withColumn("reject_reason", _reason(F.col("_d"))).where(F.col("reject_reason").isNotNull())
-    return bad.select(*kept, F.coalesce(F.col("_d._corrupt"), F.to_json("_d"), F.col("_text")).alias("text"), "reject_reason")
+    return rejects_of(read_members(df, text), *[c for c in df.columns if c != text])

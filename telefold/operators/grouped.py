@@ -7,13 +7,14 @@ The second gathers those few rows; what it collects is bounded by the mapping, n
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from telefold.functions.clean import number, scaled
 from telefold.functions.signals import SENT_NULL, quoted, sent_number_sql
-from telefold.operators.fusion import fuse_frames
+from telefold.operators.fusion import LOOKED_UP, fuse_frames
 from telefold.operators.mapping import Target, list_targets, sized
 from telefold.session import keep_last_key
 
@@ -39,12 +40,15 @@ def fuse_grouped(
     ids: Sequence[str] = ("vin",),
     scaling: DataFrame | None = None,
     targets: list[Target] | None = None,
+    opening: Column | None = None,
 ) -> DataFrame:
     """One row per key: for each target the first matching row in arrival order, scaled, converted.
 
     ``ids`` are carried as their first non-NULL value; they may come from the rows or the mapping.
     A key none of whose signals is mapped still gives a row. Without ``targets`` they are read from the
     mapping, and metadata is written so its size is known; with them nothing is read or written here.
+    ``opening`` is true for rows that come before all others of their frame, which have the same keys and ids. Of those
+    others, the ones without a target then add nothing and are left out before the rows are sorted and shuffled.
     """
     keep_last_key(tall.sparkSession)
     if targets is None:
@@ -52,6 +56,9 @@ def fuse_grouped(
         mapping = sized(mapping)
         scaling = None if scaling is None else sized(scaling)
     rows = attach_mapping(tall, mapping, scaling)
+    if opening is not None:
+        told = [F.col(c).isNotNull() for c in ("target_name", *ids) if c not in tall.columns]
+        rows = rows.where(functools.reduce(lambda a, b: a | b, told, opening))
     # The signal itself settles equal stamps, so a recomputed task picks the same row.
     stamp = F.struct(
         _order(order).alias("at"), F.coalesce("priority", F.lit(0)).alias("priority"), F.struct("pid", "value").alias("tie")
@@ -64,29 +71,33 @@ def fuse_grouped(
         "target_name",
         stamp.alias("_at"),
         F.coalesce(text, F.lit(SENT_NULL)).alias("_value"),
-        *[F.when(F.col(c).isNotNull(), F.struct(stamp.alias("at"), F.col(c).alias("id"))).alias(f"_{c}") for c in ids],
+        *[F.col(c).alias(f"_{c}") for c in ids],
     )
+    # made while they are combined, so the rows that are sorted hold the stamp once
+    first = {c: F.when(F.col(f"_{c}").isNotNull(), F.struct(F.col("_at").alias("at"), F.col(f"_{c}").alias("id"))) for c in ids}
     best = shaped.groupBy(*keys, "target_name").agg(
-        F.min_by("_value", "_at").alias("_value"), *[F.min(f"_{c}").alias(f"_{c}") for c in ids]
+        F.min_by("_value", "_at").alias("_value"), *[F.min(one).alias(f"_{c}") for c, one in first.items()]
     )
+    firsts = [F.min(f"_{c}").getField("id").alias(c) for c in ids]
+    if len(targets) <= LOOKED_UP:
+        # one row a key and target: its value goes to the target's place, over rows that are sorted by key already
+        places = [F.max(F.when(F.col("target_name") == t.name, F.col("_value"))).alias(f"_{i}") for i, t in enumerate(targets)]
+        return _read_targets(best.groupBy(*keys).agg(*places, *firsts), [*keys, *ids], targets, [f"_{i}" for i in range(len(targets))])
     entry = F.when(F.col("target_name").isNotNull(), F.struct("target_name", "_value"))
-    gathered = best.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_m"),
-        *[F.min(f"_{c}").getField("id").alias(c) for c in ids],
-    )
-    return _widen(gathered, [*keys, *ids], targets)
+    gathered = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"), *firsts)
+    schema = T.StructType([T.StructField(t.name, T.StringType()) for t in targets])
+    wide = gathered.select(*keys, *ids, F.from_json(F.to_json("_m"), schema).alias("_s"))
+    return _read_targets(wide, [*keys, *ids], targets, [f"_s[{quoted(t.name)}]" for t in targets])
 
 
 def _unless_null(value: Column) -> Column:
     return F.when(value != SENT_NULL, value)
 
 
-def _widen(gathered: DataFrame, kept_columns: list[str], targets: list[Target]) -> DataFrame:
-    schema = T.StructType([T.StructField(t.name, T.StringType()) for t in targets])
-    wide = gathered.select(*kept_columns, F.from_json(F.to_json("_m"), schema).alias("_s"))
+def _read_targets(wide: DataFrame, kept_columns: list[str], targets: list[Target], places: list[str]) -> DataFrame:
+    """Targets from the SQL expressions of what was gathered for them."""
     columns = []
-    for t in targets:
-        kept = f"_s[{quoted(t.name)}]"
+    for t, kept in zip(targets, places):
         text = f"IF({kept} <> {quoted(SENT_NULL)}, {kept}, NULL)"
         columns.append(F.expr(text if t.is_text else sent_number_sql(kept)).alias(t.name))
     return wide.select(*kept_columns, *columns)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telefold.functions import clock
-from telefold.functions.messages import decode_frames, rejected_messages, signal_rows
+from telefold.functions.messages import decode_frames, frame_signals, frames_of, read_members, rejects_of
 from telefold.operators.enrich import device_lookup, lookup_join
 from telefold.operators.grouped import fuse_grouped
 from telefold.operators.mapping import list_targets, read_targets, sized
@@ -45,9 +45,12 @@ def batch_writer(
     rejects: str | None = None,
     drop_rejects: bool = False,
     on_batch: Callable[[int, bool], None] | None = None,
+    decode: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: skips empty batches, otherwise writes the fused batch, and its rejects apart.
 
+    ``decode`` is done once for both and its result is what ``fuse`` gets; it gives no row only where there is no message.
+
     Rejects go to ``rejects``, else beside the table; only ``drop_rejects`` loses them. The batch is kept while it is
     read more than once. A column of LAYOUT that ``fuse`` doesn't give is no level. ``on_batch`` is told each batch's id
     and whether it held rows, once they are written and before Spark counts the batch as done; if it raises, the job
@@ -56,7 +59,7 @@ def batch_writer(
     place = rejects or rejects_beside(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = (batch if decode is None else decode(batch)).persist()
         try:
             some = not batch.isEmpty()
             if some:
@@ -102,14 +105,17 @@ def stream_frames(
     targets = read_targets(mapping)
     lookup = None if devices is None else sized(device_lookup(devices).select("ein", "hos_series", "hos_mat_id"))
 
-    def fuse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def decode(batch: DataFrame) -> DataFrame:
         frames = decode_frames(batch.select("value", F.col("value").alias("text")), zone=zone)
         fused = fuse_table(frames, targets, zone=zone, carry=["corrupt", "text"], **options)
-        good = good_rows(fused).drop("corrupt", "text")
+        return fused.withColumn("text", F.when(F.col("reject_reason").isNotNull(), F.col("text"))).drop("corrupt")
+
+    def divide(fused: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good = good_rows(fused).drop("text")
         bad = rejected_rows(fused).select("reject_reason", "text", "ein", "clt_time")
         return good if lookup is None else lookup_join(good, lookup, "ein"), bad
 
-    return _start(messages, batch_writer(fuse, path, rejects, drop_rejects, on_batch), checkpoint, every)
+    return _start(messages, batch_writer(divide, path, rejects, drop_rejects, on_batch, decode), checkpoint, every)
 
 
 #: Columns of a fused signal row that come from the mapping or a constant.
@@ -143,11 +149,13 @@ def stream_signals(
     scaling = None if scaling is None else sized(scaling)
     order = [c for c in ("partition", "offset") if c in messages.columns] + ["pos"]
 
-    def fuse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fused = fuse_grouped(signal_rows(batch), mapping, order=order, ids=ids, scaling=scaling, targets=targets)
+    def fuse(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        tall = frame_signals(frames_of(members))
+        # a frame's first row is that of its longitude
+        fused = fuse_grouped(tall, mapping, order=order, ids=ids, scaling=scaling, targets=targets, opening=F.col("pos") == 0)
         fixed = {c: F.lit(constants.get(c)).cast("string") for c in SIGNAL_IDS if c not in ids}
         seconds = F.col("clt_timestamp").cast("bigint")
         fixed |= {"clt_time": clock.epoch_text(seconds, zone=zone), "clt_date": clock.epoch_text(seconds, "yyyy-MM-dd", zone)}
-        return fused.withColumns(fixed), rejected_messages(batch.select("value"))
+        return fused.withColumns(fixed), rejects_of(members)
 
-    return _start(messages, batch_writer(fuse, path, rejects, drop_rejects, on_batch), checkpoint, every)
+    return _start(messages, batch_writer(fuse, path, rejects, drop_rejects, on_batch, read_members), checkpoint, every)

@@ -168,3 +168,18 @@ def test_attach_factor(spark):
     assert {(r.a, r.b): r.factor for r in got} == {
         ("kPa", "HPA"): 10.0, ("foo", "FOO"): 1.0, ("foo", "m"): None, (None, "m"): None, ("m", None): None,
     }
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_epoch_of_a_stamp(spark, zone):
+    texts = ["1969-12-31 23:59:59.5", "0001-01-01 00:00:00.1", "9999-12-31 23:59:59.999999", "2024-03-10 02:30:00.999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = values(df.select(clock.stamp_epoch(F.col("ts")), clock.text_epoch(F.date_format("ts", clock.WALL_FORMAT), zone="UTC")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [a for a, _ in got] == [-1, -62135596800, 253402300799, 1710037800, None] and type(got[0][0]) is int
+    # the text of a time that the session's zone leaves out is another
+    assert [a == b for a, b in got] == [True, True, True, zone == "UTC", True]

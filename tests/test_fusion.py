@@ -193,6 +193,24 @@ def test_grouped_combines_before_its_shuffles(spark, compiled):
     assert plan.count("partial_min_by") == 1 and "partial_min(" in plan
 
 
+def test_rows_that_add_nothing_are_left_out_before_the_sort(spark, compiled, monkeypatch):
+    """Frames of three rows; the mapping names a platform for a code without a target, whose row is kept."""
+    rows = [(e, 1, 10 * f + p, pid, "2", None if f == 0 else f"v{f}") for e in "abc" for f in range(3) for p, pid in enumerate(("lng", "X", {"a": "S1", "b": "P"}.get(e)))]
+    tall = spark.createDataFrame(rows, "ein string, clt_timestamp int, pos int, pid string, value string, vin string")
+    named = compiled.withColumn("platname", F.lit(None).cast("string")).unionByName(
+        spark.createDataFrame([("P", "p")], "signal_name string, platname string"), allowMissingColumns=True
+    )
+    whole = dict(ids=("vin", "platname"), targets=maps.list_targets(compiled))
+    less = grouped.fuse_grouped(tall, named, opening=F.col("pos") % 10 == 0, **whole)
+    want = sorted(map(repr, grouped.fuse_grouped(tall, named, **whole).collect()))
+    assert {(r.ein, r.vin, r.platname, r.t) for r in less.collect()} == {("a", "v1", None, 2.0 * 1000), ("b", "v1", "p", None), ("c", "v1", None, None)}
+    assert sorted(map(repr, less.collect())) == want
+    monkeypatch.setattr(grouped, "LOOKED_UP", 0)
+    many = grouped.fuse_grouped(tall, named, **whole)
+    assert "from_json" in many._jdf.queryExecution().optimizedPlan().toString() and "from_json" not in less._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, many.collect())) == want
+
+
 def test_metadata_of_known_size(spark, compiled):
     found = maps.sized(spark.range(3))
     assert found.count() == 3 and found.inputFiles()

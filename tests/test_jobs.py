@@ -238,6 +238,38 @@ def test_a_batch_that_fails_between_its_writes_is_whole_after_a_restart(spark, c
     assert [(r.text, r.reject_reason) for r in spark.read.parquet(jobs.rejects_beside(path)).collect()] == [("junk", "unreadable message")]
 
 
+def test_a_batch_is_decoded_once_for_its_rows_and_its_rejects(spark, compiled, monkeypatch):
+    plans, write = [], jobs._overwrite
+
+    def noting(df, levels, place):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, levels, place)
+
+    monkeypatch.setattr(jobs, "_overwrite", noting)
+    good = '[{"ein":"E","vin":"V","time":1700000000000,"message":[{"pid":"S1","value":"1"}]},null,{"vin":"V"}]'
+    for start, lines, rejects in (
+        (jobs.stream_frames, [MESSAGE.format(1), "junk"], ["junk"]),
+        (jobs.stream_signals, [good, "junk", "[]"], [good, "junk", '{"vin":"V"}']),
+    ):
+        source, path, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
+        spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(source)
+        start(open_files(spark, source), compiled, path, checkpoint, every=None, zone="UTC").awaitTermination()
+        assert [r.t for r in spark.read.parquet(path).collect()] == [1000.0]
+        assert sorted(r.text for r in spark.read.parquet(jobs.rejects_beside(path)).collect()) == sorted(rejects)
+    assert len(plans) == 4
+    for plan in plans:
+        above, kept = plan.split("InMemoryRelation", 1)
+        assert "from_json" in kept and "from_json" not in above
+
+
+def test_a_batch_of_empty_lists_counts_as_one(spark, compiled):
+    source, path, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
+    spark.createDataFrame([("[]",)], "value string").coalesce(1).write.text(source)
+    seen = []
+    jobs.stream_signals(open_files(spark, source), compiled, path, checkpoint, every=None, on_batch=lambda n, some: seen.append((n, some))).awaitTermination()
+    assert seen == [(0, True)]
+
+
 def test_grouped_stream_works_inside_a_batch(spark, compiled):
     source, path, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
     text = '[{{"ein":"E","vin":"V","time":1700000000000,"lng":"1","lat":"2","message":[{{"pid":"{0}","value":"{1}"}}]}}]'

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from suite.fusion import wide_frames
 from telefold.functions.clean import number
 from telefold.operators import fusion, grouped, mapping as maps
 
@@ -302,3 +303,55 @@ def test_many_codes_are_placed_without_json(spark):
         assert got == {1: {"t3": third, "t67": 7.5}, 2: {}, 3: {}, 4: {"t1": 5.0}, 5: {"blank": 8.0, "word": "#12f"}, 6: {"word": "7d", "t5": 3.0}}
         plan = fused.where("t3 > 1 AND t5 > 2 AND t67 > 3")._jdf.queryExecution().optimizedPlan().toString()
         assert "from_json" not in plan and plan.count("place(") == 1
+
+
+ODD_VALUES = (
+    "1", "-2.5", "", None, "\u0000", "x", "1F", "20d", "inf", "-Infinity", "+nan", "NaN", "-NaN", " 3 ", "\t4\n", "+5", "1e400", "1e-400", "0x1p3", "0x1p3 d",
+    "1e", ".", "-.5e1", "7.", "1e+2", "2024-01-01", "#3", "8\u001f", "\u001f", "1d ", "INFINITY", "-0", "1,5", "٣", "9" * 120, "é", "1_0",
+)
+
+
+@pytest.mark.parametrize("bad", ["null", "default", "reject"])
+@pytest.mark.parametrize("duplicates", ["first", "last"])
+def test_numbers_of_many_codes_are_picked_as_the_map_gives_them(spark, bad, duplicates, monkeypatch):
+    """A code feeds up to three targets, a target has up to three codes; members hold the mark that ends members."""
+    codes = [f"c{i}" for i in range(70)] + ["", "\u001f", "c\u001f1"]
+    rows = [(f"t{i}", "m", codes[(i + 5 * k) % 73], "km" if k else "m", k) for i in range(73) for k in range(1 + i % 3)]
+    rows += [("again", "m", "c1", "m", 0), ("word", None, "c2", None, 0), ("word", None, "\u001f", None, 1)]
+    targets = maps.read_targets(
+        maps.compile_mapping(spark.createDataFrame(rows, "target_name string, target_unit string, signal_name string, signal_unit string, id int"), "id")
+    )
+    dealt = random.Random(3)
+    sent = [(i, [dealt.choice([None, "other", *codes]) for _ in range(dealt.randrange(40))], [dealt.choice(ODD_VALUES if i % 3 else ("1", "2.5", "-3e2")) for _ in range(dealt.randrange(40))]) for i in range(240)]
+    sent += [(240, None, ["1"]), (241, ["c1"], None), (242, [], []), (243, ["c1", "c2"], ["1", "8\u001f"])]
+    frames = spark.createDataFrame(sent, "id int, codes array<string>, vals array<string>")
+    for some in (targets, [t for t in targets if not t.is_text]):
+        picked = fusion.fuse_frames(frames, some, on_bad_number=bad, duplicates=duplicates)
+        assert picked._jdf.queryExecution().optimizedPlan().toString().count("pick(") == 1
+        with monkeypatch.context() as m:
+            m.setattr(fusion, "READ_AS_JSON", 1000)
+            read = sorted(fusion.fuse_frames(frames, some, on_bad_number=bad, duplicates=duplicates).collect(), key=lambda r: r.id)
+        assert [repr(r) for r in sorted(picked.collect(), key=lambda r: r.id)] == [repr(r) for r in read] and len(read) == 244
+
+
+def test_numbers_of_many_codes_come_as_numbers(spark):
+    """Not as one text for each code, each to be read for each target."""
+    rows = [(f"t{i}", "m", f"c{i}", "m", i) for i in range(70)]
+    targets = maps.read_targets(
+        maps.compile_mapping(spark.createDataFrame(rows, "target_name string, target_unit string, signal_name string, signal_unit string, id int"), "id")
+    )
+    frames = spark.createDataFrame([(["c1"], ["4"])], "codes array<string>, vals array<string>")
+    fused = fusion.fuse_frames(frames, targets)
+    plan = fused.where("t1 > 3 AND t5 IS NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pick(") == 1 and "place(" not in plan and "try_cast" not in plan.lower()
+    assert [(r.t1, r.t2) for r in fused.collect()] == [(4.0, None)]
+
+
+def test_values_of_wide_frames(spark, tmp_path):
+    bases = [0, 1, 885, 886, 999, 1000, 123456, -1, -57, -114, -115, -900, -998, -999, -1000, -1001, -1113, -2000, -98765]
+    keys = spark.createDataFrame([(0, i, b, 1) for i, b in enumerate(bases)] + [(0, 99, None, 1)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    keys.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.l_linenumber: r.vals for r in wide_frames(spark, str(tmp_path)).collect()}
+    values = F.transform(F.sequence(F.col("l_partkey") + 1, F.col("l_partkey") + 114), lambda x: (x % 1000 / F.lit(10.0)).cast("string"))
+    want = {r.l_linenumber: r.v or [None] * 114 for r in keys.select("l_linenumber", values.alias("v")).collect()}
+    assert got == want
